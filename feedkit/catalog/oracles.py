@@ -192,11 +192,11 @@ ORACLES: dict[str, str] = {
     from deduped group by source""",
     "read_static_attrs": f"""
     with lines as (
-      select doc_id, i as pos, {trim_sql("string_split(text, chr(10))[i + 1]")} as line
-      from documents, unnest(range(len(string_split(text, chr(10))))) u(i)),
+      select page_id, i as pos, {trim_sql("string_split(html, chr(10))[i + 1]")} as line
+      from pages, unnest(range(len(string_split(html, chr(10))))) u(i)),
     pairs as (
-      select doc_id, pos, line, strpos(line, ':') as colon from lines where strpos(line, ':') > 0)
-    select doc_id, pos, {trim_sql("left(line, colon - 1)")} as name,
+      select page_id, pos, line, strpos(line, ':') as colon from lines where strpos(line, ':') > 0)
+    select page_id, pos, {trim_sql("left(line, colon - 1)")} as name,
       {trim_sql("substr(line, colon + 1)")} as value
     from pairs where not starts_with(line, '#')""",
     "stage_feed": _with(FILES)

@@ -108,7 +108,7 @@ def scan_files(spark, sf_dir):
 
 @query
 def read_static_attrs(spark, sf_dir):
-    return src.parse_static_attrs(v.table(spark, sf_dir, "documents"), "text", ["doc_id"]).withColumn(
+    return src.parse_static_attrs(v.table(spark, sf_dir, "pages"), "html", ["page_id"]).withColumn(
         "pos", F.col("pos").cast("bigint")
     )
 
@@ -378,7 +378,7 @@ def canonical_attrs(spark, sf_dir):
 
 @query
 def resolve_links(spark, sf_dir):
-    deduped = dd.dedup_to_links(_hashed(_files(spark, sf_dir)))
+    deduped = settle(dd.dedup_to_links(_hashed(_files(spark, sf_dir))), "deduped")
     links = deduped.filter("kind = 'link'")
     kept = deduped.filter("kind <> 'link'")
     # Every 10th link points to a file that is not there.

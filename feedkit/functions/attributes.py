@@ -51,18 +51,20 @@ def attrs_to_json(attrs: Column) -> Column:
 def attrs_from_json(text: Column) -> Column:
     """Map from the {Name, Value} array; the last of several equal names wins."""
     pairs = F.from_json(text, JSON_FORM)
-    return last_wins(F.transform(pairs, lambda p: F.struct(p["Name"], p["Value"])))
+    return last_wins(F.transform(pairs, lambda p: F.struct(p["Name"].alias("key"), p["Value"].alias("value"))))
 
 
 def last_wins(pairs: Column) -> Column:
-    """Map from an array of (name, value) structs where a later pair replaces an earlier one."""
-    keyed = F.transform(
-        pairs, lambda p, i: F.struct(p.getField(0).alias("key"), p.getField(1).alias("value"), i.alias("i"))
-    )
-    final = F.filter(
-        keyed, lambda p: ~F.exists(keyed, lambda q: (q["key"] == p["key"]) & (q["i"] > p["i"]))
-    )
-    return F.map_from_entries(F.transform(final, lambda p: F.struct(p["key"], p["value"])))
+    """Map from an array of structs (key, value) where a later pair replaces an earlier one."""
+
+    def build(all_pairs: Column) -> Column:
+        def is_last(pair: Column, i: Column) -> Column:
+            later = F.slice(all_pairs, i + 2, F.size(all_pairs))
+            return ~F.exists(later, lambda q: q["key"] == pair["key"])
+
+        return F.map_from_entries(F.filter(all_pairs, is_last))
+
+    return F.get(F.transform(F.array(pairs), build), F.lit(0))
 
 
 def trim_space(text: Column) -> Column:

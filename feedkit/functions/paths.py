@@ -5,17 +5,23 @@ A path is worked on as an array of its elements, so every function stays a nativ
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _elements(path: Column) -> Column:
-    """Elements of the cleaned path, without the root mark."""
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _fold(path: Column, finish: Callable[[Column], Column] | None = None) -> Column:
+    """Elements of the cleaned path, without the root mark; `path` must be cheap to repeat."""
     rooted = path.startswith("/")
 
     def step(stack: Column, part: Column) -> Column:
-        top = F.try_element_at(stack, F.lit(-1))
-        can_climb = (F.size(stack) > 0) & (top != "..")
+        can_climb = (F.size(stack) > 0) & (F.try_element_at(stack, F.lit(-1)) != "..")
         climbed = F.when(can_climb, F.slice(stack, F.lit(1), F.size(stack) - 1)).otherwise(
             F.when(rooted, stack).otherwise(F.array_append(stack, part))
         )
@@ -25,23 +31,31 @@ def _elements(path: Column) -> Column:
             .otherwise(F.array_append(stack, part))
         )
 
-    return F.aggregate(F.split(path, "/"), F.expr("cast(array() as array<string>)"), step)
+    start = F.expr("cast(array() as array<string>)")
+    return F.aggregate(F.split(path, "/"), start, step, finish)
 
 
 def clean(path: Column) -> Column:
     """Shortest equivalent path; the empty path is `.`."""
-    joined = F.array_join(_elements(path), "/")
-    return (
-        F.when(path.startswith("/"), F.concat(F.lit("/"), joined))
-        .when(joined == "", F.lit("."))
-        .otherwise(joined)
-    )
+
+    def spelled(p: Column) -> Column:
+        def finish(stack: Column) -> Column:
+            joined = F.array_join(stack, "/")
+            return (
+                F.when(p.startswith("/"), F.concat(F.lit("/"), joined))
+                .when(F.size(stack) == 0, F.lit("."))
+                .otherwise(joined)
+            )
+
+        return _fold(p, finish)
+
+    return let(path, spelled)
 
 
 def join(*parts: Column) -> Column:
     """Join the parts that are not empty and clean the result; all empty gives the empty path."""
     joined = F.concat_ws("/", *[F.nullif(p, F.lit("")) for p in parts])
-    return F.when(joined == "", F.lit("")).otherwise(clean(joined))
+    return let(joined, lambda j: F.when(j == "", F.lit("")).otherwise(clean(j)))
 
 
 def dirname(path: Column) -> Column:
@@ -56,20 +70,29 @@ def escapes(cleaned: Column) -> Column:
 
 def rel(base: Column, target: Column) -> Column:
     """Path that leads from directory `base` to `target`, null where none can be told."""
-    from_parts, to_parts = _elements(base), _elements(target)
-    n = F.least(F.size(from_parts), F.size(to_parts))
-    mismatch = F.filter(
-        F.sequence(F.lit(0), n),
-        lambda i: F.coalesce(F.get(from_parts, i) != F.get(to_parts, i), F.lit(True)),
-    )
-    common = F.array_min(mismatch)
-    up = F.size(from_parts) - common
-    down = F.slice(to_parts, common + 1, F.size(to_parts))
-    path = F.array_join(F.concat(F.array_repeat(F.lit(".."), up), down), "/")
-    unknown = (base.startswith("/") != target.startswith("/")) | F.coalesce(
-        F.get(from_parts, common) == "..", F.lit(False)
-    )
-    return F.when(unknown, F.lit(None).cast("string")).when(path == "", F.lit(".")).otherwise(path)
+
+    def parts(p: Column) -> Column:
+        return F.struct(p.startswith("/").alias("rooted"), let(p, lambda q: _fold(q)).alias("parts"))
+
+    def led(pair: Column) -> Column:
+        here, there = pair["base"]["parts"], pair["target"]["parts"]
+        mismatch = F.filter(
+            F.sequence(F.lit(0), F.least(F.size(here), F.size(there))),
+            lambda i: F.coalesce(F.get(here, i) != F.get(there, i), F.lit(True)),
+        )
+
+        def spelled(common: Column) -> Column:
+            up = F.array_repeat(F.lit(".."), F.size(here) - common)
+            down = F.slice(there, common + 1, F.size(there))
+            steps = F.concat(up, down)
+            unknown = (pair["base"]["rooted"] != pair["target"]["rooted"]) | F.coalesce(
+                F.get(here, common) == "..", F.lit(False)
+            )
+            return F.when(~unknown, F.when(F.size(steps) == 0, F.lit(".")).otherwise(F.array_join(steps, "/")))
+
+        return let(F.array_min(mismatch), spelled)
+
+    return let(F.struct(parts(base).alias("base"), parts(target).alias("target")), led)
 
 
 def walk_key(path: Column) -> Column:

@@ -6,10 +6,11 @@ stay in one open map.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.functions.attributes import get_attr
+from feedkit.functions.paths import let
 
 FILES = (
     "seq bigint, batch_id string, uuid string, kind string, path string, filename string, "
@@ -45,18 +46,25 @@ def canonical_attrs(files: DataFrame, attrs: str = "attrs") -> DataFrame:
     """Fold older attribute spellings into the current ones; a current value wins."""
     folded = F.col(attrs)
     for current, older in OLD_SPELLINGS:
-        has_older = F.map_contains_key(folded, older)
-        has_current = F.map_contains_key(folded, current)
-        renamed = F.transform_keys(
-            folded, lambda k, v, o=older, c=current: F.when(k == o, F.lit(c)).otherwise(k)
-        )
-        dropped = F.map_filter(folded, lambda k, v, o=older: k != o)
-        folded = (
-            F.when(has_older & ~has_current, renamed).when(has_older, dropped).otherwise(folded)
-        )
+        folded = _renamed(folded, older, current)
     return files.withColumn(attrs, folded)
 
 
+def _renamed(attrs: Column, older: str, current: str) -> Column:
+    """The map with one attribute renamed; it is dropped where the current name is set already."""
+
+    def fold(a: Column) -> Column:
+        kept = F.map_filter(a, lambda k, v: k != older)
+        renamed = F.map_concat(kept, F.create_map(F.lit(current), F.element_at(a, older)))
+        return (
+            F.when(~F.map_contains_key(a, older), a)
+            .when(F.map_contains_key(a, current), kept)
+            .otherwise(renamed)
+        )
+
+    return let(attrs, fold)
+
+
 def promote_attrs(rows: DataFrame, attrs: str = "attrs") -> DataFrame:
     """Typed columns of the `files` schema from the open attribute map."""
     a = F.col(attrs)

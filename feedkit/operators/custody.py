@@ -61,7 +61,7 @@ def static_map(static: Mapping[str, str] | DataFrame) -> Column:
         return literal_attrs(static)
     bounded = static.select("pos", "name", "value").limit(MAX_STATIC_ATTRS + 1)
     ordered = F.array_sort(F.collect_list(F.struct("pos", "name", "value")))
-    pairs = F.transform(ordered, lambda s: F.struct(s["name"], s["value"]))
+    pairs = F.transform(ordered, lambda s: F.struct(s["name"].alias("key"), s["value"].alias("value")))
     checked = F.when(F.size(ordered) <= MAX_STATIC_ATTRS, last_wins(pairs)).otherwise(
         F.raise_error(F.lit(f"more than {MAX_STATIC_ATTRS} static attributes")).cast("map<string,string>")
     )
@@ -70,7 +70,8 @@ def static_map(static: Mapping[str, str] | DataFrame) -> Column:
 
 def attach_static_attrs(files: DataFrame, static: Mapping[str, str] | DataFrame) -> DataFrame:
     """Set each static pair on every row, replacing values that exist."""
-    return files.withColumn("attrs", set_attrs(F.col("attrs"), static_map(static)))
+    carried = files.withColumn("_static", static_map(static))
+    return carried.withColumn("attrs", set_attrs(F.col("attrs"), F.col("_static"))).drop("_static")
 
 
 def stamp_hop(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.functions.paths import clean, escapes, join, walk_key
+from feedkit.functions.paths import clean, escapes, walk_key
 
 ROUTES = ("file", "dir", "link", "metrics", "reject")
 
@@ -33,8 +33,8 @@ def path_guard(files: DataFrame, strict_filename: bool = True) -> tuple[DataFram
 def mark_links(links: DataFrame) -> DataFrame:
     """Add `resolved`, the path a link points to, and `link_ok`."""
     target = F.coalesce(F.col("target"), F.lit(""))
-    folder = clean(F.coalesce(F.col("path"), F.lit("")))
-    marked = links.withColumn("resolved", clean(join(folder, target)))
+    pointed = F.concat_ws("/", F.nullif(F.col("path"), F.lit("")), F.nullif(target, F.lit("")))
+    marked = links.withColumn("resolved", clean(pointed))
     usable = (target != "") & ~target.startswith("/") & ~escapes(F.col("resolved"))
     return marked.withColumn("link_ok", usable)
 
