@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedkit.functions.binding import let
+
 JSON_FORM = "array<struct<Name:string,Value:string>>"
 NANOS = 1_000_000_000
 _EDGES = r"(?U)^\s+|\s+$"
@@ -35,8 +37,12 @@ def literal_attrs(pairs: Mapping[str, str | Column]) -> Column:
 
 def set_attrs(attrs: Column, new: Column) -> Column:
     """Set every pair of `new` on `attrs`, replacing values that exist."""
-    kept = F.map_filter(attrs, lambda k, v: ~F.map_contains_key(new, k))
-    return F.map_concat(kept, new)
+
+    def merged(added: Column) -> Column:
+        kept = F.map_filter(attrs, lambda k, v: ~F.map_contains_key(added, k))
+        return F.map_concat(kept, added)
+
+    return let(new, merged)
 
 
 def attrs_to_json(attrs: Column) -> Column:
@@ -64,7 +70,7 @@ def last_wins(pairs: Column) -> Column:
 
         return F.map_from_entries(F.filter(all_pairs, is_last))
 
-    return F.get(F.transform(F.array(pairs), build), F.lit(0))
+    return let(pairs, build)
 
 
 def trim_space(text: Column) -> Column:

@@ -10,10 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body(value)` with the value computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+from feedkit.functions.binding import let
 
 
 def _fold(path: Column, finish: Callable[[Column], Column] | None = None) -> Column:

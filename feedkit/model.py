@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.functions.attributes import get_attr
-from feedkit.functions.paths import let
+from feedkit.functions.binding import let
 
 FILES = (
     "seq bigint, batch_id string, uuid string, kind string, path string, filename string, "

@@ -36,11 +36,9 @@ def shifted(attrs: Column) -> Column:
     """Every hop's number goes up by one."""
 
     def renumber(k: Column, v: Column) -> Column:
-        n = F.regexp_extract(k, _NUMBERED, 1)
-        moved = F.concat_ws(
-            ".", F.lit(PREFIX), (n.try_cast("bigint") + 1).cast("string"), F.regexp_extract(k, _NUMBERED, 2)
-        )
-        return F.when(n == "", k).otherwise(moved)
+        n = F.regexp_extract(k, _NUMBERED, 1).try_cast("bigint")
+        moved = F.concat_ws(".", F.lit(PREFIX), (n + 1).cast("string"), F.regexp_extract(k, _NUMBERED, 2))
+        return F.when(k.rlike(_NUMBERED), moved).otherwise(k)
 
     return F.transform_keys(attrs, renumber)
 

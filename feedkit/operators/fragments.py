@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedkit.functions.attributes import literal_attrs, set_attrs
 from feedkit.functions.hashing import digest, digest_by
 from feedkit.plans.ordered import SPAN, number_gaps, runs
+from feedkit.plans.skew import attach_group_facts
 
 # A cell must stay well under 2 GiB; larger files remain fragments.
 MAX_CELL = 1 << 30
@@ -142,11 +143,23 @@ def latest_attempt(
     order: str = "arrival",
     span: int = SPAN,
 ) -> DataFrame:
-    """Fragments of the current attempt: a new identifier on the same output path starts over."""
-    marked = runs(fragments.filter(_usable()), path, order, "identifier", span)
-    return marked.filter(F.col("run_start") == F.col("last_run_start")).drop(
-        "run_start", "last_run_start"
+    """Fragments of the current attempt: a new identifier on the same output path starts over.
+
+    The runs are told from the keys alone; what comes back to the fragments is where each path's
+    current attempt begins.
+    """
+    valid = fragments.filter(_usable())
+    told = runs(valid.select(*path, "identifier", order), path, order, "identifier", span)
+    starts = told.groupBy(*path).agg(F.max("last_run_start").alias("_start"))
+    marked = attach_group_facts(
+        valid,
+        path,
+        [],
+        spread_on=[*path, order],
+        refine=lambda facts: facts.join(starts, list(path)),
+        how="inner",
     )
+    return marked.filter(F.col(order) >= F.col("_start")).drop("_start")
 
 
 def join_pieces(

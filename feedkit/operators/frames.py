@@ -42,6 +42,7 @@ def parse_frames(datagrams: DataFrame, data: str = "data") -> DataFrame:
                 "offset": _unsigned(raw, 25, 8),
                 "mtu": _unsigned(raw, 33, 2).cast("int"),
                 "payload": F.when(F.octet_length(raw) > HEADER_BYTES, body),
+                "length": F.octet_length(raw) - HEADER_BYTES,
             }
         )
         .filter((F.col("mtu") >= MIN_MTU) & F.col("size").isNotNull() & F.col("offset").isNotNull())
@@ -62,13 +63,24 @@ def frame_header(uuid: Column, size: Column, offset: Column, mtu: Column) -> Col
 
 
 def with_slots(frames: DataFrame) -> DataFrame:
-    """Add `total`, the number of slots of the file, and `slot`, the one this frame fills."""
-    return frames.withColumns(
+    """Add `total`, the number of slots of the file, `slot`, the one this frame fills, and `carries`.
+
+    A frame carries data if it has a payload and its slot exists. With a `length` column (as from
+    `parse_frames`) the payload itself is not looked at.
+    """
+    if "length" in frames.columns:
+        data = F.col("length") > 0
+    elif "payload" in frames.columns:
+        data = F.col("payload").isNotNull()
+    else:
+        data = F.lit(True)
+    placed = frames.withColumns(
         {
             "total": F.expr("CASE WHEN size > 0 THEN (size - 1) div mtu + 1 ELSE 1 END"),
             "slot": F.expr("(offset + 1) div mtu"),
         }
     )
+    return placed.withColumn("carries", data & (F.col("slot") < F.col("total")))
 
 
 def inflight_runs(
@@ -77,18 +89,14 @@ def inflight_runs(
     """One file is in flight per port: a frame of another file starts a new run.
 
     Adds `run_start` (the run's first arrival) and `followed`, true where the port went on to
-    another file.
+    another file. The runs are told from the keys and come back by (port, order), which names a
+    single frame.
     """
-    marked = runs(frames, [port], order, "uuid", span)
-    return marked.withColumn("followed", F.col("run_start") < F.col("last_run_start")).drop(
-        "last_run_start"
+    told = runs(frames.select(port, order, "uuid"), [port], order, "uuid", span)
+    told = told.select(
+        port, order, "run_start", (F.col("run_start") < F.col("last_run_start")).alias("followed")
     )
-
-
-def _carries(frames: DataFrame) -> Column:
-    """True for frames that fill a slot: they have data, and their slot exists."""
-    inside = F.col("slot") < F.col("total")
-    return inside & F.col("payload").isNotNull() if "payload" in frames.columns else inside
+    return frames.join(told, [port, order])
 
 
 def frame_status(
@@ -99,9 +107,9 @@ def frame_status(
     The first frame to arrive says how many slots the file has; a frame whose slot lies beyond its
     own header's count is ignored. Repeats are counted away inside the map tasks.
     """
-    placed = with_slots(frames)
+    placed = frames if "carries" in frames.columns else with_slots(frames)
     slots = (
-        placed.withColumn("slot", F.when(_carries(frames), F.col("slot")))
+        placed.withColumn("slot", F.when(F.col("carries"), F.col("slot")))
         .groupBy(*by, "slot")
         .agg(
             F.count(F.lit(1)).alias("_copies"),
@@ -130,8 +138,10 @@ def run_status(
     frames: DataFrame, port: str = "port", order: str = "arrival", span: int = SPAN
 ) -> DataFrame:
     """Status of every run: `complete`, `abandoned` (another file took its port) or `incomplete`."""
-    by = [port, "uuid", "run_start", "followed"]
-    status = frame_status(inflight_runs(frames, port, order, span), by, order)
+    narrow = with_slots(frames).select(port, order, "uuid", "total", "slot", "carries")
+    told = runs(narrow, [port], order, "uuid", span)
+    told = told.withColumn("followed", F.col("run_start") < F.col("last_run_start"))
+    status = frame_status(told, [port, "uuid", "run_start", "followed"], order)
     abandoned = (F.col("state") == "incomplete") & F.col("followed")
     return status.withColumn("state", F.when(abandoned, "abandoned").otherwise(F.col("state"))).drop(
         "followed"
@@ -152,7 +162,7 @@ def reassemble_frames(
     expected values, which `policy` then judges. Adds `assembly`: `complete`, `corrupt` (the bytes do
     not add up to the announced size) or `too_large` (refused); incomplete files are left out.
     """
-    placed = with_slots(frames).filter(_carries(frames))
+    placed = with_slots(frames).filter("carries")
     large = F.greatest(F.col("size"), F.col("total") * F.octet_length("payload")) > F.lit(max_cell)
     pieces = (
         placed.withColumn("_large", large)

@@ -34,7 +34,7 @@ def judge(
     a join with the rejected gates is a broadcast only where that table really is small.
     """
     checked = with_gate(verify_checksum(files, policy, skip), policy.scope, key)
-    verdicts = settle(checked.select(*key, "_gate", "state", "accepted"), "verdicts")
+    verdicts = settle(checked.select(*key, "batch_id", "_gate", "state", "accepted"), "verdicts")
     rejected = verdicts.filter("NOT accepted").select("_gate").distinct()
     return verdicts, settle(rejected, "rejected")
 

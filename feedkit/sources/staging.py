@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,46 +40,50 @@ def stage_feed(
     """Store a feed for replay below `folder`: `payload`, then `markers`.
 
     A batch that holds an unverified file gets no marker, and its payload is not stored either unless
-    `keep_partial`. The markers appear after the payload is committed, so a reader that goes by them
-    sees whole batches only. Payload is partitioned by batch_id or, with many small batches, by
-    `batch_parts` hash buckets of it.
+    `keep_partial`. The markers appear after the payload is committed and name this call
+    (`stage_id`), so payload of a call that broke off is never read, and the call can be repeated.
+    Payload is partitioned by batch_id or, with many small batches, by `batch_parts` hash buckets.
     """
+    stage_id = F.lit(uuid.uuid4().hex)
     rows = staged(files, host, at)
     stored = rows.withColumn("batch_ok", F.lit(True))
     if verify:
-        _, rejected = judge(files, STAGE, key=spread_on)
+        verdicts, rejected = judge(files, STAGE, key=spread_on)
         ok, bad = split_by_gate(rows, rejected, STAGE.scope, spread_on)
+        passed = verdicts.join(rejected, "_gate", "left_anti")
         stored = ok.withColumn("batch_ok", F.lit(True))
         if keep_partial:
             stored = stored.unionByName(bad.withColumn("batch_ok", F.lit(False)))
-    part = "batch_id"
+    else:
+        passed = files
+    stored = stored.withColumn("stage_id", stage_id)
     if batch_parts:
-        part = "batch_part"
-        stored = stored.withColumn(
-            part, F.pmod(F.xxhash64("batch_id"), F.lit(batch_parts).cast("bigint")).cast("int")
-        )
+        bucket = F.pmod(F.xxhash64("batch_id"), F.lit(batch_parts).cast("bigint")).cast("int")
+        stored = stored.withColumn("batch_part", bucket)
     else:
         # The partition column moves into the folder names; the value stays on the row as well.
-        stored = stored.withColumn("batch_key", F.col("batch_id"))
-    stored.write.mode("append").partitionBy(part).parquet(f"{folder}/payload")
-    written = files.sparkSession.read.parquet(f"{folder}/payload")
-    markers = written.filter("batch_ok").groupBy("batch_id").agg(F.count(F.lit(1)).alias("files"))
-    markers.write.mode("overwrite").parquet(f"{folder}/markers")
+        stored = stored.withColumn("batch_part", F.col("batch_id"))
+    stored.write.mode("append").partitionBy("batch_part").parquet(f"{folder}/payload")
+    markers = passed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("files"))
+    markers.withColumn("stage_id", stage_id).write.mode("append").parquet(f"{folder}/markers")
 
 
 def committed_batches(
-    payloads: DataFrame, markers: DataFrame, spread_on: Sequence[str] = ("seq",)
+    payloads: DataFrame,
+    markers: DataFrame,
+    spread_on: Sequence[str] = ("seq",),
+    keys: Sequence[str] = ("batch_id",),
 ) -> DataFrame:
     """Payload rows whose batch has a commit marker; one batch may hold most of the rows."""
-    return salted_lookup(
-        payloads, markers.select("batch_id").distinct(), ["batch_id"], spread_on, "left_semi"
-    )
+    named = markers.select(*keys).distinct()
+    return salted_lookup(payloads, named, keys, spread_on, "left_semi")
 
 
-def read_staged(spark: SparkSession, folder: str) -> DataFrame:
+def read_staged(spark: SparkSession, folder: str, spread_on: Sequence[str] = ("seq",)) -> DataFrame:
     """The committed part of a staged feed, as a table."""
     payloads = spark.read.parquet(f"{folder}/payload")
-    return committed_batches(payloads, spark.read.parquet(f"{folder}/markers"))
+    markers = spark.read.parquet(f"{folder}/markers")
+    return committed_batches(payloads, markers, spread_on, ("batch_id", "stage_id"))
 
 
 def replay_feed(
@@ -94,7 +99,8 @@ def replay_feed(
     """The committed part of a staged feed, as a stream with the replay hop stamped.
 
     `clean` is `delete`, `archive` (into `archive`) or `off`; what was replayed is recorded in the
-    query's checkpoint. Unsafe paths do not come out.
+    query's checkpoint. Unsafe paths do not come out. The stream goes by the commit of the payload
+    files themselves; `read_staged` goes by the markers.
     """
     payload = f"{folder}/payload"
     reader = spark.readStream.schema(schema or spark.read.parquet(payload).schema)

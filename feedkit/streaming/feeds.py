@@ -56,9 +56,8 @@ def stream_frames(
     the work spreads over all files and only the time-out ends an unfinished one; choose it where a
     port carries a large part of the feed.
     """
-    carries = F.col("payload").isNotNull() if "payload" in frames.columns else F.lit(True)
     narrow = with_slots(frames).select(
-        "port", "uuid", "total", "slot", carries.alias("carries"), "arrival", "arrived_at"
+        "port", "uuid", "total", "slot", "carries", "arrival", "arrived_at"
     )
     return _tracked(narrow, [key], FrameTracker(ttl_ms), delay)
 
