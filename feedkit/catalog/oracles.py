@@ -231,7 +231,7 @@ ORACLES: dict[str, str] = {
         f"cleaned as (select *, {ROUTE} as route, {clean_sql('path')} as clean_path from odd)",
         f"""resolved as (select *, {clean_sql("case when target = '' then clean_path else clean_path || '/' || target end")} as resolved from cleaned)""",
     )
-    + """select seq, route, clean_path, state,
+    + """select seq, route, clean_path, case when route = 'link' then 'unchecked' else state end as state,
       case when clean_path like '..%' or route = 'reject' then 'rejected'
            when route = 'metrics' then 'metered'
            when route = 'link' and (target = '' or target like '/%' or resolved like '..%') then 'dropped'

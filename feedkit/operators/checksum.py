@@ -67,14 +67,20 @@ def checksum_state(content: Column, checksum_type: Column, checksum: Column) ->
 def verify_checksum(
     files: DataFrame, policy: Policy = RECEIVE, skip: bool = False, content: str = "content"
 ) -> DataFrame:
-    """Add `state` and, by the policy, `accepted`."""
+    """Add `state` and, by the policy, `accepted`.
+
+    A link has no payload of its own: its checksum describes the file that it stands for, so it is
+    `unchecked` here and `resolve_links` brings the two together.
+    """
     if skip:
         return files.withColumns({"state": F.lit("skipped"), "accepted": F.lit(True)})
     empty = F.col("size") == 0
-    payload = F.coalesce(F.col(content), F.lit(b"")) if policy.empty == "verify" else F.col(content)
+    payload = F.coalesce(F.col(content), F.lit(b""))
     state = checksum_state(payload, F.col("checksum_type"), F.col("checksum"))
-    if policy.empty == "unchecked":
-        state = F.when(empty, "unchecked").otherwise(state)
+    unseen = F.lit(False) if policy.empty != "unchecked" else empty
+    if "kind" in files.columns:
+        unseen = unseen | (F.coalesce("kind", F.lit("")) == "link")
+    state = F.when(unseen, "unchecked").otherwise(state)
     missing_ok = F.lit(policy.on_missing == "accept")
     if policy.empty == "accept_missing":
         missing_ok = missing_ok | empty
