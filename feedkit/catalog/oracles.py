@@ -393,3 +393,4 @@ ORACLES: dict[str, str] = {
     where period_start + 300 <= (select floor(epoch_ms(max(ts)) / 1000.0) - 60 from hops)""",
 }
 ORACLES["custody_paths_from_attrs"] = ORACLES["custody_paths"]
+ORACLES["hop_latency_from_attrs"] = ORACLES["hop_latency"]

@@ -465,7 +465,13 @@ def dedup_to_links(spark, sf_dir):
 
 @query
 def hop_latency(spark, sf_dir):
-    return cu.hop_latency(_hops(spark, sf_dir))
+    return cu.hop_latency(_hops(spark, sf_dir)).withColumn("sum", F.col("sum").cast("bigint"))
+
+
+@query
+def hop_latency_from_attrs(spark, sf_dir):
+    rows = cu.latency_of_pairs(cu.attr_hop_pairs(_chains(spark, sf_dir)))
+    return rows.withColumn("sum", F.col("sum").cast("bigint"))
 
 
 @query

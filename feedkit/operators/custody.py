@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.functions.attributes import get_attr, last_wins, literal_attrs, nanos, rfc3339, set_attrs
-from feedkit.plans.quantiles import exact_quantiles
+from feedkit.plans.quantiles import exact_summary
 
 # Attribute names of one hop, as <prefix>.<number>.<field>.
 PREFIX = "custodyChain"
@@ -151,26 +151,42 @@ def hop_pairs(hops: DataFrame, key: str = "uuid", ts: str = "ts_ns") -> DataFram
     )
     return paired.filter(F.col("_from").isNotNull() & F.col("_to").isNotNull()).select(
         key,
-        F.col("_from.action").alias("from_action"),
-        F.col("_to.action").alias("to_action"),
+        F.coalesce("_from.action", F.lit("")).alias("from_action"),
+        F.coalesce("_to.action", F.lit("")).alias("to_action"),
         (F.col("_to._ts") - F.col("_from._ts")).alias("elapsed"),
     )
 
 
+def attr_hop_pairs(files: DataFrame, keys: Sequence[str] = ("uuid",)) -> DataFrame:
+    """The same pairs from the attribute map: each file brings its own, and nothing shuffles."""
+    attrs = F.col("attrs")
+
+    def field(hop: Column, name: str) -> Column:
+        return get_attr(attrs, F.concat_ws(".", F.lit(PREFIX), hop.cast("string"), F.lit(name)))
+
+    older, newer = F.col("_hop") + 1, F.col("_hop")
+    pairs = files.select(*keys, "attrs", F.explode(hop_numbers(attrs)).alias("_hop"))
+    return pairs.select(
+        *keys,
+        field(older, "action").alias("from_action"),
+        field(newer, "action").alias("to_action"),
+        (nanos(field(newer, "time")) - nanos(field(older, "time"))).alias("elapsed"),
+    ).filter(F.col("elapsed").isNotNull())
+
+
 def hop_latency(hops: DataFrame, key: str = "uuid", ts: str = "ts_ns") -> DataFrame:
-    """Time between adjacent hops by (from_action, to_action): n, sum, avg, p50, p95 and max.
+    """Time between adjacent hops by (from_action, to_action), from hop rows."""
+    return latency_of_pairs(hop_pairs(hops, key, ts))
+
+
+def latency_of_pairs(pairs: DataFrame) -> DataFrame:
+    """n, sum (decimal), avg, p50, p95 and max of `elapsed` by (from_action, to_action).
 
     The percentiles are exact, interpolated between neighbours and rounded to whole units.
     """
-    pairs = hop_pairs(hops, key, ts)
     by = ["from_action", "to_action"]
-    quantiles = exact_quantiles(pairs, by, "elapsed", {"p50": 0.5, "p95": 0.95})
-    sums = pairs.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("elapsed").alias("sum"),
-        F.max("elapsed").alias("max"),
-    )
-    return sums.join(quantiles, by).select(
+    summary = exact_summary(pairs, by, "elapsed", {"p50": 0.5, "p95": 0.95})
+    return summary.select(
         *by,
         "n",
         "sum",

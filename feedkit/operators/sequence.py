@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.plans.ordered import SPAN, number_gaps, unbroken_prefix
+from feedkit.plans.settle import settle
 from feedkit.plans.skew import SALTS, attach_group_facts, salted_lookup
 
 SESSION = "socket_id"
@@ -38,7 +39,10 @@ def sequence_release(
 def release_plan(
     packets: DataFrame, order: str = "arrival", span: int = SPAN, salts: int = SALTS
 ) -> DataFrame:
-    """Which copy of each packet is released, and when: no payload moves here."""
+    """Which copy of each packet is released, and when: no payload moves here.
+
+    The narrow result is used twice, so it is written once.
+    """
     key = [SESSION, "n"]
 
     def released(firsts: DataFrame) -> DataFrame:
@@ -46,7 +50,7 @@ def release_plan(
         return prefix.withColumnRenamed("running_max", "released_at").drop("_first")
 
     copies = attach_group_facts(
-        packets.select(*key, "op", order),
+        packets.select(*key, "op", order).dropna(subset=key),
         key,
         [F.min(order).alias("_first")],
         spread_on=[*key, order],
@@ -57,6 +61,7 @@ def release_plan(
     chosen = copies.groupBy(*key, "released_at").agg(
         F.max(order).alias(order), F.max_by("op", order).alias("op")
     )
+    chosen = settle(chosen, "released")
     ends = chosen.filter(F.col("op") == "EOF").groupBy(SESSION).agg(F.min("n").alias("_end"))
     return (
         salted_lookup(chosen, ends, [SESSION], ["n"], "left")

@@ -1,52 +1,66 @@
-"""Exact quantiles of groups of any size, without holding a group's values in one place."""
+"""Exact totals and quantiles of groups of any size, without holding a group in one place."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A number falls into a bucket by its sign, bit length and this many leading bits.
 BUCKET_BITS = 12
 
 
-def exact_quantiles(
+def _bucket(value: str) -> Column:
+    """The number with its low bits cleared; truncating towards zero keeps the order."""
+    size = F.abs(F.col(value))
+    low_bits = F.greatest(F.length(F.bin(size)) - BUCKET_BITS, F.lit(0))
+    cleared = F.call_function("shiftleft", F.call_function("shiftright", size, low_bits), low_bits)
+    return (F.signum(value) * cleared).cast("bigint")
+
+
+def exact_summary(
     rows: DataFrame, by: Sequence[str], value: str, wanted: Mapping[str, float]
 ) -> DataFrame:
-    """Interpolated quantiles of a bigint column per group, one column per wanted name.
+    """n, sum (decimal), max and interpolated quantiles of a bigint column per group.
 
-    Equal values are counted in the map tasks. Counts per bucket (a few thousand per power of two)
-    tell which buckets hold the wanted ranks; only their values are ranked.
+    Equal values are counted in the map tasks, and everything else works on those counts, which
+    Spark exchanges once. Counts per bucket (a few thousand per power of two) tell which buckets hold
+    the wanted ranks; only their values are ranked. Rows with a null key or value do not count.
     """
-    counted = rows.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    # Truncating towards zero keeps the order of the values, on both sides of zero.
-    size = F.abs(F.col(value))
-    low_bits = F.greatest(F.length(F.bin(size)) - BUCKET_BITS, F.lit(0))
-    floor_of = (F.signum(value) * F.call_function("shiftleft", F.call_function("shiftright", size, low_bits), low_bits)).cast("bigint")
-    counted = counted.withColumn("_bucket", floor_of)
-
-    buckets = counted.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_bn"))
-    along = Window.partitionBy(*by).orderBy("_bucket")
-    buckets = buckets.withColumns(
-        {
-            "_end": F.sum("_bn").over(along),
-            "_total": F.sum("_bn").over(Window.partitionBy(*by)),
-        }
-    ).withColumn("_begin", F.col("_end") - F.col("_bn"))
+    counted = (
+        rows.dropna(subset=[*by, value])
+        .groupBy(*by, value)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_bucket", _bucket(value))
+    )
+    weighted = F.col(value).cast("decimal(19,0)") * F.col("_n").cast("decimal(19,0)")
+    group = Window.partitionBy(*by)
+    totals = F.struct(
+        F.sum("_bn").over(group).alias("n"),
+        F.sum("_bsum").over(group).alias("sum"),
+        F.max("_bmax").over(group).alias("max"),
+    )
+    buckets = (
+        counted.groupBy(*by, "_bucket")
+        .agg(F.sum("_n").alias("_bn"), F.sum(weighted).alias("_bsum"), F.max(value).alias("_bmax"))
+        .withColumns({"_end": F.sum("_bn").over(group.orderBy("_bucket")), "_all": totals})
+        .withColumn("_begin", F.col("_end") - F.col("_bn"))
+    )
     ranks = F.array(
         *[
-            F.struct(F.lit(name).alias("name"), ((F.col("_total") - 1) * F.lit(float(q))).alias("at"))
+            F.struct(
+                F.lit(name).alias("name"),
+                ((F.col("_all.n") - 1) * F.lit(float(q))).alias("at"),
+                F.col("_all").alias("all"),
+            )
             for name, q in wanted.items()
         ]
     )
+    lo, hi = F.floor("_want.at"), F.ceil("_want.at")
     # A wanted position lies between two ranks, which may sit in two buckets.
-    hits = (
-        buckets.withColumn("_want", F.explode(ranks))
-        .filter(
-            (F.ceil("_want.at") >= F.col("_begin")) & (F.floor("_want.at") < F.col("_end"))
-        )
-        .select(*by, "_bucket", "_begin", "_want")
+    hits = buckets.withColumn("_want", F.explode(ranks)).filter(
+        (hi >= F.col("_begin")) & (lo < F.col("_end"))
     )
     needed = hits.groupBy(*by, "_bucket").agg(
         F.min("_begin").alias("_begin"), F.collect_set("_want").alias("_wants")
@@ -55,19 +69,18 @@ def exact_quantiles(
     ranked = counted.join(needed, [*by, "_bucket"]).withColumn(
         "_to", F.col("_begin") + F.sum("_n").over(inside)
     )
-    ends = ranked.withColumn("_want", F.explode("_wants"))
-    lo, hi = F.floor("_want.at"), F.ceil("_want.at")
 
-    def holds(rank):
+    def holds(rank: Column) -> Column:
         return (rank >= F.col("_to") - F.col("_n")) & (rank < F.col("_to"))
 
-    ends = ends.filter(holds(lo) | holds(hi))
+    ends = ranked.withColumn("_want", F.explode("_wants")).filter(holds(lo) | holds(hi))
     found = ends.groupBy(*by, "_want").agg(
         F.max(F.when(holds(lo), F.col(value))).alias("_lo"),
         F.max(F.when(holds(hi), F.col(value))).alias("_hi"),
     )
-    share = F.col("_want.at") - F.floor("_want.at")
+    share = F.col("_want.at") - lo
     found = found.withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * share)
     return found.groupBy(*by).agg(
-        *[F.max(F.when(F.col("_want.name") == name, F.col("_q"))).alias(name) for name in wanted]
+        *[F.max(F.col(f"_want.all.{c}")).alias(c) for c in ("n", "sum", "max")],
+        *[F.max(F.when(F.col("_want.name") == name, F.col("_q"))).alias(name) for name in wanted],
     )

@@ -11,6 +11,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings: UTC clock and a state store that supports timers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    on_one_machine = spark.sparkContext.master.startswith("local")
+    if on_one_machine and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
 
 
@@ -24,6 +27,8 @@ def local_session(cores: int | str = "*", app: str = "feedkit", **conf: str) ->
         .config("spark.sql.shuffle.partitions", parallel)
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small tables still use all cores: their rows are few but cost a lot of computing.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -61,7 +61,7 @@ class FragmentTracker(Expiring):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        ident, cnt, seen, bitmap, deadline = self.state.get() if self.state.exists() else (None, 0, 0, b"", None)
+        ident, cnt, seen, bitmap, deadline = self.state.get() or (None, 0, 0, b"", None)
         bitmap, latest = bytearray(bitmap), 0
         for row in sorted(rows, key=lambda r: r["arrival"]):
             latest = max(latest, _millis(row["arrived_at"]))
@@ -99,9 +99,7 @@ class FrameTracker(Expiring):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        port, uuid, total, seen, bitmap, deadline = (
-            self.state.get() if self.state.exists() else (None, None, 0, 0, b"", None)
-        )
+        port, uuid, total, seen, bitmap, deadline = self.state.get() or (None, None, 0, 0, b"", None)
         bitmap, latest = bytearray(bitmap), 0
         for row in sorted(rows, key=lambda r: r["arrival"]):
             latest = max(latest, _millis(row["arrived_at"]))
@@ -149,7 +147,7 @@ class SequenceTracker(Expiring):
         return None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        nxt, closed, deadline = self.state.get() if self.state.exists() else (1, False, None)
+        nxt, closed, deadline = self.state.get() or (1, False, None)
         early: dict[int, tuple[str, bool]] = {}
         latest = 0
         for row in sorted(rows, key=lambda r: r["arrival"]):
@@ -193,7 +191,7 @@ class FirstSeenTracker(Expiring):
         self.state = handle.getValueState("first", "filepath string, deadline bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first, deadline = self.state.get() if self.state.exists() else (None, None)
+        first, deadline = self.state.get() or (None, None)
         latest = 0
         for row in sorted(rows, key=lambda r: r["seq"]):
             latest = max(latest, _millis(row["arrived_at"]))

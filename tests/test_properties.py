@@ -21,7 +21,7 @@ from feedkit.operators.fragments import (
 )
 from feedkit.operators.frames import inflight_runs, reassemble_frames, run_status
 from feedkit.operators.sequence import sequence_gaps, sequence_release
-from feedkit.plans.quantiles import exact_quantiles
+from feedkit.plans.quantiles import exact_summary
 from helpers import tuples
 
 SLOW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -226,7 +226,7 @@ def test_missing_fragments_spells_out_long_ranges(spark):
     assert got.agg(F.min("idx"), F.max("idx"), F.count_distinct("idx")).first()[:] == (1, 35_000, 34_999)
 
 
-def test_exact_quantiles_match_interpolation(spark):
+def test_exact_summary_matches_interpolation(spark):
     rng = np.random.default_rng(3)
     groups = {
         "wide": rng.integers(-(10**15), 10**15, 900),
@@ -239,9 +239,10 @@ def test_exact_quantiles_match_interpolation(spark):
     rows = [(g, int(x)) for g, xs in groups.items() for x in xs]
     df = spark.createDataFrame(rows, "g string, x bigint")
     wanted = {"lo": 0.0, "p10": 0.1, "p50": 0.5, "p95": 0.95, "hi": 1.0}
-    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "x", wanted).collect()}
+    got = {r["g"]: r for r in exact_summary(df, ["g"], "x", wanted).collect()}
     assert set(got) == set(groups)
     for g, xs in groups.items():
+        assert (got[g]["n"], int(got[g]["sum"]), got[g]["max"]) == (len(xs), sum(map(int, xs)), max(xs))
         for name, q in wanted.items():
             assert got[g][name] == pytest.approx(float(np.quantile(xs, q)), rel=1e-12, abs=1e-6), (g, name)
 
