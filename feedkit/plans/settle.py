@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[str] = []
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for `name` below the session's checkpoint folder."""
@@ -28,4 +30,15 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     spark = df.sparkSession
     folder = shared_folder(spark, name)
     df.write.parquet(folder)
+    _written.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def drop_settled(spark: SparkSession) -> int:
+    """Remove the tables that `settle` wrote in this process; call it when their readers are done."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    count = len(_written)
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return count

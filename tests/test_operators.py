@@ -14,7 +14,7 @@ from feedkit.operators.guards import ROUTES, route_by_kind
 from feedkit.operators.metrics import feed_metrics, merge_metrics, size_histogram
 from feedkit.operators.sequence import numbered_packets
 from feedkit.plans.flows import forward_feed, incoming_feed, outgoing_feed
-from feedkit.plans.settle import settle, shared_folder
+from feedkit.plans.settle import drop_settled, settle, shared_folder
 from feedkit.plans.skew import attach_group_facts, salted_lookup
 from feedkit.sources import staging as stg
 from feedkit.sources.synth import synth_feed
@@ -318,3 +318,11 @@ def test_synthetic_feed(spark):
 
 def test_shared_folder_is_below_the_configured_one(spark):
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_settled_tables_can_be_dropped(spark):
+    kept = settle(spark.range(10).toDF("seq"), "dropped")
+    assert kept.count() == 10
+    assert drop_settled(spark) >= 1
+    assert drop_settled(spark) == 0
+    assert shared_folder(spark, "x") != shared_folder(spark, "x")
