@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 
 from feedkit.functions.binding import let
 
+# An element that is empty, `.` or `..`; a leading slash counts, which only costs a fold.
+_UNCLEAN = r"(?:^|/)\.{0,2}(?:/|\z)"
+# The same for a path that ends in a slash.
+_UNCLEAN_FOLDER = r"(?:^|/)\.{0,2}/"
+
 
 def _fold(path: Column, finish: Callable[[Column], Column] | None = None) -> Column:
     """Elements of the cleaned path, without the root mark; `path` must be cheap to repeat."""
@@ -33,7 +38,10 @@ def _fold(path: Column, finish: Callable[[Column], Column] | None = None) -> Col
 
 
 def clean(path: Column) -> Column:
-    """Shortest equivalent path; the empty path is `.`."""
+    """Shortest equivalent path; the empty path is `.`.
+
+    Most paths are clean already, which a pattern can tell; only the others are folded.
+    """
 
     def spelled(p: Column) -> Column:
         def finish(stack: Column) -> Column:
@@ -46,7 +54,7 @@ def clean(path: Column) -> Column:
 
         return _fold(p, finish)
 
-    return let(path, spelled)
+    return F.when(path.rlike(_UNCLEAN), let(path, spelled)).otherwise(path)
 
 
 def join(*parts: Column) -> Column:
@@ -69,10 +77,10 @@ def rel(base: Column, target: Column) -> Column:
     """Path that leads from directory `base` to `target`, null where none can be told."""
 
     def parts(p: Column) -> Column:
-        return F.struct(p.startswith("/").alias("rooted"), let(p, lambda q: _fold(q)).alias("parts"))
+        return F.filter(F.split(clean(p), "/"), lambda e: (e != "") & (e != "."))
 
     def led(pair: Column) -> Column:
-        here, there = pair["base"]["parts"], pair["target"]["parts"]
+        here, there = pair["base"], pair["target"]
         mismatch = F.filter(
             F.sequence(F.lit(0), F.least(F.size(here), F.size(there))),
             lambda i: F.coalesce(F.get(here, i) != F.get(there, i), F.lit(True)),
@@ -82,14 +90,18 @@ def rel(base: Column, target: Column) -> Column:
             up = F.array_repeat(F.lit(".."), F.size(here) - common)
             down = F.slice(there, common + 1, F.size(there))
             steps = F.concat(up, down)
-            unknown = (pair["base"]["rooted"] != pair["target"]["rooted"]) | F.coalesce(
-                F.get(here, common) == "..", F.lit(False)
-            )
+            unknown = F.coalesce(F.get(here, common) == "..", F.lit(False))
             return F.when(~unknown, F.when(F.size(steps) == 0, F.lit(".")).otherwise(F.array_join(steps, "/")))
 
         return let(F.array_min(mismatch), spelled)
 
-    return let(F.struct(parts(base).alias("base"), parts(target).alias("target")), led)
+    led_from = let(F.struct(parts(base).alias("base"), parts(target).alias("target")), led)
+    # A target right below the base is the common case.
+    below = target.startswith(base) & base.endswith("/") & ~base.rlike(_UNCLEAN_FOLDER) & ~target.rlike(_UNCLEAN)
+    return (
+        F.when(below, F.substr(target, F.length(base) + 1))
+        .when(base.startswith("/") == target.startswith("/"), led_from)
+    )
 
 
 def walk_key(path: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedkit.functions.attributes import get_attr, last_wins, literal_attrs, nanos, rfc3339, set_attrs
@@ -136,24 +136,27 @@ def explode_hops(files: DataFrame, keys: Sequence[str] = ("uuid",)) -> DataFrame
 
 
 def hop_pairs(hops: DataFrame, key: str = "uuid", ts: str = "ts_ns") -> DataFrame:
-    """Adjacent hops of a file: from_action, to_action, elapsed.
+    """Adjacent hops of a file, from hop rows: from_action, to_action, elapsed.
 
-    Each hop goes to its two pairs and a partial aggregation brings the two ends together, so no
-    file's chain is gathered.
+    The rows are first reduced to one per hop number in the map tasks, the latest where a hop was
+    recorded again. What is left of a key is one chain, which is no longer than a file's attributes
+    allow, so a window can walk it.
     """
-    ends = hops.select(
-        key, "action", F.col(ts).alias("_ts"), "hop", F.explode(F.array(F.col("hop"), F.col("hop") - 1)).alias("_pair")
+    once = hops.groupBy(key, "hop").agg(
+        F.max(ts).alias("_ts"), F.max_by("action", ts).alias("action")
     )
-    newer = F.col("hop") == F.col("_pair")
-    paired = ends.groupBy(key, "_pair").agg(
-        F.max(F.when(~newer, F.struct("_ts", "action"))).alias("_from"),
-        F.max(F.when(newer, F.struct("_ts", "action"))).alias("_to"),
-    )
-    return paired.filter(F.col("_from").isNotNull() & F.col("_to").isNotNull()).select(
-        key,
-        F.coalesce("_from.action", F.lit("")).alias("from_action"),
-        F.coalesce("_to.action", F.lit("")).alias("to_action"),
-        (F.col("_to._ts") - F.col("_from._ts")).alias("elapsed"),
+    chain = Window.partitionBy(key).orderBy(F.desc("hop"))
+    return (
+        once.withColumns(
+            {"_before": F.lag("_ts").over(chain), "_from": F.lag("action").over(chain)}
+        )
+        .select(
+            key,
+            F.coalesce("_from", F.lit("")).alias("from_action"),
+            F.coalesce("action", F.lit("")).alias("to_action"),
+            (F.col("_ts") - F.col("_before")).alias("elapsed"),
+        )
+        .filter(F.col("elapsed").isNotNull())
     )
 
 
@@ -164,14 +167,20 @@ def attr_hop_pairs(files: DataFrame, keys: Sequence[str] = ("uuid",)) -> DataFra
     def field(hop: Column, name: str) -> Column:
         return get_attr(attrs, F.concat_ws(".", F.lit(PREFIX), hop.cast("string"), F.lit(name)))
 
-    older, newer = F.col("_hop") + 1, F.col("_hop")
-    pairs = files.select(*keys, "attrs", F.explode(hop_numbers(attrs)).alias("_hop"))
-    return pairs.select(
-        *keys,
-        field(older, "action").alias("from_action"),
-        field(newer, "action").alias("to_action"),
-        (nanos(field(newer, "time")) - nanos(field(older, "time"))).alias("elapsed"),
-    ).filter(F.col("elapsed").isNotNull())
+    numbered = files.select(*keys, "attrs", hop_numbers(attrs).alias("_hops"))
+    placed = numbered.select(*keys, "attrs", "_hops", F.posexplode("_hops").alias("_i", "_newer"))
+    pairs = placed.withColumn("_older", F.get("_hops", F.col("_i") + 1))
+    older, newer = F.col("_older"), F.col("_newer")
+    return (
+        pairs.filter(older.isNotNull())
+        .select(
+            *keys,
+            field(older, "action").alias("from_action"),
+            field(newer, "action").alias("to_action"),
+            (nanos(field(newer, "time")) - nanos(field(older, "time"))).alias("elapsed"),
+        )
+        .filter(F.col("elapsed").isNotNull())
+    )
 
 
 def hop_latency(hops: DataFrame, key: str = "uuid", ts: str = "ts_ns") -> DataFrame:

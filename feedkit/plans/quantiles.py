@@ -7,16 +7,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A number falls into a bucket by its sign, bit length and this many leading bits.
-BUCKET_BITS = 12
+# Numbers below the first limit are buckets of their own; from each limit on, eight more bits are
+# cleared, so that a bucket is told by eight to sixteen leading bits.
+BUCKET_LIMITS = tuple(1 << bits for bits in range(16, 63, 8))
 
 
 def _bucket(value: str) -> Column:
     """The number with its low bits cleared; truncating towards zero keeps the order."""
     size = F.abs(F.col(value))
-    low_bits = F.greatest(F.length(F.bin(size)) - BUCKET_BITS, F.lit(0))
-    cleared = F.call_function("shiftleft", F.call_function("shiftright", size, low_bits), low_bits)
-    return (F.signum(value) * cleared).cast("bigint")
+    low_bits = F.lit((1 << 8 * len(BUCKET_LIMITS)) - 1)
+    for i in reversed(range(len(BUCKET_LIMITS))):
+        low_bits = F.when(size < BUCKET_LIMITS[i], F.lit((1 << 8 * i) - 1)).otherwise(low_bits)
+    sign = F.when(F.col(value) < 0, F.lit(-1)).otherwise(F.lit(1))
+    return F.col(value) - sign * size.bitwiseAND(low_bits.cast("bigint"))
 
 
 def exact_summary(
