@@ -303,6 +303,10 @@ ORACLES: dict[str, str] = {
     select seq, 'checksumType', case when seq % 2 = 0 then 'NEW' else 'OLD' end from files
     union all
     select seq, 'file.lastModifiedTime', source from files where seq % 2 = 1""",
+    "attrs_json": _with(HOPS) + _chain(0),
+    "numbered_packets": """select socket_id, n, socket_id <> '' and n not like 'x%' as accepted from (
+      select case when conv_id % 9 = 0 then '' else conv_id::varchar end as socket_id,
+        case when turn % 5 = 4 then 'x' || turn else (turn + 1)::varchar end as n from conversations)""",
     "resolve_links": _with(FILES, DEDUP)
     + """select d.seq, case when d.seq % 10 = 0 then d.path || 'gone.txt' else f.path || f.filename end as resolved,
       case when d.seq % 10 = 0 then 'dangling' else 'resolved' end as link_state,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feedkit import model
 from feedkit.catalog import views as v
+from feedkit.functions import attributes as at
 from feedkit.functions.attributes import get_attr, literal_attrs
 from feedkit.operators import checksum as ck
 from feedkit.operators import custody as cu
@@ -373,6 +374,23 @@ def canonical_attrs(spark, sf_dir):
 
 
 
+@query
+def attrs_json(spark, sf_dir):
+    from_json, to_json = at.attrs_from_json, at.attrs_to_json
+    return _pairs(_chains(spark, sf_dir).withColumn("attrs", from_json(to_json(F.col("attrs")))))
+
+
+@query
+def numbered_packets(spark, sf_dir):
+    talks = v.table(spark, sf_dir, "conversations").select(
+        F.expr("CASE WHEN conv_id % 9 = 0 THEN '' ELSE cast(conv_id AS string) END").alias("socket_id"),
+        F.expr("CASE WHEN turn % 5 = 4 THEN 'x' || turn ELSE cast(turn + 1 AS string) END").alias("n"),
+    )
+    ok, rejects = sq.numbered_packets(talks)
+    told = ok.withColumns({"n": F.col("n").cast("string"), "accepted": F.lit(True)})
+    return told.unionByName(rejects.withColumn("accepted", F.lit(False)))
+
+
 # Joins
 
 

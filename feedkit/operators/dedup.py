@@ -81,18 +81,17 @@ def resolve_links(
     files have one path, the one with the lowest seq counts.
     """
     taken = [c for c in restore if c in files.columns]
-    source = files.select(
-        clean(join(F.col("path"), F.col("filename"))).alias("resolved"),
-        F.struct("seq", *taken).alias("_source"),
-    )
-    first = source.groupBy("resolved").agg(F.min_by("_source", "_source.seq").alias("_source"))
+    paths = files.select(clean(join(F.col("path"), F.col("filename"))).alias("resolved"), "seq")
+    first = paths.groupBy("resolved").agg(F.min("seq").alias("_source_seq"))
+    source = files.select(F.col("seq").alias("_source_seq"), F.struct("seq", *taken).alias("_source"))
     pointed = attach_group_facts(
         mark_links(links),
         ["resolved"],
         [],
         spread_on,
         members=F.col("link_ok"),
-        refine=lambda facts: facts.join(first, "resolved"),
+        # Only files that a link points to are looked up, by their number.
+        refine=lambda facts: facts.join(first, "resolved").join(source, "_source_seq"),
         salts=salts,
     )
     found = F.col("link_ok") & F.col("_source").isNotNull()
@@ -100,7 +99,7 @@ def resolve_links(
     result = pointed.withColumn("link_state", state)
     for c in taken:
         result = result.withColumn(f"resolved_{c}", F.when(found, F.col(f"_source.{c}")))
-    return result.drop("_source")
+    return result.drop("_source", "_source_seq")
 
 
 def dedup_savings(deduped: DataFrame, by: Sequence[str] = ("source",)) -> DataFrame:

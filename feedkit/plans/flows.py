@@ -49,6 +49,15 @@ def split_by_gate(
     return ok.drop("_gate"), bad.drop("_gate")
 
 
+def mark_by_gate(
+    rows: DataFrame, rejected: DataFrame, scope: str, key: Sequence[str] = ("seq",)
+) -> DataFrame:
+    """Rows with `batch_ok`, false where their gate was rejected, in one pass."""
+    flagged = rejected.withColumn("_bad", F.lit(True))
+    marked = salted_lookup(with_gate(rows, scope, key), flagged, ["_gate"], key, "left")
+    return marked.withColumn("batch_ok", F.col("_bad").isNull()).drop("_gate", "_bad")
+
+
 def forward_feed(
     files: DataFrame,
     label: str,

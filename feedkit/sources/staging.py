@@ -14,7 +14,7 @@ from feedkit.functions.attributes import literal_attrs, set_attrs
 from feedkit.operators.checksum import STAGE
 from feedkit.operators.custody import stamp_hop
 from feedkit.operators.guards import path_guard
-from feedkit.plans.flows import judge, split_by_gate
+from feedkit.plans.flows import judge, mark_by_gate
 from feedkit.plans.skew import salted_lookup
 
 POLL = "3 seconds"
@@ -46,16 +46,13 @@ def stage_feed(
     """
     stage_id = F.lit(uuid.uuid4().hex)
     rows = staged(files, host, at)
-    stored = rows.withColumn("batch_ok", F.lit(True))
     if verify:
         verdicts, rejected = judge(files, STAGE, key=spread_on)
-        ok, bad = split_by_gate(rows, rejected, STAGE.scope, spread_on)
         passed = verdicts.join(rejected, "_gate", "left_anti")
-        stored = ok.withColumn("batch_ok", F.lit(True))
-        if keep_partial:
-            stored = stored.unionByName(bad.withColumn("batch_ok", F.lit(False)))
+        stored = mark_by_gate(rows, rejected, STAGE.scope, spread_on)
+        stored = stored if keep_partial else stored.filter("batch_ok")
     else:
-        passed = files
+        passed, stored = files, rows.withColumn("batch_ok", F.lit(True))
     stored = stored.withColumn("stage_id", stage_id)
     if batch_parts:
         bucket = F.pmod(F.xxhash64("batch_id"), F.lit(batch_parts).cast("bigint")).cast("int")

@@ -193,7 +193,8 @@ class FirstSeenTracker(Expiring):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         first, deadline = self.state.get() or (None, None)
         latest = 0
-        for row in sorted(rows, key=lambda r: r["seq"]):
+        # Order matters only until a first path is known; after that rows pass straight through.
+        for row in rows if first is not None else sorted(rows, key=lambda r: r["seq"]):
             latest = max(latest, _millis(row["arrived_at"]))
             yield Row(seq=row["seq"], filepath=row["filepath"], first_path=first)
             first = first if first is not None else row["filepath"]
