@@ -118,7 +118,8 @@ def hop_numbers(attrs: Column) -> Column:
 
 def explode_hops(files: DataFrame, keys: Sequence[str] = ("uuid",)) -> DataFrame:
     """One row per hop with typed columns; absent fields are null."""
-    hops = files.select(*keys, "attrs", F.explode(hop_numbers(F.col("attrs"))).alias("hop"))
+    hops = files.select(*keys, "attrs", F.explode_outer(hop_numbers(F.col("attrs"))).alias("hop"))
+    hops = hops.filter(F.col("hop").isNotNull())
 
     def field(name: str) -> Column:
         key = F.concat_ws(".", F.lit(PREFIX), F.col("hop").cast("string"), F.lit(name))
@@ -167,20 +168,20 @@ def attr_hop_pairs(files: DataFrame, keys: Sequence[str] = ("uuid",)) -> DataFra
     def field(hop: Column, name: str) -> Column:
         return get_attr(attrs, F.concat_ws(".", F.lit(PREFIX), hop.cast("string"), F.lit(name)))
 
-    numbered = files.select(*keys, "attrs", hop_numbers(attrs).alias("_hops"))
-    placed = numbered.select(*keys, "attrs", "_hops", F.posexplode("_hops").alias("_i", "_newer"))
-    pairs = placed.withColumn("_older", F.get("_hops", F.col("_i") + 1))
-    older, newer = F.col("_older"), F.col("_newer")
-    return (
-        pairs.filter(older.isNotNull())
-        .select(
-            *keys,
-            field(older, "action").alias("from_action"),
-            field(newer, "action").alias("to_action"),
-            (nanos(field(newer, "time")) - nanos(field(older, "time"))).alias("elapsed"),
-        )
-        .filter(F.col("elapsed").isNotNull())
+    hops = F.transform(
+        hop_numbers(attrs),
+        lambda n: F.struct(field(n, "action").alias("action"), nanos(field(n, "time")).alias("ts")),
     )
+    chains = files.select(*keys, hops.alias("_chain"))
+    # The outer form keeps Spark from computing the chain a second time to test its size.
+    placed = chains.select(*keys, "_chain", F.posexplode_outer("_chain").alias("_i", "_newer"))
+    older = F.get("_chain", F.col("_i") + 1)
+    return placed.select(
+        *keys,
+        older["action"].alias("from_action"),
+        F.col("_newer.action").alias("to_action"),
+        (F.col("_newer.ts") - older["ts"]).alias("elapsed"),
+    ).filter(F.col("elapsed").isNotNull())
 
 
 def hop_latency(hops: DataFrame, key: str = "uuid", ts: str = "ts_ns") -> DataFrame:

@@ -79,5 +79,6 @@ def read_static_attrs(spark: SparkSession, file: str) -> DataFrame:
 
 
 def parse_static_attrs(texts: DataFrame, text: str = "text", keys: Sequence[str] = ()) -> DataFrame:
-    """The same for a column of whole texts."""
-    return texts.select(*keys, F.inline(attr_lines(F.col(text))))
+    """The same for a column of whole texts, each parsed once."""
+    lines = texts.select(*keys, F.inline_outer(attr_lines(F.col(text))))
+    return lines.filter(F.col("pos").isNotNull())
