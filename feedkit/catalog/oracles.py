@@ -229,7 +229,8 @@ ORACLES: dict[str, str] = {
         FILES,
         f"odd as (select * replace ({ODD_PATH} as path), {ODD_KIND} as kind, {ODD_TARGET} as target from files)",
         f"cleaned as (select *, {ROUTE} as route, {clean_sql('path')} as clean_path from odd)",
-        f"""resolved as (select *, {clean_sql("case when target = '' then clean_path else clean_path || '/' || target end")} as resolved from cleaned)""",
+        "pointed as (select *, case when target = '' then clean_path else clean_path || '/' || target end as aim from cleaned)",
+        f"resolved as (select *, {clean_sql('aim')} as resolved from pointed)",
     )
     + """select seq, route, clean_path, case when route = 'link' then 'unchecked' else state end as state,
       case when clean_path like '..%' or route = 'reject' then 'rejected'

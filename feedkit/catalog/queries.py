@@ -231,7 +231,7 @@ def attach_static_attrs(spark, sf_dir):
     regions = v.table(spark, sf_dir, "region")
     lines = regions.select(
         F.col("r_regionkey").cast("bigint").alias("pos"),
-        F.when(F.col("r_regionkey") == 4, "area0").otherwise(F.concat(F.lit("area"), F.col("r_regionkey").cast("string"))).alias("name"),
+        F.concat(F.lit("area"), (F.col("r_regionkey") % 4).cast("string")).alias("name"),
         F.col("r_name").alias("value"),
     )
     own = literal_attrs({"area1": F.col("lang"), "source": F.col("source")})

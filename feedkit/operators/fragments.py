@@ -14,8 +14,8 @@ from feedkit.plans.skew import attach_group_facts
 
 # A cell must stay well under 2 GiB; larger files remain fragments.
 MAX_CELL = 1 << 30
-# Ranges of missing numbers are spelled out in pieces of this many rows.
-RANGE_STEP = 10_000
+# Ranges of missing numbers are spelled out level by level, so that no array gets long.
+RANGE_STEPS = (10**12, 10**8, 10**4, 1)
 
 
 def smaller_limit(a: int, b: int) -> int:
@@ -129,12 +129,12 @@ def missing_fragments(
     fragments: DataFrame, by: Sequence[str] = ("identifier",), span: int = SPAN
 ) -> DataFrame:
     """One row per missing index."""
-    step = F.lit(RANGE_STEP).cast("bigint")
-    pieces = missing_ranges(fragments, by, span).withColumn(
-        "_start", F.explode(F.sequence("from_n", "to_n", step))
-    )
-    last = F.least(F.col("_start") + (step - 1), F.col("to_n"))
-    return pieces.select(*by, F.explode(F.sequence(F.col("_start"), last)).alias("idx"))
+    pieces = missing_ranges(fragments, by, span)
+    for step in RANGE_STEPS:
+        width = F.lit(step).cast("bigint")
+        pieces = pieces.withColumn("from_n", F.explode(F.sequence("from_n", "to_n", width)))
+        pieces = pieces.withColumn("to_n", F.least(F.col("from_n") + (width - 1), F.col("to_n")))
+    return pieces.select(*by, F.col("from_n").alias("idx"))
 
 
 def latest_attempt(

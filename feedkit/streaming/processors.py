@@ -17,6 +17,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 # Executors get the classes with the query, whether or not the package is installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# A file's bitmap has one bit per piece. A file that claims more pieces comes out as `refused`; the
+# batch operators, which count instead, take it.
+MAX_PIECES = 1 << 27
+
 
 def _millis(moment) -> int:
     return int(moment.timestamp() * 1000)
@@ -69,7 +73,11 @@ class FragmentTracker(Expiring):
                 continue
             if row["identifier"] != ident:
                 ident, cnt, seen = row["identifier"], row["cnt"], 0
-                bitmap = bytearray((cnt + 7) // 8)
+                bitmap = bytearray((cnt + 7) // 8 if cnt <= MAX_PIECES else 0)
+                if cnt > MAX_PIECES:
+                    yield Row(path=key[0], filename=key[1], identifier=ident, event="refused", seen=0, cnt=cnt)
+            if cnt > MAX_PIECES:
+                continue
             if row["idx"] > cnt or seen == cnt or _bit(bitmap, row["idx"] - 1):
                 continue
             seen += 1
@@ -83,7 +91,7 @@ class FragmentTracker(Expiring):
             return
         ident, cnt, seen, _, _ = self.state.get()
         self.state.clear()
-        if seen < cnt:
+        if seen < cnt <= MAX_PIECES:
             yield Row(path=key[0], filename=key[1], identifier=ident, event="expired", seen=seen, cnt=cnt)
 
 
@@ -104,10 +112,14 @@ class FrameTracker(Expiring):
         for row in sorted(rows, key=lambda r: r["arrival"]):
             latest = max(latest, _millis(row["arrived_at"]))
             if row["uuid"] != uuid:
-                if uuid is not None and seen < total:
+                if uuid is not None and seen < total <= MAX_PIECES:
                     yield Row(port=port, uuid=uuid, event="abandoned", total=total, seen=seen)
                 port, uuid, total, seen = row["port"], row["uuid"], row["total"], 0
-                bitmap = bytearray((total + 7) // 8)
+                bitmap = bytearray((total + 7) // 8 if total <= MAX_PIECES else 0)
+                if total > MAX_PIECES:
+                    yield Row(port=port, uuid=uuid, event="refused", total=total, seen=0)
+            if total > MAX_PIECES:
+                continue
             if not row["carries"] or seen == total or row["slot"] >= total or _bit(bitmap, row["slot"]):
                 continue
             seen += 1
@@ -120,7 +132,7 @@ class FrameTracker(Expiring):
             return
         port, uuid, total, seen, _, _ = self.state.get()
         self.state.clear()
-        if seen < total:
+        if seen < total <= MAX_PIECES:
             yield Row(port=port, uuid=uuid, event="expired", total=total, seen=seen)
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedkit.functions.attributes import attrs_from_json, attrs_to_json, nanos
-from feedkit.functions.paths import clean, dirname, rel
+from feedkit.functions.paths import dirname, rel
 from feedkit.model import canonical_attrs
 from feedkit.operators.custody import (
     append_forwarded_for,

@@ -65,8 +65,9 @@ def test_fragments(spark, tmp_path):
     for part in pieces(rows, 4)[2:]:
         feed.arrive(part)
     # One row a week later moves the watermark past everything that is still open.
-    feed.arrive([("z", "f", "Z", 1, 2, 10**6, START + 7 * 86400)])
+    feed.arrive([("z", "f", "Z", 1, 2, 10**6, START + 7 * 86400), ("huge", "f", "H", 1, 10**15, 10**6, START + 7 * 86400)])
     out = feed.run()
+    assert tuples(out.filter("event = 'refused'"), "path", "cnt") == [("huge", 10**15)]
     batch = fragment_status(latest_attempt(spark.createDataFrame(rows, schema)), ["path", "identifier"])
     assert tuples(out.filter("event = 'completed'"), "path", "identifier") == tuples(
         batch.filter("state = 'complete'"), "path", "identifier"
