@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from feedkit.catalog.oracles import ORACLES
+from feedkit.catalog.queries import QUERIES
 from oracle_check import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -14,15 +16,15 @@ def duck():
 
 
 def test_registry():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"scan_files"}
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLES) == {"scan_files"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    got = queries()[name](spark, SF).toPandas()
-    if name in oracle_sql():
-        assert compare(got, duck.execute(oracle_sql()[name]).df()) == ""
+    got = QUERIES[name](spark, SF).toPandas()
+    if name in ORACLES:
+        assert compare(got, duck.execute(ORACLES[name]).df()) == ""
     assert len(got) > 0
 
 
