@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import urlrules
+from feedkit.llm import tokenfiles, urlrules
+from feedkit.plans.settle import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "token-files")
+    tokenfiles.write_tokens(_table(spark, sf_dir, "documents"), folder, _tokenizer(), end_id=2)
+    return tokenfiles.with_crc(tokenfiles.read_tokens(spark, folder))
+
+
 HOST_RULES = (
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -30,6 +43,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_token_files": op8_token_files,
     "op10_url_rules": op10_url_rules,
 }
 
