@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import tokenfiles, urlrules
+from feedkit.llm import packing, tokenfiles, urlrules
 from feedkit.plans.settle import shared_folder
 
 
@@ -19,6 +19,11 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, _ = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), end_id=1)
+    return placed
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "token-files")
     tokenfiles.write_tokens(_table(spark, sf_dir, "documents"), folder, _tokenizer(), end_id=2)
@@ -43,6 +48,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_bin_slack": op4_bin_slack,
     "op8_token_files": op8_token_files,
     "op10_url_rules": op10_url_rules,
 }
