@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import packing, tokenfiles, urlrules
+from feedkit.llm import mixing, packing, tokenfiles, urlrules
 from feedkit.plans.settle import shared_folder
 
 
@@ -24,6 +24,13 @@ def op4_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed
 
 
+def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixing.in_order(mixed).select(
+        "doc_id", "size", "source_size", "target", "taken", "positions"
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "token-files")
     tokenfiles.write_tokens(_table(spark, sf_dir, "documents"), folder, _tokenizer(), end_id=2)
@@ -48,6 +55,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_curriculum_mix": op7_curriculum_mix,
     "op4_bin_slack": op4_bin_slack,
     "op8_token_files": op8_token_files,
     "op10_url_rules": op10_url_rules,
