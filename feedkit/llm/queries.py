@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import mixing, packing, tokenfiles, urlrules
+from feedkit.llm import mixing, neardup, packing, tokenfiles, urlrules
 from feedkit.plans.settle import shared_folder
 
 
@@ -19,6 +19,10 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op4_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), end_id=1)
     return placed
@@ -55,6 +59,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_tensored_minhash": op3_tensored_minhash,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op4_bin_slack": op4_bin_slack,
     "op8_token_files": op8_token_files,
