@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import mixing, neardup, packing, tokenfiles, urlrules
+from feedkit.llm import mixing, neardup, packing, repeats, tokenfiles, urlrules
 from feedkit.plans.settle import shared_folder
 
 
@@ -41,6 +41,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.with_crc(tokenfiles.read_tokens(spark, folder))
 
 
+def op9_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 HOST_RULES = (
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -59,6 +63,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op9_suffix_groups": op9_suffix_groups,
     "op3_tensored_minhash": op3_tensored_minhash,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op4_bin_slack": op4_bin_slack,
