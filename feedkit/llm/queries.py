@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import mixing, neardup, packing, repeats, tokenfiles, urlrules
+from feedkit.llm import mixing, neardup, packing, repeats, tokenfiles, topk, urlrules
 from feedkit.plans.settle import shared_folder
 
 
@@ -28,6 +28,10 @@ def op4_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed
 
 
+def op5_block_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+
+
 def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixing.in_order(mixed).select(
@@ -63,6 +67,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_block_top_k": op5_block_top_k,
     "op9_suffix_groups": op9_suffix_groups,
     "op3_tensored_minhash": op3_tensored_minhash,
     "op7_curriculum_mix": op7_curriculum_mix,
@@ -98,6 +103,21 @@ select page_id, host, path, rule, pattern, case
   when rule is not null or pattern is not null then 'block' else 'allow' end as verdict from d
 """
 
+_OP5 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as e
+  from embeddings where embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), s as (
+  select q.vec_id as query_id, d.vec_id,
+    cast(list_inner_product(cast(q.e as double[]), cast(d.e as double[])) as bigint) as score
+  from v q join v d on q.vec_id <> d.vec_id and len(q.e) = len(d.e) where q.vec_id % 20 = 0
+)
+select query_id, cast(row_number() over w as integer) as rank, vec_id, score from s
+window w as (partition by query_id order by score desc, vec_id) qualify row_number() over w <= 20
+"""
+
 ORACLES = {
+    "op5_block_top_k": _OP5,
     "op10_url_rules": _OP10,
 }
