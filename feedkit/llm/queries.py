@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import mixing, neardup, packing, repeats, tokenfiles, topk, urlrules
+from feedkit.llm import covertree, mixing, neardup, packing, repeats, tokenfiles, topk, urlrules
 from feedkit.plans.settle import shared_folder
 
 
@@ -32,6 +32,10 @@ def op5_block_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
 
 
+def op6_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixing.in_order(mixed).select(
@@ -67,6 +71,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_cover_tree": op6_cover_tree,
     "op5_block_top_k": op5_block_top_k,
     "op9_suffix_groups": op9_suffix_groups,
     "op3_tensored_minhash": op3_tensored_minhash,
