@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import covertree, mixing, neardup, packing, repeats, tokenfiles, topk, urlrules
+from feedkit.llm import covertree, mixing, neardup, packing, quality, repeats, tokenfiles, topk, urlrules
 from feedkit.plans.settle import shared_folder
 
 
@@ -19,6 +19,17 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels, ~quality.held_out(F.col("doc_id")))
+    return quality.score(docs, model).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -71,6 +82,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_nb_svm": op1_nb_svm,
     "op6_cover_tree": op6_cover_tree,
     "op5_block_top_k": op5_block_top_k,
     "op9_suffix_groups": op9_suffix_groups,
