@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import covertree, mixing, neardup, packing, quality, repeats, tokenfiles, topk, urlrules
+from feedkit.llm import covertree, mixing, neardup, packing, pii, quality, repeats, tokenfiles, topk, urlrules
 from feedkit.plans.settle import shared_folder
 
 
@@ -30,6 +30,11 @@ def op1_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_semi_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -82,6 +87,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_semi_crf": op2_semi_crf,
     "op1_nb_svm": op1_nb_svm,
     "op6_cover_tree": op6_cover_tree,
     "op5_block_top_k": op5_block_top_k,
