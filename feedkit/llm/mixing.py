@@ -150,3 +150,49 @@ def in_order(mixed: DataFrame) -> DataFrame:
     """Documents by the position of their first pass; those not taken come last."""
     first = F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0))
     return mixed.withColumn("_first", first).repartitionByRange("_first", "doc_id").sortWithinPartitions("_first", "doc_id").drop("_first")
+
+
+def _twins(rows: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """Number rows of one key, source and size; adds these without nulls."""
+    own = {
+        "_k": F.coalesce(key, F.lit(0)),
+        "_no_k": F.col(key).isNull(),
+        "_s": F.coalesce("source", F.lit("")),
+        "_no_s": F.col("source").isNull(),
+    }
+    same = Window.partitionBy(*own, "_size").orderBy(*order)
+    return rows.withColumns(own).withColumn("_twin", F.row_number().over(same))
+
+
+def drawn(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of `docs`, columns as they are, once for each pass that takes them, by position.
+
+    The one document of a source that a pass takes in part keeps its first words, with single spaces.
+    """
+    # Whole rows travel in one column, so their names meet no others.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    rows = rows.select("_row", F.col("_row")[key].alias(key), F.col("_row.source").alias("source"))
+    rows = rows.withColumn("_size", word_count(F.col("_row.text")))
+    rows = _twins(rows, key, [F.xxhash64("_row.text")])
+    taken = mixed.select(key, "source", F.col("size").alias("_size"), "taken", "positions")
+    taken = _twins(taken, key, [F.col("positions")]).withColumnRenamed("_twin", "_other")
+    on = ["_k", "_no_k", "_s", "_no_s", "_size"]
+    taken = taken.filter("taken > 0").select(*on, "_other", "taken", "positions")
+    # The twins' numbers are compared after the join, so that rows move once.
+    met = rows.join(taken, on).filter("_twin - _other = 0")
+    met = met.select(
+        key,
+        "_row",
+        (F.col("taken") % F.col("_size")).alias("_last"),
+        F.size("positions").alias("_passes"),
+        F.posexplode("positions").alias("_nth", "_position"),
+    )
+    words = F.regexp_extract_all(F.col("_row.text"), F.lit(f"({WORD})"), F.lit(1))
+    cut = (F.col("_last") > 0) & (F.col("_nth") == F.col("_passes") - 1)
+    text = F.when(cut, F.array_join(F.slice(words, 1, F.col("_last").cast("int")), " "))
+    met = met.withColumn("_text", F.coalesce(text, F.col("_row.text")))
+    met = met.repartitionByRange("_position", key).sortWithinPartitions("_position", key)
+    changed = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return met.select(*[changed.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])

@@ -187,6 +187,7 @@ def _span_features(words, kinds, i, j, digits, groups, many_ats, many_dots) -> n
         f"after {kinds[j] if j < len(kinds) else '>'} {bool(letters)}",
         f"two before {''.join(kinds[max(i - 2, 0) : i])} {bool(letters)}",
         f"two after {''.join(kinds[j : j + 2])} {bool(letters)}",
+        f"last {words[j - 1].lower()[-6:] if many_ats else ''}",
         f"next word {words[j + 1].lower()[:6] if j + 1 < len(words) and many_ats else ''}",
     )
     return np.array([zlib.crc32(n.encode()) % FEATURES for n in names], np.int32)
@@ -313,6 +314,11 @@ def lessons(text: str, choice: random.Random) -> list[tuple[str, list[Span]]]:
         right = text[end : min(end + 2 * MARGIN, spans[i + 1][0] if i + 1 < len(spans) else len(text))]
         for body in (text[begin:end], rewritten(kind, text[begin:end], choice)):
             out.append((left + body + right, [(len(left), kind, len(left) + len(body))]))
+        words = re.findall(r"[^\W\d_]+", left + right)
+        if kind == 0 and words:  # the text's own words with at and dot are no address
+            a, b, c = (choice.choice(words) for _ in range(3))
+            at, dot = choice.choice(((" at ", " dot "), ("@", "."), (" at ", ". ")))
+            out.append((f"{left}{a}{at}{b}{dot}{c}{right}" if at != "@" else f"{left}{a} @ {b} {c}{right}", []))
     for begin, end in windows_of(text, spans)[:4]:
         out.append((text[begin:end], []))
     return out

@@ -13,7 +13,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer() -> str:
+def tokenizer_file() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
@@ -40,7 +40,7 @@ def op3_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed, _ = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), end_id=1)
+    placed, _ = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_file(), end_id=1)
     return placed
 
 
@@ -61,7 +61,7 @@ def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "token-files")
-    tokenfiles.write_tokens(_table(spark, sf_dir, "documents"), folder, _tokenizer(), end_id=2)
+    tokenfiles.write_tokens(_table(spark, sf_dir, "documents"), folder, tokenizer_file(), end_id=2)
     return tokenfiles.with_crc(tokenfiles.read_tokens(spark, folder))
 
 
