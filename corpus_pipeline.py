@@ -1,19 +1,62 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences, in five stages.
+
+Every stage works on all that the one before kept, and is written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from feedkit.llm import mixing, neardup, packing, pii, quality
+from feedkit.llm.queries import tokenizer_file
 from feedkit.plans.settle import settle
 
-STAGES: list = []
 
-#: SQL cannot express the trained stages; tests compare them with brute force.
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on all rows with labels, does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.keep_good(docs, quality.train(docs, labels, F.lit(True)))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near duplicates."""
+    found = neardup.near_duplicates(docs, width=5, percent=80)
+    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by the name of its kind."""
+    masked = pii.mask(docs, pii.train(docs))
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, in the order of its curriculum."""
+    return mixing.drawn(docs, mixing.mix(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces placed in sequences of 2048."""
+    placed, _ = packing.pack(docs, tokenizer_file(), end_id=1)
+    return placed
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("near_duplicates", without_near_duplicates),
+    ("personal_data", private),
+    ("mixing", mixed),
+    ("packing", packed),
+]
+
+#: Trained models, hashes and tokenizers are not SQL: tests compare each stage with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written as Parquet and read again by the next."""
+    """All stages over `documents`."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
