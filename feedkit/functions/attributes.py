@@ -99,10 +99,14 @@ def attr_lines(text: Column) -> Column:
 
 
 def nanos(text: Column) -> Column:
-    """RFC 3339 text with up to nine fraction digits as exact nanoseconds since the epoch."""
+    """RFC 3339 text with up to nine fraction digits as exact nanoseconds since the epoch.
+
+    Null for other texts, and for times that 64 bits cannot count (before 1677, after 2262).
+    """
     base, fraction, zone = (F.regexp_extract(text, _RFC3339, i) for i in (1, 2, 3))
     seconds = F.unix_seconds(F.concat(base, zone).try_cast("timestamp"))
-    return seconds * F.lit(NANOS) + F.rpad(fraction, 9, "0").cast("bigint")
+    whole = F.try_multiply(seconds, F.lit(NANOS).cast("bigint"))
+    return F.try_add(whole, F.rpad(fraction, 9, "0").cast("bigint"))
 
 
 def rfc3339(ts: Column) -> Column:

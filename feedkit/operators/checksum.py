@@ -115,7 +115,7 @@ def mark_batches(
         [batch],
         [F.max(bad.cast("int")).alias("_bad")],
         spread_on,
-        refine=lambda facts: facts.filter(F.col("_bad") == 1),
+        refine=lambda facts: facts.filter((F.col("_bad") == 1) & F.col(batch).isNotNull()),
         salts=salts,
     )
     # A row without a batch forms its own batch, so a bad one still fails.

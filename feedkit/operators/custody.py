@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedkit.functions.attributes import get_attr, last_wins, literal_attrs, nanos, rfc3339, set_attrs
+from feedkit.functions.attributes import get_attr, literal_attrs, nanos, rfc3339, set_attrs
 from feedkit.plans.quantiles import exact_summary
 
 # Attribute names of one hop, as <prefix>.<number>.<field>.
@@ -26,10 +26,8 @@ FIELDS = {
     "local_host": "local.host",
     "local_port": "local.port",
 }
-_NUMBERED = r"^custodyChain\.(\d+)\.(.*)$"
-
-# Static attributes come from one small configuration file; a larger table is refused.
-MAX_STATIC_ATTRS = 10_000
+# Numbers as hops are written: no leading zeros, and room to count up; other names are left alone.
+_NUMBERED = r"^custodyChain\.(0|[1-9]\d{0,17})\.(.*)$"
 
 
 def shifted(attrs: Column) -> Column:
@@ -53,17 +51,14 @@ def static_map(static: Mapping[str, str] | DataFrame) -> Column:
     """Static attributes as one map column.
 
     A DataFrame (pos, name, value) is read through a scalar subquery, so it never joins the files;
-    later lines win.
+    of lines with one name the last wins, which partial aggregation decides.
     """
     if isinstance(static, Mapping):
         return literal_attrs(static)
-    bounded = static.select("pos", "name", "value").limit(MAX_STATIC_ATTRS + 1)
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "name", "value")))
-    pairs = F.transform(ordered, lambda s: F.struct(s["name"].alias("key"), s["value"].alias("value")))
-    checked = F.when(F.size(ordered) <= MAX_STATIC_ATTRS, last_wins(pairs)).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_STATIC_ATTRS} static attributes")).cast("map<string,string>")
-    )
-    return bounded.agg(checked.alias("static")).scalar()
+    last = static.filter(F.col("name").isNotNull()).groupBy("name")
+    last = last.agg(F.max_by("value", F.struct("pos", "value")).alias("value")).filter("value is not null")
+    pairs = F.map_from_entries(F.collect_list(F.struct("name", "value")))
+    return last.agg(pairs.alias("static")).scalar()
 
 
 def attach_static_attrs(files: DataFrame, static: Mapping[str, str] | DataFrame) -> DataFrame:
@@ -136,6 +131,13 @@ def explode_hops(files: DataFrame, keys: Sequence[str] = ("uuid",)) -> DataFrame
     )
 
 
+def latest_hops(hops: DataFrame, key: str = "uuid", ts: str = "ts_ns") -> DataFrame:
+    """One row per hop number: `_ts` and `action` of the latest record; no action reads as empty."""
+    known = F.struct(F.col(ts).isNotNull(), F.col(ts), F.coalesce("action", F.lit("")))
+    action = F.max_by(F.coalesce("action", F.lit("")), known)
+    return hops.groupBy(key, "hop").agg(F.max(ts).alias("_ts"), action.alias("action"))
+
+
 def hop_pairs(hops: DataFrame, key: str = "uuid", ts: str = "ts_ns") -> DataFrame:
     """Adjacent hops of a file, from hop rows: from_action, to_action, elapsed.
 
@@ -143,9 +145,7 @@ def hop_pairs(hops: DataFrame, key: str = "uuid", ts: str = "ts_ns") -> DataFram
     recorded again. What is left of a key is one chain, which is no longer than a file's attributes
     allow, so a window can walk it.
     """
-    once = hops.groupBy(key, "hop").agg(
-        F.max(ts).alias("_ts"), F.max_by("action", ts).alias("action")
-    )
+    once = latest_hops(hops, key, ts)
     chain = Window.partitionBy(key).orderBy(F.desc("hop"))
     return (
         once.withColumns(
@@ -216,13 +216,13 @@ def custody_path(attrs: Column) -> Column:
     return F.array_join(actions, ">")
 
 
-def custody_paths(hops: DataFrame, key: str = "uuid") -> DataFrame:
+def custody_paths(hops: DataFrame, key: str = "uuid", ts: str = "ts_ns") -> DataFrame:
     """How many files took each action sequence.
 
-    A file has one action per hop number, so the rows are first reduced to that: a key that repeats
-    endlessly shrinks in the map tasks.
+    A file has one action per hop number, the latest recorded, so the rows are first reduced to that:
+    a key that repeats endlessly shrinks in the map tasks.
     """
-    once = hops.groupBy(key, "hop").agg(F.max("action").alias("action"))
+    once = latest_hops(hops, key, ts)
     paths = once.groupBy(key).agg(
         F.expr("listagg(action, '>') WITHIN GROUP (ORDER BY hop DESC)").alias("path")
     )

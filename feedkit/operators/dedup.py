@@ -49,6 +49,7 @@ def dedup_to_links(
         return named.withColumns(
             {"target": F.lit(None).cast("string"), "orig_size": F.col("size")}
         )
+    # A missing checksum type is a type like others: the join takes null as equal to null.
     has_key = (F.col("size") > 0) & F.col("checksum").isNotNull()
     facts = attach_group_facts(
         named,

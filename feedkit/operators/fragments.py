@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedkit.functions.attributes import literal_attrs, set_attrs
 from feedkit.functions.hashing import digest, digest_by
 from feedkit.plans.ordered import SPAN, number_gaps, runs
-from feedkit.plans.skew import attach_group_facts
+from feedkit.plans.skew import attach_group_facts, join_null_safe
 
 # A cell must stay well under 2 GiB; larger files remain fragments.
 MAX_CELL = 1 << 30
@@ -121,7 +121,7 @@ def missing_ranges(
     """Ranges from_n..to_n of indices in 1..cnt that no fragment has."""
     valid = fragments.filter(_usable())
     # The index after the last one closes the range at the end of each file.
-    ends = valid.groupBy(*by).agg((F.max("cnt") + 1).alias("idx"))
+    ends = valid.groupBy(*by).agg(F.try_add(F.max("cnt"), F.lit(1)).alias("idx")).dropna(subset="idx")
     return number_gaps(valid.select(*by, "idx").unionByName(ends), by, "idx", span)
 
 
@@ -156,12 +156,26 @@ def latest_attempt(
         path,
         [],
         spread_on=[*path, order],
-        refine=lambda facts: facts.join(starts, list(path)),
+        refine=lambda facts: join_null_safe(facts, starts, list(path)),
         how="inner",
     )
     return marked.filter(F.col(order) >= F.col("_start")).drop("_start")
 
 
+def without_oversized(
+    pieces: DataFrame, copies: DataFrame, by: Sequence[str], position: str, payload: str, order: str, max_cell: int
+) -> DataFrame:
+    """Mark files whose pieces hold more than `max_cell` bytes with `_large` and drop their payload.
+
+    What counts is what the pieces really hold: the first copies' lengths, summed without the payload.
+    """
+    lengths = copies.groupBy(*by, position).agg(F.min_by(F.octet_length(payload), order).alias("_bytes"))
+    large = lengths.groupBy(*by).agg(F.sum("_bytes").alias("_bytes")).filter(F.col("_bytes") > max_cell)
+    marked = join_null_safe(pieces, large.select(*by, F.lit(True).alias("_large")), by, "left")
+    marked = marked.withColumn("_large", F.coalesce("_large", F.lit(False)))
+    return marked.withColumn(payload, F.when(~F.col("_large"), F.col(payload)))
+
+
 def join_pieces(
     pieces: DataFrame, by: Sequence[str], position: str, payload: str, carried: Sequence[Column]
 ) -> DataFrame:
@@ -203,25 +217,23 @@ def reassemble(
     moves. Rows come out as `complete`, `unverified` (the parent names no checksum), `corrupt` or
     `too_large` (refused: the file stays as fragments); incomplete files are left out.
     """
-    large = F.greatest(
-        F.coalesce("orig_size", F.lit(0)), F.col("cnt") * F.octet_length("part")
-    ) > F.lit(max_cell)
-    valid = fragments.filter(_usable()).withColumn("_large", large)
+    valid = fragments.filter(_usable())
     pieces = (
-        valid.withColumn("part", F.when(~F.col("_large"), F.col("part")))
-        .groupBy(*by, "idx")
+        valid.groupBy(*by, "idx")
         .agg(
             F.min_by("part", order).alias("part"),
             F.max("cnt").alias("cnt"),
-            F.max("_large").alias("_large"),
             F.max("orig_size").alias("orig_size"),
+            F.min("orig_size").alias("_least"),
             F.max("orig_checksum_type").alias("orig_checksum_type"),
             F.max("orig_checksum").alias("orig_checksum"),
         )
     )
+    pieces = without_oversized(pieces, valid, by, "idx", "part", order, max_cell)
     carried = [
         F.max("cnt").alias("cnt"),
-        F.max("_large").alias("too_large"),
+        # One stray row's announcement does not count against the others.
+        (F.max("_large") | (F.min(F.coalesce("_least", F.lit(0))) > max_cell)).alias("too_large"),
         F.max("orig_checksum_type").alias("orig_checksum_type"),
         F.max("orig_checksum").alias("orig_checksum"),
         F.max("orig_size").alias("orig_size"),

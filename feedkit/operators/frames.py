@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.operators.checksum import FROM_FRAMES, Policy, verify_checksum
-from feedkit.operators.fragments import MAX_CELL, join_pieces
+from feedkit.operators.fragments import MAX_CELL, join_pieces, without_oversized
 from feedkit.plans.ordered import SPAN, runs
+from feedkit.plans.skew import join_null_safe
 
 # The frame header is UUID 16 bytes, size 8, offset 8, MTU 2, all big-endian.
 HEADER_BYTES = 34
@@ -77,7 +78,8 @@ def with_slots(frames: DataFrame) -> DataFrame:
     placed = frames.withColumns(
         {
             "total": F.expr("CASE WHEN size > 0 THEN (size - 1) div mtu + 1 ELSE 1 END"),
-            "slot": F.expr("(offset + 1) div mtu"),
+            # (offset + 1) div mtu, also for the largest offset.
+            "slot": F.expr("offset div mtu + (offset % mtu + 1) div mtu"),
         }
     )
     return placed.withColumn("carries", data & (F.col("slot") < F.col("total")))
@@ -89,14 +91,15 @@ def inflight_runs(
     """One file is in flight per port: a frame of another file starts a new run.
 
     Adds `run_start` (the run's first arrival) and `followed`, true where the port went on to
-    another file. The runs are told from the keys and come back by (port, order), which names a
-    single frame.
+    another file. The runs are told from the keys and come back by (port, order, uuid); frames that
+    share all three are in one run.
     """
     told = runs(frames.select(port, order, "uuid"), [port], order, "uuid", span)
-    told = told.select(
-        port, order, "run_start", (F.col("run_start") < F.col("last_run_start")).alias("followed")
+    told = told.groupBy(port, order, "uuid").agg(
+        F.min("run_start").alias("run_start"),
+        (F.min("run_start") < F.min("last_run_start")).alias("followed"),
     )
-    return frames.join(told, [port, order])
+    return join_null_safe(frames, told, [port, order, "uuid"])
 
 
 def frame_status(
@@ -159,33 +162,33 @@ def reassemble_frames(
     """Complete files from their frames.
 
     The first copy of each slot counts. `checksums` (uuid, checksum_type, checksum) brings the
-    expected values, which `policy` then judges. Adds `assembly`: `complete`, `corrupt` (the bytes do
-    not add up to the announced size) or `too_large` (refused); incomplete files are left out.
+    expected values, which `policy` then judges. Adds `assembly`: `complete`, `corrupt` (a piece does
+    not fit its slot, or the bytes do not add up to the announced size) or `too_large` (refused); incomplete files are left out.
     """
     placed = with_slots(frames).filter("carries")
-    large = F.greatest(F.col("size"), F.col("total") * F.octet_length("payload")) > F.lit(max_cell)
-    pieces = (
-        placed.withColumn("_large", large)
-        .withColumn("payload", F.when(~F.col("_large"), F.col("payload")))
-        .groupBy(*by, "slot")
-        .agg(
-            F.min_by("payload", order).alias("payload"),
-            F.min_by("size", order).alias("size"),
-            F.min_by("total", order).alias("total"),
-            F.max("_large").alias("_large"),
-            F.min(order).alias("_first"),
-        )
+    # A piece is sound if it starts where its slot does and is as long as its slot.
+    starts = F.col("offset") == F.col("slot") * F.col("mtu")
+    fills = F.octet_length("payload") == F.least(F.col("mtu"), F.col("size") - F.col("offset"))
+    placed = placed.withColumn("_sound", starts & fills)
+    pieces = placed.groupBy(*by, "slot").agg(
+        F.min_by("payload", order).alias("payload"),
+        F.min_by("size", order).alias("size"),
+        F.min_by("total", order).alias("total"),
+        F.min_by("_sound", order).alias("_sound"),
+        F.min(order).alias("_first"),
     )
+    pieces = without_oversized(pieces, placed, by, "slot", "payload", order, max_cell)
     carried = [
         F.min_by("size", "_first").alias("size"),
         F.min_by("total", "_first").alias("total"),
         F.max("_large").alias("_too_large"),
+        F.bool_and("_sound").alias("_all_sound"),
     ]
     whole = join_pieces(pieces, by, "slot", "payload", carried).filter("seen = total")
-    exact = F.octet_length("content") == F.col("size")
+    exact = (F.octet_length("content") == F.col("size")) & F.col("_all_sound")
     files = whole.withColumn(
         "assembly", F.when(F.col("_too_large"), "too_large").when(exact, "complete").otherwise("corrupt")
-    ).drop("_too_large", "seen", "total")
+    ).drop("_too_large", "_all_sound", "seen", "total")
     if checksums is None:
         return files
     named = files.join(checksums.select("uuid", "checksum_type", "checksum"), "uuid", "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedkit.plans.ordered import SPAN, number_gaps, unbroken_prefix
@@ -33,7 +33,12 @@ def sequence_release(
     repeats, and do not come out.
     """
     release = release_plan(packets.select(SESSION, "n", "op", order), order, span, salts)
-    return packets.join(release.drop("op"), [SESSION, "n", order])
+    chosen = packets.join(release.drop("op"), [SESSION, "n", order])
+    # Copies that arrived at one time: the packet comes out once, preferably its end mark.
+    tie = Window.partitionBy(SESSION, "n", order).orderBy(
+        (F.col("op") != "EOF").cast("int"), "op", F.xxhash64(*packets.columns)
+    )
+    return chosen.withColumn("_nth", F.row_number().over(tie)).filter("_nth = 1").drop("_nth")
 
 
 def release_plan(
@@ -59,7 +64,8 @@ def release_plan(
         salts=salts,
     ).filter(F.col(order) <= F.col("released_at"))
     chosen = copies.groupBy(*key, "released_at").agg(
-        F.max(order).alias(order), F.max_by("op", order).alias("op")
+        F.max(order).alias(order),
+        F.max_by("op", F.struct(F.col(order), F.col("op") == "EOF", F.col("op"))).alias("op"),
     )
     chosen = settle(chosen, "released")
     ends = chosen.filter(F.col("op") == "EOF").groupBy(SESSION).agg(F.min("n").alias("_end"))

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedkit.plans.skew import join_null_safe
+
 SPAN = 1_000_000
 
 
@@ -22,13 +24,13 @@ def with_chunk(rows: DataFrame, order: str, span: int = SPAN) -> DataFrame:
 def runs(
     rows: DataFrame, group: Sequence[str], order: str, value: str, span: int = SPAN
 ) -> DataFrame:
-    """Runs of equal `value` along `order` (distinct within a group).
+    """Runs of equal `value` along `order`; equal orders follow by value. Null is a group like others.
 
     Adds `run_start`, the order value that opened the row's run, and `last_run_start`, the one of
     the group's last run.
     """
     marked = with_chunk(rows, order, span)
-    inside = Window.partitionBy(*group, "_chunk").orderBy(order)
+    inside = Window.partitionBy(*group, "_chunk").orderBy(order, value)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_first = F.row_number().over(inside) == 1
     differs = ~F.lag(value).over(inside).eqNullSafe(F.col(value))
@@ -37,8 +39,8 @@ def runs(
 
     edges = marked.groupBy(*group, "_chunk").agg(
         F.min(order).alias("_first_order"),
-        F.min_by(value, order).alias("_first_value"),
-        F.max_by(value, order).alias("_last_value"),
+        F.min_by(value, F.struct(order, value)).alias("_first_value"),
+        F.max_by(value, F.struct(order, value)).alias("_last_value"),
         F.max("_opened").alias("_inner"),
     )
     along = Window.partitionBy(*group).orderBy("_chunk")
@@ -55,7 +57,7 @@ def runs(
         F.max("_latest").over(Window.partitionBy(*group)).alias("last_run_start"),
     )
     return (
-        marked.join(edges, [*group, "_chunk"])
+        join_null_safe(marked, edges, [*group, "_chunk"])
         .withColumn("run_start", F.coalesce("_opened", "_carried"))
         .drop("_opened", "_carried", "_chunk")
     )
@@ -73,7 +75,7 @@ def number_gaps(
     edges = edges.select(*group, "_chunk", F.lag("_last").over(along).alias("_before"))
     prev = F.coalesce("_prev", "_before", F.lit(0))
     return (
-        seen.join(edges, [*group, "_chunk"])
+        join_null_safe(seen, edges, [*group, "_chunk"])
         .filter(F.col(n) - prev > 1)
         .select(*group, (prev + 1).alias("from_n"), (F.col(n) - 1).alias("to_n"))
     )

@@ -6,6 +6,7 @@ sizes, so the planner broadcasts it only when its real size is under the broadca
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,7 +19,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for `name` below the session's checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        # local-cluster has executors of its own, so it is a cluster here.
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="feedkit-")
         spark.conf.set("spark.checkpoint.dir", base)

@@ -23,6 +23,19 @@ def salted(rows: DataFrame, spread_on: Sequence[str], salts: int = SALTS) -> Dat
     )
 
 
+def join_null_safe(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join by columns of one name where null equals null; the left's columns stay."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    condition = same[0]
+    for more in same[1:]:
+        condition = condition & more
+    joined = left.join(other, condition, how)
+    return joined.drop(*[f"_right_{k}" for k in keys])
+
+
 def attach_group_facts(
     rows: DataFrame,
     keys: Sequence[str],
@@ -44,7 +57,7 @@ def attach_group_facts(
     if refine is not None:
         facts = refine(facts)
     facts = facts.withColumn("_salt", F.explode("_salts")).drop("_salts")
-    return spread.join(facts, [*keys, "_salt"], how).drop("_salt")
+    return join_null_safe(spread, facts, [*keys, "_salt"], how).drop("_salt")
 
 
 def salted_lookup(
@@ -61,4 +74,4 @@ def salted_lookup(
     spread over `salts` tasks.
     """
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted(rows, spread_on, salts).join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return join_null_safe(salted(rows, spread_on, salts), repeated, [*keys, "_salt"], how).drop("_salt")

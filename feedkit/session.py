@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -11,7 +13,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings: UTC clock and a state store that supports timers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    on_one_machine = spark.sparkContext.master.startswith("local")
+    on_one_machine = re.match(r"local(\[|$)", spark.sparkContext.master) is not None
     if on_one_machine and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark

@@ -48,7 +48,8 @@ def stage_feed(
     rows = staged(files, host, at)
     if verify:
         verdicts, rejected = judge(files, STAGE, key=spread_on)
-        passed = verdicts.join(rejected, "_gate", "left_anti")
+        # A batch may hold most of the rows.
+        passed = salted_lookup(verdicts, rejected.select("_gate").distinct(), ["_gate"], spread_on, "left_anti")
         stored = mark_by_gate(rows, rejected, STAGE.scope, spread_on)
         stored = stored if keep_partial else stored.filter("batch_ok")
     else:
@@ -72,13 +73,13 @@ def committed_batches(
     keys: Sequence[str] = ("batch_id",),
 ) -> DataFrame:
     """Payload rows whose batch has a commit marker; one batch may hold most of the rows."""
-    named = markers.select(*keys).distinct()
+    named = markers.select(*keys).distinct()  # files without a batch form one, named null
     return salted_lookup(payloads, named, keys, spread_on, "left_semi")
 
 
 def read_staged(spark: SparkSession, folder: str, spread_on: Sequence[str] = ("seq",)) -> DataFrame:
     """The committed part of a staged feed, as a table."""
-    payloads = spark.read.parquet(f"{folder}/payload")
+    payloads = spark.read.parquet(f"{folder}/payload").filter("batch_ok")
     markers = spark.read.parquet(f"{folder}/markers")
     return committed_batches(payloads, markers, spread_on, ("batch_id", "stage_id"))
 

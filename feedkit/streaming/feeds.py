@@ -1,7 +1,8 @@
 """Streaming operators: each takes and returns a streaming DataFrame.
 
-`arrived_at` is the event time and `ttl` says how long, in event time, an unfinished key is kept. Only
-the columns that the state needs are sent to it, so payload stays behind; join the results to the
+`arrived_at` is the event time and `ttl` says how long, in event time, an unfinished key is kept. Rows
+may come late by the whole `ttl`: unless `delay_ms` says otherwise, the watermark follows the newest row
+at that distance, and nothing that is not yet expired is dropped. Only the columns that the state needs are sent to it, so payload stays behind; join the results to the
 stored rows, or reassemble in `foreachBatch`.
 """
 
@@ -25,12 +26,14 @@ from feedkit.streaming.processors import (
 )
 
 DAY_MS = 24 * 3600 * 1000
-NO_DELAY = "0 seconds"
 
 
-def _tracked(rows: DataFrame, keys: Sequence[str], processor, delay: str) -> DataFrame:
+def _tracked(rows: DataFrame, keys: Sequence[str], kind, ttl_ms: int, delay_ms: int | None) -> DataFrame:
+    delay = ttl_ms if delay_ms is None else delay_ms
+    # The watermark already lags by the delay; what is left of the ttl is the timer's.
+    processor = kind(max(ttl_ms - delay, 0))
     return (
-        rows.withWatermark("arrived_at", delay)
+        rows.withWatermark("arrived_at", f"{delay} milliseconds")
         .groupBy(*keys)
         .transformWithState(
             statefulProcessor=processor,
@@ -41,14 +44,14 @@ def _tracked(rows: DataFrame, keys: Sequence[str], processor, delay: str) -> Dat
     )
 
 
-def stream_fragments(fragments: DataFrame, ttl_ms: int = DAY_MS, delay: str = NO_DELAY) -> DataFrame:
+def stream_fragments(fragments: DataFrame, ttl_ms: int = DAY_MS, delay_ms: int | None = None) -> DataFrame:
     """Completed and expired files by output path."""
     narrow = fragments.select("path", "filename", "identifier", "idx", "cnt", "arrival", "arrived_at")
-    return _tracked(narrow, ["path", "filename"], FragmentTracker(ttl_ms), delay)
+    return _tracked(narrow, ["path", "filename"], FragmentTracker, ttl_ms, delay_ms)
 
 
 def stream_frames(
-    frames: DataFrame, ttl_ms: int = DAY_MS, key: str = "port", delay: str = NO_DELAY
+    frames: DataFrame, ttl_ms: int = DAY_MS, key: str = "port", delay_ms: int | None = None
 ) -> DataFrame:
     """Completed, abandoned and expired files.
 
@@ -59,23 +62,23 @@ def stream_frames(
     narrow = with_slots(frames).select(
         "port", "uuid", "total", "slot", "carries", "arrival", "arrived_at"
     )
-    return _tracked(narrow, [key], FrameTracker(ttl_ms), delay)
+    return _tracked(narrow, [key], FrameTracker, ttl_ms, delay_ms)
 
 
-def stream_sequence(packets: DataFrame, ttl_ms: int = DAY_MS, delay: str = NO_DELAY) -> DataFrame:
+def stream_sequence(packets: DataFrame, ttl_ms: int = DAY_MS, delay_ms: int | None = None) -> DataFrame:
     """Released packets (`used` is the arrival of the copy that counts) and expired sessions."""
     narrow = packets.select(
         "socket_id", "n", "op", "arrival", F.col("arrival").cast("string").alias("used"), "arrived_at"
     ).filter((F.coalesce("socket_id", F.lit("")) != "") & (F.col("n") >= 1))
-    return _tracked(narrow, ["socket_id"], SequenceTracker(ttl_ms), delay)
+    return _tracked(narrow, ["socket_id"], SequenceTracker, ttl_ms, delay_ms)
 
 
-def stream_dedup(files: DataFrame, ttl_ms: int = DAY_MS, delay: str = NO_DELAY) -> DataFrame:
+def stream_dedup(files: DataFrame, ttl_ms: int = DAY_MS, delay_ms: int | None = None) -> DataFrame:
     """Files in the order of seq; repeated content comes out as links: seq, filepath, kind, target."""
     named = files.withColumn("filepath", join(F.col("path"), F.col("filename")))
     has_key = (F.col("size") > 0) & F.col("checksum").isNotNull()
     cols = ["seq", "filepath", "size", *[c for c in CONTENT_KEY if c != "size"], "arrived_at"]
-    keyed = _tracked(named.filter(has_key).select(*cols), CONTENT_KEY, FirstSeenTracker(ttl_ms), delay)
+    keyed = _tracked(named.filter(has_key).select(*cols), CONTENT_KEY, FirstSeenTracker, ttl_ms, delay_ms)
     plain = named.filter(~F.coalesce(has_key, F.lit(False))).select(
         "seq", "filepath", F.lit(None).cast("string").alias("first_path")
     )

@@ -35,7 +35,7 @@ def _bit(bitmap: bytearray, i: int) -> bool:
 
 
 class Expiring(StatefulProcessor):
-    """A processor whose keys live for `ttl_ms` after the last row that they saw."""
+    """A processor whose keys end when the watermark is `ttl_ms` past the last row that they saw."""
 
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
