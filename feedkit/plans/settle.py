@@ -16,7 +16,7 @@ _written: list[str] = []
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for `name` below the session's checkpoint folder."""
+    """The path of a new folder for `name` below the session's checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         # local-cluster has executors of its own, so it is a cluster here.
@@ -24,7 +24,9 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="feedkit-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append(folder)
+    return folder
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
@@ -32,12 +34,11 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     spark = df.sparkSession
     folder = shared_folder(spark, name)
     df.write.parquet(folder)
-    _written.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
 def drop_settled(spark: SparkSession) -> int:
-    """Remove the tables that `settle` wrote in this process; call it when their readers are done."""
+    """Remove what this process put into shared folders; call it when the readers are done."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     count = len(_written)
     while _written:
