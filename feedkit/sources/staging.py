@@ -27,6 +27,15 @@ def staged(files: DataFrame, host: str | None = None, at: Column | None = None)
     return stamped.withColumn("attrs", set_attrs(F.col("attrs"), size))
 
 
+def _marked(spark: SparkSession, folder: str, call_id: str) -> bool:
+    """True if a call of this name has left its markers."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/markers")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return False
+    markers = spark.read.option("mergeSchema", "true").parquet(f"{folder}/markers")
+    return not markers.filter(F.col("call_id") == call_id).isEmpty()
+
+
 def stage_feed(
     files: DataFrame,
     folder: str,
@@ -36,6 +45,7 @@ def stage_feed(
     keep_partial: bool = False,
     batch_parts: int | None = None,
     spread_on: Sequence[str] = ("seq",),
+    call_id: str | None = None,
 ) -> None:
     """Store a feed for replay below `folder`: `payload`, then `markers`.
 
@@ -43,7 +53,11 @@ def stage_feed(
     `keep_partial`. The markers appear after the payload is committed and name this call
     (`stage_id`), so payload of a call that broke off is never read, and the call can be repeated.
     Payload is partitioned by batch_id or, with many small batches, by `batch_parts` hash buckets.
+    A call with a `call_id` whose markers are there changes nothing, so a micro-batch that is tried
+    again stages its files once.
     """
+    if call_id is not None and _marked(files.sparkSession, folder, call_id):
+        return
     stage_id = F.lit(uuid.uuid4().hex)
     rows = staged(files, host, at)
     if verify:
@@ -63,7 +77,8 @@ def stage_feed(
         stored = stored.withColumn("batch_part", F.col("batch_id"))
     stored.write.mode("append").partitionBy("batch_part").parquet(f"{folder}/payload")
     markers = passed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("files"))
-    markers.withColumn("stage_id", stage_id).write.mode("append").parquet(f"{folder}/markers")
+    markers = markers.withColumn("stage_id", stage_id).withColumn("call_id", F.lit(call_id).cast("string"))
+    markers.write.mode("append").parquet(f"{folder}/markers")
 
 
 def committed_batches(

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from feedkit.functions.attributes import nanos
 from feedkit.operators import custody, dedup, fragments, frames, sequence
+from feedkit.operators.checksum import add_checksum
+from feedkit.sources import staging
 from feedkit.streaming import feeds
 
 TOP = 2**63 - 1
@@ -117,3 +119,13 @@ def test_late_rows_within_the_ttl_count(spark, tmp_path, late_s):
         feeds.run_available(feeds.stream_fragments(stream), str(tmp_path / "q"))
     out = spark.read.parquet(str(tmp_path / "q" / "out"))
     assert tuples(out, "filename", "event") == [("f", "completed")]
+
+
+def test_staging_again_changes_nothing_and_keeps_files_without_a_batch(spark, tmp_path):
+    rows = [(i, "d", f"f{i}", bytes([i]), 1, b, {}) for i, b in enumerate(("x", "x", None))]
+    schema = "seq bigint, path string, filename string, content binary, size bigint, batch_id string, attrs map<string,string>"
+    files = add_checksum(spark.createDataFrame(rows, schema))
+    for call in ("one", "one", "two", "two"):
+        staging.stage_feed(files, str(tmp_path / "s"), verify=False, batch_parts=2, call_id=call)
+    got = tuples(staging.read_staged(spark, str(tmp_path / "s")), "seq", "batch_id")
+    assert got == sorted([(0, "x"), (1, "x"), (2, None)] * 2, key=repr)
