@@ -9,7 +9,7 @@ the farthest class below it.
 The top levels are fitted to a bounded sample (`SAMPLE` classes) and all classes take their place
 below the nearest of these centres, with covering radii over all of them. Pairs of such nodes whose
 centres are farther apart than both radii and `reach` are dropped; the rest is worked on in blocks.
-Every block has the lower levels of its own, and two blocks are traversed together, level by level:
+Every block is packed with the lower levels of its own, and two blocks are traversed together, level by level:
 node pairs beyond reach are dropped by the bound, and the points that remain are compared in double
 precision.
 
@@ -23,6 +23,7 @@ labels and other columns are not read.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,8 @@ from feedkit.plans.settle import settle
 #: Classes that the top levels are fitted to, and radii from the top down.
 SAMPLE = 2048
 RADII = (1.0, 0.5, 0.25, 0.125)
+#: Covering radius above which a node is compared apart from the others.
+WIDE = 0.05
 #: What rounding may add to a distance that was computed from single-precision products.
 SLACK = 1e-3
 #: Node pairs that are compared at a time.
@@ -70,8 +73,12 @@ def net(points: np.ndarray, radius: float, first: np.ndarray) -> tuple[np.ndarra
 class Tree:
     """Levels of a cover tree over the rows of `points`; the last level is the points themselves."""
 
-    def __init__(self, points: np.ndarray) -> None:
+    def __init__(self, points: np.ndarray, levels: list | None = None) -> None:
         self.points = points
+        self.single = points.astype(np.float32)
+        if levels is not None:
+            self.levels = levels
+            return
         #: Per level: centres (indices), covering radii, and for each centre its children's places
         #: in the next level, as a list in one array with offsets.
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
@@ -117,6 +124,26 @@ def _children(tree: Tree, level: int, places: np.ndarray) -> tuple[np.ndarray, n
     return counts[places], starts[places]
 
 
+def _within(dots: np.ndarray, left: np.ndarray, right: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of products whose distance is within both covering radii and `reach`.
+
+    Most nodes cover little: one look at the matrix by the largest of their bounds is enough for them,
+    and rows and columns of the few wide ones are looked at apart.
+    """
+    wide_left, wide_right = left > WIDE, right > WIDE
+    limit = 2 * WIDE + reach
+    x, y = np.divmod(np.flatnonzero(dots >= np.float32(1 - limit * limit / 2 - SLACK)), dots.shape[1])
+    narrow = ~wide_left[x] & ~wide_right[y]
+    places = [(x[narrow], y[narrow])]
+    rows, columns = np.flatnonzero(wide_left), np.flatnonzero(wide_right)
+    places.append(tuple(g.ravel() for g in np.meshgrid(rows, np.arange(dots.shape[1]), indexing="ij")))
+    places.append(tuple(g.ravel() for g in np.meshgrid(np.flatnonzero(~wide_left), columns, indexing="ij")))
+    x, y = (np.concatenate(c) for c in zip(*places, strict=True))
+    limits = left[x] + right[y] + reach
+    near = dots[x, y] >= 1 - limits * limits / 2 - SLACK
+    return x[near], y[near]
+
+
 def linked(one: Tree, two: Tree, cosine: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Arrays of linked pairs (places of points in both trees); with `same`, each pair once.
 
@@ -154,12 +181,10 @@ def linked(one: Tree, two: Tree, cosine: float, same: bool) -> Iterator[tuple[np
             mine = a_order[a_from[i] : a_from[i] + a_many[i]] if a_next > a_level else a[i : i + 1]
             yours = b_order[b_from[i] : b_from[i] + b_many[i]] if b_next > b_level else b[i : i + 1]
             p, q = one.levels[a_next], two.levels[b_next]
-            dots = one.points[p[0][mine]].astype(np.float32) @ two.points[q[0][yours]].astype(np.float32).T
-            limit = (p[1][mine][:, None] + q[1][yours][None, :] + reach + SLACK).astype(np.float32)
-            near = 2 - 2 * dots <= limit * limit + np.float32(SLACK)
+            dots = one.single[p[0][mine]] @ two.single[q[0][yours]].T
+            x, y = _within(dots, p[1][mine], q[1][yours], reach + SLACK)
             if same and a[i] == b[i]:
-                near = np.triu(near)
-            x, y = np.nonzero(near)
+                x, y = x[x <= y], y[x <= y]
             if len(x):
                 stack.append((a_next, b_next, mine[x], yours[y]))
         a, b = a[~wide], b[~wide]
@@ -197,22 +222,26 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
     return moved, root[moved]
 
 
-BLOCKS = "dim int, node int, ids binary, counts binary, cells binary"
+BLOCKS = "dim int, node int, ids binary, counts binary, cells binary, levels binary"
 LINKS = "a bigint, b bigint, n_links bigint"
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in regrouped(batches, 2, lambda t: rows_a_block(t.column(0)[0].as_py(), 4)):
         cells = matrix_of(table.column(4).combine_chunks())
+        single = cells.astype("<f4")
+        levels = pickle.dumps(Tree(directions(cells)).levels)
         yield pa.RecordBatch.from_arrays(
             [
                 table.column(0).slice(0, 1).combine_chunks(),
                 table.column(1).slice(0, 1).combine_chunks(),
                 pa.array([table.column(2).to_numpy().astype("<i8").tobytes()], pa.binary()),
                 pa.array([table.column(3).to_numpy().astype("<i8").tobytes()], pa.binary()),
-                pa.array([cells.astype("<f8").tobytes()], pa.binary()),
+                # Half the bytes where single precision holds every number.
+                pa.array([(single if (single == cells).all() else cells.astype("<f8")).tobytes()], pa.binary()),
+                pa.array([levels], pa.binary()),
             ],
-            names=["dim", "node", "ids", "counts", "cells"],
+            names=["dim", "node", "ids", "counts", "cells", "levels"],
         )
 
 
@@ -220,21 +249,24 @@ def _traverse(cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees: dict[int, tuple] = {}
 
-        def tree(number: int, block: dict) -> tuple:
+        def tree(number: int, block) -> tuple:
+            """A block's tree, which came with it; the latest few stay."""
             if number not in trees:
-                if len(trees) > 8:
+                if len(trees) > 16:
                     trees.clear()
+                block = block.as_py()
                 ids, counts = np.frombuffer(block["ids"], "<i8"), np.frombuffer(block["counts"], "<i8")
-                points = directions(np.frombuffer(block["cells"], "<f8").reshape(len(ids), -1))
-                trees[number] = ids, counts, Tree(points)
+                kind = f"<f{len(block['cells']) // (len(ids) * block['dim'])}"
+                cells = np.frombuffer(block["cells"], kind).astype(float).reshape(len(ids), -1)
+                trees[number] = ids, counts, Tree(directions(cells), pickle.loads(block["levels"]))
             return trees[number]
 
         for batch in batches:
             for i in range(batch.num_rows):
                 first, second = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                ids, counts, one = tree(first, batch.column(2)[i].as_py())
+                ids, counts, one = tree(first, batch.column(2)[i])
                 same = first == second
-                ids2, counts2, two = tree(second, batch.column(3)[i].as_py())
+                ids2, counts2, two = tree(second, batch.column(3)[i])
                 n = len(ids)
                 shift = 0 if same else n
                 names = ids if same else np.concatenate([ids, ids2])
@@ -342,7 +374,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     names = blocks.select("dim", "node", "block")
     todo = near.join(names.toDF("dim", "x", "a"), ["dim", "x"]).join(names.toDF("dim", "y", "b"), ["dim", "y"])
     todo = todo.filter("x <> y or a <= b").select("a", "b")
-    held = blocks.select("block", "ids", "counts", "cells")
+    held = blocks.select("block", "dim", "ids", "counts", "cells", "levels")
     found = settle(paired(todo, held, held).mapInArrow(_traverse(cosine), LINKS), "found")
 
     labels = components(found.select("a", "b"))
