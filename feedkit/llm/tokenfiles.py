@@ -76,20 +76,29 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> N
     encode_documents(docs, tokenizer, end_id).write.options(**WRITER).parquet(folder)
 
 
-def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """The rows of the files with `start`, the ids of all documents before."""
-    rows = spark.read.schema(SCHEMA).parquet(folder).withColumn("_file", F.col("_metadata.file_name"))
+def _rows(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(SCHEMA).parquet(folder).withColumn("_file", F.col("_metadata.file_name"))
+
+
+def _with_start(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Replace `file_start` by `start`, the ids of all documents before; reads metadata alone."""
     # Files are dealt by range, so their names are in document order; a row for each file.
-    files = rows.groupBy("_file").agg(F.max(F.col("file_start") + F.col("n_tokens")).alias("_ids"))
+    files = _rows(spark, folder).groupBy("_file")
+    files = files.agg(F.max(F.col("file_start") + F.col("n_tokens")).alias("_ids"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("_file", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_before"))
-    return rows.join(files, "_file").select(
-        "doc_id", (F.col("_before") + F.col("file_start")).alias("start"), "n_tokens", "ids"
-    )
+    rest = [c for c in rows.columns if c not in ("doc_id", "file_start", "_file")]
+    start = (F.col("_before") + F.col("file_start")).alias("start")
+    return rows.join(files, "_file").select("doc_id", start, *rest)
 
 
-def with_crc(rows: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and `ids_crc32`, the checksum of the ids as 32-bit numbers."""
+def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, start (ids of all documents before), n_tokens, ids."""
+    return _with_start(_rows(spark, folder), spark, folder)
+
+
+def read_checksums(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32, the checksum of the ids read as 32-bit numbers."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,8 +106,12 @@ def with_crc(rows: DataFrame) -> DataFrame:
             at, flat = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<u4", copy=False)
             crcs = [zlib.crc32(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(crcs, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                [*batch.columns[:3], pa.array(crcs, pa.int64()), batch.column(4)],
+                names=["doc_id", "file_start", "n_tokens", "ids_crc32", "_file"],
             )
 
-    return rows.mapInArrow(sums, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    # Ids turn into checksums before anything moves.
+    rows = _rows(spark, folder).mapInArrow(
+        sums, "doc_id bigint, file_start bigint, n_tokens bigint, ids_crc32 bigint, _file string"
+    )
+    return _with_start(rows, spark, folder)
