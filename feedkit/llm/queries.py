@@ -9,7 +9,13 @@ from feedkit.llm import covertree, mixing, neardup, packing, pii, quality, repea
 from feedkit.plans.settle import shared_folder
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts are long rows: a thousand of them are enough for an Arrow batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -62,7 +68,7 @@ def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "token-files")
     tokenfiles.write_tokens(_table(spark, sf_dir, "documents"), folder, tokenizer_file(), end_id=2)
-    return tokenfiles.with_crc(tokenfiles.read_tokens(spark, folder))
+    return tokenfiles.read_checksums(spark, folder)
 
 
 def op9_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 #: Distinct words that one worker remembers.
-WORD_LIMIT = 1_000_000
+WORD_LIMIT = 500_000
 #: Bytes of text that are split into words at a time.
 SLICE_BYTES = 1 << 20
 
