@@ -9,18 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedkit.llm import mixing, neardup, packing, pii, quality
-from feedkit.llm.queries import tokenizer_file
+from feedkit.llm.queries import small_batches, tokenizer_file
 from feedkit.plans.settle import settle
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on all rows with labels, does not reject."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.keep_good(docs, quality.train(docs, labels, F.lit(True)))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near duplicates."""
+    small_batches(spark)
     found = neardup.near_duplicates(docs, width=5, percent=80)
     gone = found.filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -28,6 +30,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by the name of its kind."""
+    small_batches(spark)
     masked = pii.mask(docs, pii.train(docs))
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
@@ -39,6 +42,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces placed in sequences of 2048."""
+    small_batches(spark)
     placed, _ = packing.pack(docs, tokenizer_file(), end_id=1)
     return placed
 
