@@ -3,13 +3,13 @@
 A document is its set of word shingles; two are linked if their sets' Jaccard similarity reaches a
 threshold. Two collections of `BANDS` small minhash collisions (`ROWS` minhashes each) are drawn;
 every pair of one from each makes a table, so BANDS * BANDS tables of 2 * ROWS minhashes cost only
-2 * BANDS * ROWS minhashes. At similarity 0.8 with 10 bands of 2, a pair misses all tables with
-probability 7e-5, at 0.9 with 1e-7.
+2 * BANDS * ROWS minhashes. At similarity 0.8 with 14 bands of 3, a pair misses all tables with
+probability 9e-5, at 0.9 with 1e-8.
 
 Documents with equal sets are one class and need no comparison. Most classes collide with nothing in
-the first collection and go no further. A bucket's members are compared with two centres first; what
-stays in different components then is compared pair by pair, without pairs inside a component. Every
-link is confirmed on full sets of 64-bit shingle hashes. Copies and buckets are counted before they
+the first collection and go no further. The others are compared with two centres of their buckets first,
+where a pair shares enough bands; then what a bucket still has outside its first component, with that
+component and with each other, in blocks whose pairs never become rows. Every link is confirmed on full sets of 64-bit shingle hashes. Copies and buckets are counted before they
 are shuffled, joins carry ids, and sets travel for candidate pairs alone.
 
 Null and empty texts and texts without words have no shingles and link with nothing; a text of fewer
@@ -23,15 +23,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.llm.components import components
+from feedkit.llm.covertree import forest
 from feedkit.llm.hashing import distinct_sets, mixed, shingle_hashes, word_hashes
+from feedkit.llm.vectors import paired, regrouped
 from feedkit.llm.wordids import slices
 from feedkit.plans.settle import settle
 
-BANDS, ROWS = 10, 2
+BANDS, ROWS = 14, 3
+#: Of the 2 * BANDS bands, a pair must share so many to be compared. At similarity 0.8 it shares 14 in
+#: the mean, and fewer than 4 with probability 4e-6.
+SHARED = 4
+#: Shingles of the sets in a block, its most sets, and shingles that a matrix product takes at a time.
+BLOCK_SHINGLES, BLOCK_ROWS, COLUMNS = 1 << 16, 1024, 1 << 12
 _RANDOM = np.random.default_rng(77)
 _FACTORS = _RANDOM.integers(1, 2**63, (2 * BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
 SIGNED = "doc_id bigint, n_shingles bigint, set_id bigint, left array<bigint>, right array<bigint>"
@@ -123,10 +131,104 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(100 * shared >= percent * union).select("a", "b")
 
 
-def _close(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose set sizes allow the similarity."""
+def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) whose set sizes allow the similarity and that share SHARED bands."""
+    facts = classes.select("id", F.col("n_shingles").alias("n"), F.concat("left", "right").alias("bands"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = pairs.join(facts.toDF("a", "_na", "_a"), "a").join(facts.toDF("b", "_nb", "_b"), "b")
     small, large = F.least("_na", "_nb"), F.greatest("_na", "_nb")
-    return pairs.filter(100 * small >= percent * large).select("a", "b").distinct()
+    pairs = pairs.filter(100 * small >= percent * large)
+    return pairs.filter(F.size(F.array_intersect("_a", "_b")) >= SHARED).select("a", "b")
+
+
+BLOCKS = "main bigint, ids binary, stray binary, sizes binary, shingles binary"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (main, part, id, stray, shingles), sorted by main and part, to BLOCKS rows."""
+
+    def most(table: pa.Table) -> int:
+        sizes = np.cumsum(pc.list_value_length(table.column(4)).to_numpy())
+        return max(1, min(BLOCK_ROWS, int(np.searchsorted(sizes, BLOCK_SHINGLES, "right"))))
+
+    for table in regrouped(batches, 2, most):
+        sets = table.column(4).combine_chunks()
+        columns = (
+            table.column(2).to_numpy().astype("<i8"),
+            table.column(3).to_numpy().astype("<i8"),
+            pc.list_value_length(sets).to_numpy(zero_copy_only=False).astype("<i8"),
+            sets.flatten().to_numpy().astype("<i8"),
+        )
+        yield pa.RecordBatch.from_arrays(
+            [table.column(0).slice(0, 1).combine_chunks(), *[pa.array([c.tobytes()], pa.binary()) for c in columns]],
+            names=[c.split()[0] for c in BLOCKS.split(", ")],
+        )
+
+
+def similar_pairs(
+    one: list[np.ndarray], two: list[np.ndarray] | None, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs whose sets reach the similarity; without `two`, pairs inside `one`."""
+    every = one + (two or [])
+    sizes = np.array([len(x) for x in every], np.float32)
+    row = np.repeat(np.arange(len(every)), sizes.astype(np.int64))
+    _, place, times = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    some = times[place] > 1  # what one set alone holds is in no intersection
+    _, place = np.unique(place[some], return_inverse=True)
+    row, wide = row[some], int(place.max(initial=-1)) + 1
+    shared = np.zeros((len(one), len(two) if two else len(one)), np.float32)
+    for begin in range(0, wide, COLUMNS):
+        own = (place >= begin) & (place < begin + COLUMNS)
+        cells = np.zeros((len(every), min(wide - begin, COLUMNS)), np.float32)
+        cells[row[own], place[own] - begin] = 1
+        shared += cells[: len(one)] @ cells[len(one) if two else 0 :].T
+    total = sizes[: len(one), None] + sizes[None, len(one) if two else 0 :]
+    hit = (100 * shared >= percent * (total - shared)) & (shared > 0)
+    return np.nonzero(hit if two else np.triu(hit, 1))
+
+
+def _compare(percent: int):
+    def sets_of(block: dict) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        ids, stray, sizes, flat = (np.frombuffer(block[c], "<i8") for c in ("ids", "stray", "sizes", "shingles"))
+        return ids, stray.astype(bool), np.split(flat, np.cumsum(sizes)[:-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                same = batch.column(0)[k].as_py() == batch.column(1)[k].as_py()
+                ids, stray, sets = sets_of(batch.column(2)[k].as_py())
+                ids2, stray2, sets2 = (ids, stray, None) if same else sets_of(batch.column(3)[k].as_py())
+                a, b = similar_pairs(sets, sets2, percent)
+                new = stray[a] | stray2[b]  # members of the component are linked already
+                names, shift = (ids, 0) if same else (np.concatenate([ids, ids2]), len(ids))
+                point, root = forest(a[new], b[new] + shift, len(names))
+                yield pa.RecordBatch.from_arrays([pa.array(names[root]), pa.array(names[point])], names=["a", "b"])
+
+    return run
+
+
+def _stray_links(strays: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of strays (main, id) with their component and with each other.
+
+    A component and its strays are cut into blocks; two blocks are compared by products of their
+    indicator matrices, and only a forest of what is found becomes rows.
+    """
+    mains = strays.select("main").distinct()
+    own = labels.select(F.col("component").alias("main"), F.col("node").alias("id")).join(mains, "main")
+    own = own.union(mains.select("main", F.col("main").alias("id"))).distinct()
+    group = strays.withColumn("stray", F.lit(1)).unionByName(own.withColumn("stray", F.lit(0)))
+    sizes = sets.select("id", F.size("shingles").alias("n"))
+    parts = group.join(sizes, "id").groupBy("main").agg(F.sum("n").alias("n"))
+    parts = parts.select("main", F.ceil(F.col("n") / BLOCK_SHINGLES).cast("bigint").alias("_parts"))
+    group = group.join(sets, "id").join(parts, "main")
+    group = group.withColumn("part", F.pmod(F.xxhash64("id"), F.col("_parts")))
+    group = group.repartition("main", "part").sortWithinPartitions("main", "part", "id")
+    blocks = group.select("main", "part", "id", "stray", "shingles").mapInArrow(_pack, BLOCKS)
+    blocks = settle(blocks.withColumn("block", F.xxhash64("main", "ids")), "blocks")
+    names = blocks.select("main", "block")
+    todo = names.toDF("main", "a").join(names.toDF("main", "b"), "main").filter("a <= b").select("a", "b")
+    held = blocks.select("block", "ids", "stray", "sizes", "shingles")
+    return paired(todo, held, held).mapInArrow(_compare(percent), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
@@ -137,47 +239,31 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
         F.min("doc_id").alias("id"), F.first("left").alias("left"), F.first("right").alias("right")
     )
     classes = settle(classes, "classes")
-    members = _tables(classes).join(classes.select("id", F.col("n_shingles").alias("n")), "id")
-    members = settle(members, "members")
-    buckets = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(F.struct("id", "n")).alias("_low"),
-        F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).alias("_any"),
-    )
-    buckets = buckets.filter("_n > 1").drop("_n")
-    shared = settle(members.join(buckets, "bucket"), "shared")
-    sets = shingle_sets(
-        docs.join(shared.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), width
-    )
-    # Rows of one doc_id may differ; the class is named by the set that its rows have.
-    sets = sets.withColumn("n", F.size("shingles").cast("bigint"))
-    sets = sets.join(classes.select(F.col("id").alias("doc_id"), F.col("n_shingles").alias("n")), ["doc_id", "n"])
-    sets = settle(sets.select(F.col("doc_id").alias("id"), "shingles").dropDuplicates(["id"]), "sets")
+    members = settle(_tables(classes), "members")
 
-    centres = [
-        shared.select(F.col(f"{c}.id").alias("a"), F.col("id").alias("b"), F.col(f"{c}.n").alias("_na"), F.col("n").alias("_nb"))
-        for c in ("_low", "_any")
-    ]
-    tried = settle(_close(centres[0].union(centres[1]).filter("a <> b"), percent), "tried")
+    # Stars: a bucket's centre is its smallest id, and a class is compared with the smallest and the
+    # largest of its centres. This only saves work, for what stays apart is looked at below.
+    centres = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"), F.min("id").alias("centre"))
+    near = members.join(centres.filter("_n > 1").drop("_n"), "bucket").groupBy("id")
+    near = settle(near.agg(F.min("centre").alias("first"), F.max("centre").alias("last")), "near")
+    stars = near.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("a"), F.col("id").alias("b"))
+    stars = stars.filter("a <> b")
+    sets = shingle_sets(docs.join(near.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), width)
+    # Rows of one doc_id may differ; a class is named by the set that its row has.
+    sets = sets.withColumn("n_shingles", F.size("shingles").cast("bigint"))
+    sets = sets.join(classes.select(F.col("id").alias("doc_id"), "n_shingles"), ["doc_id", "n_shingles"])
+    sets = settle(sets.select(F.col("doc_id").alias("id"), "shingles").dropDuplicates(["id"]), "sets")
+    tried = settle(_alike(stars, classes, percent), "tried")
     links = settle(_confirm(tried, sets, percent), "links")
     labels = settle(components(links), "labels")
 
-    # What a bucket still has in different components: each pair of them, member by member.
-    named = shared.select("bucket", "id", "n").join(labels.withColumnRenamed("node", "id"), "id", "left")
-    named = settle(named.withColumn("component", F.coalesce("component", "id")), "named")
-    held = named.select("bucket", "component").distinct()
-    many = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket")
-    held = held.join(many, "bucket")
-    across = held.withColumnRenamed("component", "_ca").join(held.withColumnRenamed("component", "_cb"), "bucket")
-    across = across.filter("_ca < _cb")
-    one = named.select("bucket", F.col("component").alias("_ca"), F.col("id").alias("a"), F.col("n").alias("_na"))
-    two = named.select("bucket", F.col("component").alias("_cb"), F.col("id").alias("b"), F.col("n").alias("_nb"))
-    small, large = F.least("_na", "_nb"), F.greatest("_na", "_nb")
-    rest = across.join(one, ["bucket", "_ca"]).join(two, ["bucket", "_cb"])
-    rest = _close(rest.filter(100 * small >= percent * large), percent)
-    rest = rest.join(tried, ["a", "b"], "left_anti")
-    rest = rest.join(tried.toDF("b", "a"), ["a", "b"], "left_anti")
-    more = settle(_confirm(rest, sets, percent), "more")
+    # What a bucket still has outside its first component is a stray of that component.
+    named = members.join(labels.withColumnRenamed("node", "id"), "id", "left")
+    named = named.select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    first = named.groupBy("bucket").agg(F.min("component").alias("main"), F.max("component").alias("_last"))
+    strays = named.join(first.filter("main <> _last").drop("_last"), "bucket").filter("component <> main")
+    strays = settle(strays.select("main", "id").distinct(), "strays")
+    more = settle(_stray_links(strays, labels, sets, percent), "more")
     if not more.isEmpty():
         labels = settle(components(links.union(more)), "labels")
 
@@ -186,5 +272,5 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     out = signed.select("doc_id", "n_shingles", "set_id").join(ids, ["n_shingles", "set_id"], "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept")
+        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     )
