@@ -92,25 +92,29 @@ _TOKEN = re.compile(r"[^\W_]+|\s+|[\W_]")
 _ABOUT = re.compile(r"[0-9][0-9 ().\-_/\[\]]{5,}[0-9]|@|(?<![^\W_])[dD][oO][tT](?![^\W_])")
 
 
+def gaps_of(text: str, spans: list[Span]) -> list[tuple[int, int]]:
+    """What the rules' spans leave of the text."""
+    out, at = [], 0
+    for begin, end in sorted((s, e) for s, _, e in spans):
+        if begin > at:
+            out.append((at, begin))
+        at = max(at, end)
+    return [*out, (at, len(text))] if at < len(text) else out
+
+
 def windows_of(text: str, spans: list[Span]) -> list[tuple[int, int]]:
     """Ranges around what the rules' spans do not cover; they end at those spans and do not meet."""
     if "@" not in text and "dot" not in text.lower() and not re.search("[0-9]", text):
         return []
     out: list[list[int]] = []
-    bounds = sorted((s, e) for s, _, e in spans)
-    k, last = 0, 0
-    for m in _ABOUT.finditer(text):
-        while k < len(bounds) and bounds[k][1] <= m.start():
-            last = max(last, bounds[k][1])
-            k += 1
-        if k < len(bounds) and bounds[k][0] < m.end():
-            continue
-        after = bounds[k][0] if k < len(bounds) else len(text)
-        begin, end = max(m.start() - MARGIN, last), min(m.end() + MARGIN, after)
-        if out and begin <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([begin, end])
+    for low, high in gaps_of(text, spans):
+        # A match ends at the gap's end, so that a number next to a span is seen without it.
+        for m in _ABOUT.finditer(text, low, high):
+            begin, end = max(m.start() - MARGIN, low), min(m.end() + MARGIN, high)
+            if out and begin <= out[-1][1] and low <= out[-1][0]:
+                out[-1][1] = max(out[-1][1], end)
+            else:
+                out.append([begin, end])
     return [(a, b) for a, b in out]
 
 

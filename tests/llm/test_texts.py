@@ -147,6 +147,26 @@ def test_field_finds_rewritten_forms_and_leaves_numbers():
     assert added("look at the dot over there") == []
 
 
+def test_field_sees_numbers_beside_spans_of_rules():
+    field, number = trained(), "(212) 555-0143"
+    for span, kind in (("10.0.0.12", 1), ("4111 1111 1111 1111", 2), ("+1 (017) 555-7713", 3), ("me@host.example.org", 0)):
+        for sign in (" ", " / ", "; ", "/", " - ", "\n"):
+            for text in (f"call {number}{sign}{span} today", f"call {span}{sign}{number} today", f"call {number}{sign}{span}{sign}{number} today"):
+                base = pii.base_spans(text)
+                if [(text[a:b], k) for a, k, b in base] != [(span, kind)]:
+                    continue  # the rules read both as one
+                windows = pii.windows_of(text, base)
+                at = text.find(number)
+                while at >= 0:
+                    assert any(a <= at and at + len(number) <= b for a, b in windows), (text, windows)
+                    at = text.find(number, at + 1)
+                assert all(b <= s or e <= a for a, b in windows for s, _, e in base)
+    text = f"call {number} 10.0.0.12 today"
+    more = pii.added_spans(text, pii.base_spans(text), field)
+    assert [(text[a:b], pii.KINDS[k]) for a, k, b in more] == [(number, "phone")]
+    assert pii.masked(text, pii.base_spans(text) + more) == "call <PHONE> <IP> today"
+
+
 def test_field_program_equals_enumeration():
     choice = np.random.default_rng(7)
     field = pii.Field(choice.normal(size=(len(pii.KINDS), pii.FEATURES)), choice.normal(size=(5, 5)))
