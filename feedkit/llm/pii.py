@@ -2,7 +2,8 @@
 
 Rules find e-mail addresses, IPv4 addresses, card numbers and phone numbers, leftmost and without
 overlaps for each kind. The field reads windows around numbers, `@` and `dot` that no rule's span
-covers. It scores segments of up to `MAX_TOKENS` tokens by features of the whole span (shape, digits,
+covers, and around `at` before labels with a dot; they grow over all that may belong to an address. It
+scores segments (any of `MAX_TOKENS` tokens; numbers and addresses to their full length) by features of the whole span (shape, digits,
 groups, separators, check digit, ends, neighbours), knows what follows what, and a dynamic program
 over segment ends chooses boundaries and kinds together. It adds spans outside those of the rules, and
 takes none away.
@@ -33,8 +34,12 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 #: Documents that windows are learned from, windows, rounds, and features of a span.
 SAMPLE_DOCS, MOST_WINDOWS, ROUNDS, FEATURES = 6000, 700, 6, 1 << 12
-MAX_TOKENS = 20
-#: Characters that a window shows on each side of what it is about.
+#: Tokens of a segment that may hold anything. Numbers and addresses go on behind that: an address has at
+#: most 254 characters, in turn labels and dots that `rewritten` makes five tokens of.
+MAX_TOKENS, MOST_TOKENS = 20, 3 * 254
+#: Most tokens `at` or `@` in such a long address; labels may be named so.
+MOST_ATS = 4
+#: Characters that a window shows at least on each side of what it is about.
 MARGIN = 30
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -88,8 +93,47 @@ def base_spans(text: str) -> list[Span]:
 
 
 _TOKEN = re.compile(r"[^\W_]+|\s+|[\W_]")
-#: What a window is about: numbers of some length, the at sign, the word dot.
-_ABOUT = re.compile(r"[0-9][0-9 ().\-_/\[\]]{5,}[0-9]|@|(?<![^\W_])[dD][oO][tT](?![^\W_])")
+#: What may stand around `at` and `dot`.
+_AROUND = r"[\s\[\](){}<>]"
+#: What a window is about: numbers of some length, the at sign, the word dot, and the word at before two
+#: labels with a dot between them (one with a blank on its right alone ends a sentence).
+_ABOUT = re.compile(
+    r"[0-9][0-9 ().\-_/\[\]]{5,}[0-9]|@|(?<![^\W_])[dD][oO][tT](?![^\W_])"
+    rf"|(?<![^\W_])[aA][tT](?![^\W_])(?={_AROUND}*+[^\W_](?:[^\W_]|-)*+(?:\.|{_AROUND}++\.{_AROUND}*+)[^\W_])"
+)
+_ADDRESS_SIGNS, _NUMBER_SIGNS = frozenset("._%+-@[](){}<>"), frozenset("+.-_/[]()")
+_ADDRESS = re.compile(r"(?:[^\W_]|[._%+\-@\[\](){}<>])*+")
+_BLANK = re.compile(r"\s*+")
+#: Signs and words next to which a blank may be inside an address.
+_BEFORE = re.compile(rf"(?:@|(?<![^\W_])(?:at|dot)|(?<![^\s\[\](){{}}<>])\.){_AROUND}*\Z", re.IGNORECASE)
+_AFTER = re.compile(rf"{_AROUND}*+(?:@|\.|(?:at|dot)(?![^\W_]))", re.IGNORECASE)
+
+
+def _joined(text: str, left: int, right: int, low: int, high: int) -> bool:
+    """Whether the blanks from left to right may be inside an address."""
+    return bool(_AFTER.match(text, right, high) or _BEFORE.search(text[max(left - MARGIN, low) : left]))
+
+
+def _run_begin(text: str, at: int, low: int, high: int) -> int:
+    """Where what may belong to an address with the character at `at` begins."""
+    while True:
+        while at > low and (text[at - 1].isalnum() or text[at - 1] in _ADDRESS_SIGNS):
+            at -= 1
+        left = at
+        while left > low and text[left - 1].isspace():
+            left -= 1
+        if left in (low, at) or not _joined(text, left, at, low, high):
+            return at
+        at = left
+
+
+def _run_end(text: str, at: int, low: int, high: int) -> int:
+    while True:
+        at = _ADDRESS.match(text, at, high).end()
+        right = _BLANK.match(text, at, high).end()
+        if right in (at, high) or not _joined(text, at, right, low, high):
+            return at
+        at = right
 
 
 def gaps_of(text: str, spans: list[Span]) -> list[tuple[int, int]]:
@@ -104,13 +148,15 @@ def gaps_of(text: str, spans: list[Span]) -> list[tuple[int, int]]:
 
 def windows_of(text: str, spans: list[Span]) -> list[tuple[int, int]]:
     """Ranges around what the rules' spans do not cover; they end at those spans and do not meet."""
-    if "@" not in text and "dot" not in text.lower() and not re.search("[0-9]", text):
-        return []
     out: list[list[int]] = []
     for low, high in gaps_of(text, spans):
         # A match ends at the gap's end, so that a number next to a span is seen without it.
+        run = low
         for m in _ABOUT.finditer(text, low, high):
-            begin, end = max(m.start() - MARGIN, low), min(m.end() + MARGIN, high)
+            first = _run_begin(text, m.start(), run, high) if m.start() >= run else m.start()
+            if m.end() > run:
+                run = _run_end(text, m.end(), low, high)
+            begin, end = max(min(m.start() - MARGIN, first), low), min(max(m.end() + MARGIN, run), high)
             if out and begin <= out[-1][1] and low <= out[-1][0]:
                 out[-1][1] = max(out[-1][1], end)
             else:
@@ -149,20 +195,43 @@ def read_window(text: str, begin: int, end: int) -> Window:
     kinds = [_kind_of(w) for w in words]
     dots = [w == "." or w.lower() == "dot" for w in words]
     ats = [w == "@" or w.lower() == "at" for w in words]
+    addressed = [
+        _joined(text, a, b, begin, end) if text[a].isspace() else k in "DAM" or k in _ADDRESS_SIGNS
+        for (a, b), k in zip(bounds, kinds, strict=True)
+    ]
+    next_at, later = [], len(words)
+    for t in range(len(words) - 1, -1, -1):
+        later = t if ats[t] else later
+        next_at.append(later)
+    next_at.reverse()
     segments, features = [], []
     for i, first in enumerate(kinds):
         if first not in ("D", "A", "M", "+", "("):
             continue
-        digits, groups, many_dots, many_ats = "", [], 0, 0
-        for j in range(i, min(i + MAX_TOKENS, len(words))):
-            if kinds[j] == "D":
+        digits, groups, many_dots, many_ats, seen = "", [], 0, 0, False
+        address = number = True
+        for j in range(i, min(i + MOST_TOKENS, len(words))):
+            kind = kinds[j]
+            address = address and addressed[j]
+            number = number and (kind in "D_" or kind in _NUMBER_SIGNS)
+            if kind == "D":
                 digits += words[j]
                 groups.append(words[j])
             many_dots += dots[j]
             many_ats += ats[j]
-            if kinds[j] not in ("D", "A", "M"):
+            seen = seen or kind in "DAM"
+            if j >= i + MAX_TOKENS:  # what is neither a number nor an address ends here
+                number = number and len(digits) <= 24
+                address = address and many_ats <= MOST_ATS and (many_ats or next_at[j] < i + MOST_TOKENS)
+                if not seen or not (number or address):
+                    break
+            if kind not in ("D", "A", "M"):
                 continue
-            if not (7 <= len(digits) <= 24 or len(groups) == 4 or many_ats and many_dots):
+            numbers = 7 <= len(digits) <= 24 or len(groups) == 4
+            names = many_ats and many_dots
+            if j >= i + MAX_TOKENS:
+                numbers, names = numbers and number, names and address
+            if not (numbers or names):
                 continue
             segments.append((i, j + 1))
             features.append(_span_features(words, kinds, i, j + 1, digits, groups, many_ats, many_dots))
@@ -170,7 +239,8 @@ def read_window(text: str, begin: int, end: int) -> Window:
 
 
 def _span_features(words, kinds, i, j, digits, groups, many_ats, many_dots) -> np.ndarray:
-    shape = "".join(f"D{len(w)}" if k == "D" else k for w, k in zip(words[i:j], kinds[i:j], strict=True))
+    near = min(j, i + 48)  # the rest of the shape is not read
+    shape = "".join(f"D{len(w)}" if k == "D" else k for w, k in zip(words[i:near], kinds[i:near], strict=True))
     plain = re.sub("D[0-9]+", "D", shape)
     signs = "".join(sorted({k for k in kinds[i:j] if k not in "DAM"}))
     octets = len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups)
@@ -296,7 +366,7 @@ def rewritten(kind: int, text: str, choice: random.Random) -> str:
     """A span's text in a way of writing that the rules do not know."""
     if kind == 0:
         local, host = text.rsplit("@", 1)
-        at, dot = choice.choice(((" at ", " dot "), (" [at] ", " [dot] "), (" (at) ", " (dot) "), ("[at]", "[dot]")))
+        at, dot = choice.choice(((" at ", " dot "), (" [at] ", " [dot] "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" at ", ".")))
         return local + at + host.replace(".", dot)
     if kind == 1:
         return text.replace(".", choice.choice(("[.]", "(.)", " . ")))
@@ -321,7 +391,7 @@ def lessons(text: str, choice: random.Random) -> list[tuple[str, list[Span]]]:
         words = re.findall(r"[^\W\d_]+", left + right)
         if kind == 0 and words:  # the text's own words with at and dot are no address
             a, b, c = (choice.choice(words) for _ in range(3))
-            at, dot = choice.choice(((" at ", " dot "), ("@", "."), (" at ", ". ")))
+            at, dot = choice.choice(((" at ", " dot "), ("@", "."), (" at ", ". "), (" at ", ".")))
             out.append((f"{left}{a}{at}{b}{dot}{c}{right}" if at != "@" else f"{left}{a} @ {b} {c}{right}", []))
     for begin, end in windows_of(text, spans)[:4]:
         out.append((text[begin:end], []))
@@ -340,7 +410,7 @@ def learn(examples: list[tuple[str, list[Span]]]) -> Field:
         starts = {a: i for i, (a, _) in enumerate(window.bounds)}
         ends = {b: i + 1 for i, (_, b) in enumerate(window.bounds)}
         truth = {(starts[b], ends[e]): k for b, k, e in spans if b in starts and e in ends}
-        if len(truth) == len(spans) and all(x in window.segments for x in truth):
+        if len(truth) == len(spans) and truth.keys() <= set(window.segments):
             ready.append((window, truth))
     if not any(truth for _, truth in ready):
         field.follows[:, 1:] = -1e3  # nothing to learn from: no entities

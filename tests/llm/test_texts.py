@@ -167,6 +167,57 @@ def test_field_sees_numbers_beside_spans_of_rules():
     assert pii.masked(text, pii.base_spans(text) + more) == "call <PHONE> <IP> today"
 
 
+def test_windows_and_segments_hold_whole_addresses():
+    long_host = " dot ".join(["a-long-label-of-a-host-for-one-more-example"] * 3)
+    for entity in (
+        "alexander.hamilton at engineering dot example dot org",
+        "name at example.com",
+        "name (at) example.com",
+        "name at mail . example . com",
+        "john.smith [at] mail [dot] example [dot] com",
+        "a.very-long_name.of+somebody.else.2024 ( at ) mail-01 ( dot ) eu-west ( dot ) example ( dot ) co ( dot ) uk",
+        f"{'very-long-name-' * 4}x at {long_host}",
+        ".".join("abcdefghijklmnopqrstuvwxyz") + "[at]" + "[dot]".join("abcdefghijklmnopqrstuvwxyz"),
+    ):
+        for text in (entity, f"ask {entity} for more", f"or 10.0.0.12 {entity} 10.0.0.12"):
+            begin = text.index(entity)
+            spans = pii.base_spans(text)
+            own = [(a, b) for a, b in pii.windows_of(text, spans) if a <= begin and begin + len(entity) <= b]
+            assert len(own) == 1, text
+            window = pii.read_window(text, *own[0])
+            found = {(window.bounds[i][0], window.bounds[j - 1][1]) for i, j in window.segments}
+            assert (begin, begin + len(entity)) in found, text
+    assert pii.windows_of("We arrived at noon. Then it rained, at last, on us", []) == []
+
+
+def test_every_rewritten_form_is_a_lesson():
+    choice, entities = random.Random(5), (
+        "first.middle.last+tag-2024_x@mail-01.eu-west.example.co.uk",
+        "a.b.c.d.e.f.g.h@i.j.k.l.m.n.o.p.at",
+        "10.200.30.4",
+        "4111 1111 1111 1111",
+        "+1 (017) 555-7713",
+    )
+    for text in entities:
+        ((_, kind, _),) = pii.base_spans(text)
+        for body in {pii.rewritten(kind, text, choice) for _ in range(60)}:
+            window = pii.read_window(f"see {body} now", 0, len(body) + 8)
+            found = {(window.bounds[i][0], window.bounds[j - 1][1]) for i, j in window.segments}
+            assert (4, 4 + len(body)) in found, body
+
+
+def test_field_masks_whole_addresses():
+    choice, examples = random.Random(3), []
+    names = "john mary alexander hamilton smith brown elizabeth taylor washington lee".split()
+    for _ in range(60):
+        one, two, host = choice.choice(names), choice.choice(names), choice.choice(("mail", "engineering", "post", "office"))
+        examples += pii.lessons(f"ask {one}.{two}@{host}.example.{choice.choice(('org', 'com'))} for more", choice)
+    field = pii.learn(examples)
+    for entity in ("alexander.hamilton at engineering dot example dot org", "john.smith [at] mail [dot] example [dot] com"):
+        text = f"ask {entity} for more"
+        assert pii.masked(text, pii.added_spans(text, [], field)) == "ask <EMAIL> for more"
+
+
 def test_field_program_equals_enumeration():
     choice = np.random.default_rng(7)
     field = pii.Field(choice.normal(size=(len(pii.KINDS), pii.FEATURES)), choice.normal(size=(5, 5)))
