@@ -8,7 +8,7 @@ groups, separators, check digit, ends, neighbours), knows what follows what, and
 over segment ends chooses boundaries and kinds together. It adds spans outside those of the rules, and
 takes none away.
 
-The field is trained on windows of at most `SAMPLE_DOCS` documents: the rules' spans as they stand,
+The field is trained on windows of all documents, a bounded number of each kind by hash: the rules' spans as they stand,
 and written in other ways (`at` and `dot`, brackets, other separators, no country code); all else in
 these windows counts as no entity. Training maximises the exact likelihood.
 
@@ -31,9 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedkit.plans.settle import settle
+
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that windows are learned from, windows, rounds, and features of a span.
-SAMPLE_DOCS, MOST_WINDOWS, ROUNDS, FEATURES = 6000, 700, 6, 1 << 12
+#: Windows that are learned from, rounds, and features of a span.
+MOST_WINDOWS, ROUNDS, FEATURES = 700, 6, 1 << 12
 #: Tokens of a segment that may hold anything. Numbers and addresses go on behind that: an address has at
 #: most 254 characters, in turn labels and dots that `rewritten` makes five tokens of.
 MAX_TOKENS, MOST_TOKENS = 20, 3 * 254
@@ -432,23 +434,28 @@ def learn(examples: list[tuple[str, list[Span]]]) -> Field:
 
 
 def train(docs: DataFrame) -> Field:
-    """A field trained on a bounded sample of the documents' texts."""
-    some = docs.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(SAMPLE_DOCS)
+    """A field trained on windows of all documents' texts, of each kind the first by hash."""
+    share = MOST_WINDOWS // (len(KINDS) + 1)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The first of a kind over all tasks are among the first of their task.
+        first: dict[int, set[tuple]] = {}
         for batch in batches:
-            rows = []
             for text in batch.column(0).to_pylist():
                 for body, spans in lessons(text, random.Random(zlib.crc32(text.encode()))):
-                    rows.append((body, [x for s in spans for x in s], zlib.crc32(body.encode())))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in rows], pa.string()),
-                    pa.array([r[1] for r in rows], pa.list_(pa.int32())),
-                    pa.array([r[2] for r in rows], pa.int64()),
-                ],
-                names=["body", "spans", "nth"],
-            )
+                    kept = first.setdefault(spans[0][1] if spans else -1, set())
+                    kept.add((zlib.crc32(body.encode()), body, tuple(x for s in spans for x in s)))
+                    if len(kept) > 4 * share:
+                        kept.difference_update(sorted(kept)[share:])
+        rows = [row for kept in first.values() for row in sorted(kept)[:share]]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([r[1] for r in rows], pa.string()),
+                pa.array([list(r[2]) for r in rows], pa.list_(pa.int32())),
+                pa.array([r[0] for r in rows], pa.int64()),
+            ],
+            names=["body", "spans", "nth"],
+        )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = []
@@ -461,14 +468,12 @@ def train(docs: DataFrame) -> Field:
             names=["weights", "follows"],
         )
 
-    # SAMPLE_DOCS ids at most.
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some.distinct()), "doc_id")
-    found = texts.select("text").mapInArrow(collect, "body string, spans array<int>, nth bigint")
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    found = settle(texts.mapInArrow(collect, "body string, spans array<int>, nth bigint"), "lessons").distinct()
     # As many windows of each kind of truth as the bound allows, by hash.
     kind = F.coalesce(F.get("spans", F.lit(1)), F.lit(-1))
     found = found.withColumn("kind", kind)
-    share = MOST_WINDOWS // (len(KINDS) + 1)
-    parts = [found.filter(F.col("kind") == k).orderBy("nth", "body").limit(share) for k in range(-1, len(KINDS))]
+    parts = [found.filter(F.col("kind") == k).orderBy("nth", "body", "spans").limit(share) for k in range(-1, len(KINDS))]
     chosen = parts[0]
     for part in parts[1:]:
         chosen = chosen.union(part)

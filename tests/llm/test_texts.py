@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from odd import documents, no_documents, texts
+from pyspark.sql import functions as F
 
 from feedkit.llm import components, mixing, neardup, packing, pii, quality, repeats, tokenfiles
 from feedkit.llm.queries import tokenizer_file
@@ -218,6 +219,22 @@ def test_field_masks_whole_addresses():
         assert pii.masked(text, pii.added_spans(text, [], field)) == "ask <EMAIL> for more"
 
 
+def test_a_rare_kind_is_learned_wherever_it_is(spark):
+    """Addresses in three of 8,000 documents, which a sample of ids by hash may leave out, and many copies."""
+    order = spark.range(8000).orderBy(F.xxhash64("id", F.lit(5)), "id").collect()
+    rare = {r["id"]: i for i, r in enumerate(order[-3:])}
+    rows = [
+        (i, f"ask u{rare[i]}.x@host{rare[i]}.example.com for more" if i in rare else "from 10.3.17.20 came" if i % 2 else "nothing")
+        for i in range(8000)
+    ]
+    seen = pii.train(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert np.abs(seen.weights[0]).max() > 0 and np.abs(seen.weights[1]).max() > 0
+    lessons = [x for i in sorted(rare) for x in pii.lessons(rows[i][1], random.Random(zlib.crc32(rows[i][1].encode())))]
+    bodies = [(body, s[0]) for body, s in lessons if s and "@" not in body[s[0][0] : s[0][2]]]
+    for body, (a, k, b) in bodies:
+        assert (a, k, b) in pii.added_spans(body, [], seen), body
+
+
 def test_field_program_equals_enumeration():
     choice = np.random.default_rng(7)
     field = pii.Field(choice.normal(size=(len(pii.KINDS), pii.FEATURES)), choice.normal(size=(5, 5)))
