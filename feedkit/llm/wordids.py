@@ -2,9 +2,8 @@
 
 A text's ids are those of its words one after the other: the tokenizer drops white space, and neither
 its normaliser nor its pieces reach across it. So texts are split at ASCII white space, and a
-dictionary gives the ids of words seen before. Texts that hold the opening of a special token are
-encoded as they are. `WordEncoder` forgets its words when there are more than `limit`, so memory is
-bounded however many different words there are; remembered bytes are bounded likewise.
+`WordMemory` gives the ids of words seen before; new ones are encoded many at a time. Texts that hold
+the opening of a special token are encoded as they are.
 """
 
 from __future__ import annotations
@@ -14,45 +13,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-#: Distinct words that one worker remembers.
-WORD_LIMIT = 500_000
+from feedkit.llm.wordmemory import WORD_LIMIT, WordMemory
+
 #: Bytes of text that are split into words at a time.
 SLICE_BYTES = 1 << 20
-
-
-class _Numbers(dict):
-    """Word to number; new words get the next number and wait in `new`."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self.new.append(word)
-        self[word] = number = len(self)
-        return number
-
-
-class _Store:
-    """Token ids of numbered words, in one growing array."""
-
-    def __init__(self) -> None:
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.count, self.used = 0, 0
-
-    def add(self, ids: Sequence[int]) -> None:
-        n = len(ids)
-        while self.used + n > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        if self.count + 2 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        self.ids[self.used : self.used + n] = ids
-        self.count, self.used = self.count + 1, self.used + n
-        self.starts[self.count] = self.used
-
-    def of(self, number: int) -> np.ndarray:
-        return self.ids[self.starts[number] : self.starts[number + 1]]
+#: Words that are encoded as one text.
+JOINED = 64
 
 
 class WordEncoder:
@@ -63,65 +29,69 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end_id, self.limit = end_id, limit
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.closes = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.closes[i] = token.endswith("</w>")
-        self.tails = {c: self._plain([c.decode()])[0] for c in (b".", b",")}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers, self.store = _Numbers(), _Store()
-        self.numbers[b""] = 0
-        self.store.add([self.end_id])
+        self.tails = {ord(c): self._plain([c])[0][0] for c in ".,"}
+        self.memory = WordMemory([b""], [[end_id]], limit)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letters(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words of letters alone: each is one piece, and ends with a closing token."""
-        out: list[np.ndarray] = []
-        for i in range(0, len(words), 256):
-            own = words[i : i + 256]
-            ids = np.array(self._plain([" ".join(own)])[0], np.uint32)
-            ends = np.flatnonzero(self.closes[ids]) + 1
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of words of letters alone: each is one piece, and ends with a closing token."""
+        groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        ids, sizes = [], []
+        for own, found in zip(groups, self._plain([" ".join(g) for g in groups]), strict=True):
+            found = np.array(found, np.uint32)
+            ends = np.flatnonzero(self.closes[found]) + 1
             if len(ends) == len(own):
-                out += np.split(ids, ends[:-1])
+                sizes.append(np.diff(ends, prepend=0))
+                ids.append(found)
             else:
-                out += [np.array(x, np.uint32) for x in self._plain(own)]
-        return out
+                apart = self._plain(own)
+                sizes.append(np.array([len(x) for x in apart]))
+                ids += [np.array(x, np.uint32) for x in apart]
+        if not ids:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def _learn(self) -> None:
-        """Give ids to the words that were new, in the order of their numbers."""
-        numbers, k = self.numbers, 0
-        cores: dict[bytes, bytes] = {}
-        while k < len(numbers.new):  # a word with a full stop or comma needs its core as well
-            word, k = numbers.new[k], k + 1
-            core = word[:-1]
-            if word[-1:] in (b".", b",") and core and core.decode().lower().isalpha():
-                cores[word] = core
-                numbers[core]
-        words = numbers.new
-        texts = {w: w.decode() for w in words if w not in cores}
-        simple = [w for w, t in texts.items() if t.isalpha() and t.lower().isalpha()]
-        known = dict(zip(simple, self._letters([texts[w] for w in simple]), strict=True))
-        others = [w for w in texts if w not in known]
-        known.update(zip(others, self._plain([texts[w] for w in others]), strict=True))
-        for word in words:
-            if word in cores:
-                core = cores[word]
-                ids = known[core] if core in known else self.store.of(numbers[core])
-                self.store.add([*ids, *self.tails[word[-1:]]])
+        """Give ids to the words that were new."""
+        memory = self.memory
+        numbers = memory.numbers
+        words = numbers.new  # grows: a word with a full stop or comma needs its core as well
+        letters, others, composed = [], [], []
+        k, first = 0, numbers.count - len(words)
+        while k < len(words):
+            word = words[k]
+            text = word.decode()
+            if text.isalpha() and text.lower().isalpha():
+                letters.append((first + k, text))
+            elif word[-1] in self.tails and (core := text[:-1]).isalpha() and core.lower().isalpha():
+                composed.append((first + k, numbers[word[:-1]], self.tails[word[-1]]))
             else:
-                self.store.add(known[word])
+                others.append((first + k, text))
+            k += 1
+        if letters:
+            memory.learn_at(np.array([n for n, _ in letters]), *self._letters([t for _, t in letters]))
+        if others:
+            found = self._plain([t for _, t in others])
+            sizes = np.array([len(x) for x in found])
+            memory.learn_at(np.array([n for n, _ in others]), np.array([x for own in found for x in own], np.uint32), sizes)
+        if composed:
+            own, core, tail = np.array(composed, np.int64).T
+            ids, sizes = memory.gather(core)
+            memory.learn_at(own, np.insert(ids, np.cumsum(sizes), tail.astype(np.uint32)), sizes + 1)
         numbers.new = []
 
     def encode(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has (its end id included)."""
+        self.memory.make_room()
         found: list[int] = []
         counts = np.zeros(len(texts), np.int64)
-        look = self.numbers.__getitem__
+        look = self.memory.numbers.__getitem__
         whole: list[tuple[int, int]] = []
         for i, text in enumerate(texts):
             if b"<|" in text:
@@ -132,24 +102,17 @@ class WordEncoder:
             found.extend(map(look, words))
             found.append(0)
             counts[i] = len(words) + 1
-        if self.numbers.new:
+        if self.memory.numbers.new:
             self._learn()
-        pick = np.array(found, np.int64)
-        sizes = self.store.starts[pick + 1] - self.store.starts[pick]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.store.starts[pick] - (ends - sizes), sizes)
-        at += np.arange(len(at))
-        ids = self.store.ids[at]
+        ids, sizes = self.memory.gather(np.array(found, np.int64))
         lengths = np.add.reduceat(sizes, np.cumsum(counts) - counts) if len(counts) else counts
         if whole:
             places, rows = [p for p, _ in whole], [r for _, r in whole]
-            before = (ends - sizes)[places]
+            before = (np.cumsum(sizes) - sizes)[places]
             own = [np.array(x, np.uint32) for x in self._plain([texts[r].decode() for r in rows])]
             cuts = np.split(ids, before)
             ids = np.concatenate([cuts[0], *[y for x in zip(own, cuts[1:], strict=True) for y in x]])
             lengths[rows] += [len(x) for x in own]
-        if len(self.numbers) > self.limit or self.store.used > 8 * self.limit:
-            self._forget()
         return ids, lengths
 
 

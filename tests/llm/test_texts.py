@@ -17,6 +17,7 @@ from feedkit.llm import components, mixing, neardup, packing, pii, quality, repe
 from feedkit.llm.queries import tokenizer_file
 from feedkit.llm.suffixes import suffix_array
 from feedkit.llm.wordids import WordEncoder
+from feedkit.llm.wordmemory import WordMemory
 
 
 def rows_of(df):
@@ -362,6 +363,25 @@ def test_word_encoder_equals_tokenizer():
         assert got == [x + [2] for x in plain_ids(some)]
 
 
+def test_word_memory_keeps_what_is_in_use():
+    """Words seen in every generation are learned once; memory stays bounded; ids stay right."""
+    memory, learned = WordMemory([""], [[9]], limit=50), Counter()
+    choice = random.Random(6)
+    for step in range(200):
+        memory.make_room()
+        words = ["often", "common", *(f"w{choice.randint(0, 10**6)}" for _ in range(20)), ""]
+        pick = np.array([memory.numbers[w] for w in words])
+        new = memory.numbers.new
+        learned.update(new)
+        own = [[len(w), *w.encode()] for w in new]
+        memory.learn(np.array([x for o in own for x in o], np.uint32), np.array([len(o) for o in own], np.int64))
+        ids, sizes = memory.gather(pick)
+        got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert got == [[9] if w == "" else [len(w), *w.encode()] for w in words]
+        assert len(memory.numbers) + len(memory.numbers.old) <= 2 * 50 + 60
+    assert learned["often"] == learned["common"] == 1
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
