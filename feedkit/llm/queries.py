@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import covertree, mixing, neardup, packing, pii, quality, repeats, tokenfiles, topk, urlrules
+from feedkit.llm import (
+    covertree,
+    divergence,
+    mixing,
+    neardup,
+    packing,
+    pieces,
+    pii,
+    quality,
+    repeats,
+    tokenfiles,
+    topk,
+    urlrules,
+    vantage,
+)
 from feedkit.plans.settle import shared_folder
 
 
@@ -25,6 +39,12 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     model = quality.train(docs, labels, ~quality.held_out(F.col("doc_id")))
@@ -92,6 +112,24 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.cluster(_table(spark, sf_dir, "embeddings"), k=8, rounds=10)
+
+
+def op12_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = pieces.encode_texts(_table(spark, sf_dir, "documents"), piece_file(), with_text=True)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), least_docs=3, top=200)
+
+
 QUERIES = {
     "op2_semi_crf": op2_semi_crf,
     "op1_nb_svm": op1_nb_svm,
@@ -103,6 +141,9 @@ QUERIES = {
     "op4_bin_slack": op4_bin_slack,
     "op8_token_files": op8_token_files,
     "op10_url_rules": op10_url_rules,
+    "op11_vantage_point": op11_vantage_point,
+    "op12_merge_rounds": op12_merge_rounds,
+    "op13_stripes": op13_stripes,
 }
 
 _OP10 = """
@@ -146,7 +187,86 @@ select query_id, cast(row_number() over w as integer) as rank, vec_id, score fro
 window w as (partition by query_id order by score desc, vec_id) qualify row_number() over w <= 20
 """
 
+
+def _op11_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds written out one after the other."""
+    far = (
+        "cast(list_sum(list_transform(list_zip(v.e, c.e), lambda x: cast((x[1] - x[2]) * (x[1] - x[2]) as bigint))) as bigint)"
+    )
+    nearest = (
+        "a{i} as materialized (select v.rid, v.vec_id, v.e, arg_min(c.cluster, (d.far, c.cluster)) as cluster, min(d.far) as distance "
+        "from v, c{i} c, lateral (select " + far + " as far) d group by all)"
+    )
+    mean = "cast((s - ((s % n) + n) % n) // n as bigint)"  # rounded down also below zero
+    parts = [
+        """v as materialized (
+  select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as e
+  from embeddings where len(embedding) = 64
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0)""",
+        f"""c0 as materialized (
+  select cast(row_number() over (order by sha256('3:' || vec_id), vec_id, e) - 1 as integer) as cluster, e from v
+  qualify row_number() over (order by sha256('3:' || vec_id), vec_id, e) <= {k})""",
+    ]
+    for i in range(rounds):
+        parts.append(nearest.format(i=i))
+        parts.append(
+            f"""m{i} as materialized (
+  select cluster, list({mean} order by nth) as e from (
+    select cluster, nth, sum(x) as s, count(*) as n
+    from (select cluster, unnest(e) as x, generate_subscripts(e, 1) as nth from a{i}) group by all) group by cluster),
+c{i + 1} as materialized (select c.cluster, coalesce(m.e, c.e) as e from c{i} c left join m{i} m using (cluster))"""
+        )
+    parts.append(nearest.format(i=rounds))
+    return (
+        "with "
+        + ",\n".join(parts)
+        + f"""
+select a.vec_id, a.cluster, a.distance, cast(sum(distance) over (partition by a.cluster) as bigint) as cluster_inertia,
+  cast(sum(distance) over () as bigint) as inertia, sha256(array_to_string(c.e, ',')) as centroid_sha256
+from a{rounds} a join c{rounds} c using (cluster)"""
+    )
+
+
+_OP13 = """
+with d as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents
+), w as (
+  select lang, source, row, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from d
+), kept as materialized (
+  select lang, term, count(*) as n from w group by lang, term having count(distinct row) >= 3
+), groups as materialized (select distinct lang, source from d
+), counts as materialized (
+  select w.lang, w.source, w.term, count(*) as n from w join kept using (lang, term) group by all
+), v as (select lang, count(*) as v, sum(n) as n from kept group by lang
+), totals as (
+  select g.lang, g.source, coalesce(sum(c.n), 0) as n from groups g left join counts c using (lang, source) group by all
+), p as materialized (
+  select k.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    1 + (1000000000 * (cast(coalesce(c.n, 0) as hugeint) + 1)) // cast(g.n + v.v as hugeint) as p
+  from kept k join v using (lang) join totals g using (lang) left join counts c using (lang, source, term)
+), q as (
+  select k.lang, k.term, 1 + (1000000000 * (cast(k.n as hugeint) + 1)) // cast(v.n + v.v as hugeint) as q
+  from kept k join v using (lang)
+), pairs as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+  from p a join p b using (lang, term) where a.source <> b.source group by all
+), found as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(x.value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join pairs x on x.lang = a.lang and x.source = a.source and x.item = b.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q)) // q from p join q using (lang, term) where n > 0 and p > q
+)
+select lang, source, part, item, cast(value as bigint) as value,
+  cast(row_number() over w as integer) as rank from found
+window w as (partition by lang, source, part order by value desc, encode(item))
+qualify part = 'pair' or row_number() over w <= 200
+"""
+
 ORACLES = {
     "op5_block_top_k": _OP5,
     "op10_url_rules": _OP10,
+    "op11_vantage_point": _op11_sql(),
+    "op13_stripes": _OP13,
 }
