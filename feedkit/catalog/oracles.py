@@ -32,6 +32,11 @@ fragments as (
     (seq * 31 + i + 1) % 29 = 0 as lost
   from (select *, (size + 999) // 1000 as n from files where size > 1000), unnest(range(n)) u(i))"""
 
+STORED = """
+stored as (
+  select * replace (case when seq % 31 = 0 then 0 else size end as size, case when seq % 31 = 0 then encode('') else content end as content),
+    greatest(1, (case when seq % 31 = 0 then 0 else size end + 999) // 1000) as n from files)"""
+
 ATTEMPTS = """
 attempts as (
   select seq, path, filename, 'A' || seq as identifier, idx, cnt, idx as arrival from fragments
@@ -190,6 +195,21 @@ ORACLES: dict[str, str] = {
       count(*) filter (kind = 'link') as links,
       coalesce(sum(size) filter (kind = 'link'), 0)::bigint as bytes_saved
     from deduped group by source""",
+    "scan_files": _with(FILES, STORED)
+    + """select path || filename as filepath, 'file' as kind, size, (i + 1)::bigint as idx, n::bigint as cnt,
+      (i * 1000)::bigint as "offset", sha256(content[i * 1000 + 1 : (i + 1) * 1000]) as sha256
+    from stored, unnest(range(n)) u(i)""",
+    "scan_fragments": _with(FILES, STORED)
+    + """select filename, n::bigint as cnt, size, 'unverified' as state, size > 5000 as large, sha256(content) as sha256
+    from stored where n > 1""",
+    "store_fragments": _with(FILES, FRAGMENTS)
+    + """select filename, state, got as size, case when state = 'complete' then parent end as sha256 from (
+      select filename, max(parent) as parent, sum(octet_length(part))::bigint as got,
+        case when count(*) < max(cnt) then 'incomplete' when seq % 13 = 0 then 'corrupt' else 'complete' end as state
+      from fragments where not lost group by seq, filename)""",
+    "frame_faults": _with(FILES, FRAMES)
+    + """select case when id % 13 = 0 then 'short' else 'mtu' end as fault, count(*) as frames
+    from frames where id % 13 = 0 or id % 19 = 0 group by 1""",
     "read_static_attrs": f"""
     with lines as (
       select page_id, i as pos, {trim_sql("string_split(html, chr(10))[i + 1]")} as line

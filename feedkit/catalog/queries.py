@@ -23,7 +23,9 @@ from feedkit.plans import flows
 from feedkit.plans.settle import settle, shared_folder
 from feedkit.session import prepare
 from feedkit.sources import files as src
+from feedkit.sources import ranges as rg
 from feedkit.sources import staging as st
+from feedkit.sources import store as so
 from feedkit.sources import synth as sy
 from feedkit.streaming import feeds as sf
 
@@ -99,12 +101,48 @@ def source_report(spark, sf_dir):
     )
 
 
+def _stored(spark, sf_dir):
+    """The documents as files of a folder; every 31st one is empty."""
+    folder = shared_folder(spark, "files")
+    files = _files(spark, sf_dir)
+    files = files.withColumn("content", F.when(F.expr("seq % 31 <> 0"), F.col("content")))
+    settle(so.store_files(files, folder), "stored")
+    return folder
+
+
 @query
 def scan_files(spark, sf_dir):
-    found = src.scan_files(spark, [sf_dir])
-    return found.filter(F.col("filename").endswith(".parquet")).select(
-        "filename", "kind", "size", _sha("content").alias("sha256")
-    )
+    """Files of known contents, read back in byte ranges of a thousand bytes."""
+    folder = _stored(spark, sf_dir)
+    found = rg.scan_ranges(spark, [folder], 1000)
+    below = F.substr("filepath", F.lit(len(folder.removeprefix("file:").rstrip("/")) + 2))
+    return found.select(below.alias("filepath"), "kind", "size", "idx", "cnt", "offset", _sha("part").alias("sha256"))
+
+
+@query
+def scan_fragments(spark, sf_dir):
+    """The same files as fragments, put together again: whole ones, and large ones by their pieces."""
+    rows = rg.scan_fragments(spark, [_stored(spark, sf_dir)], 1000)
+    none = F.lit(None).cast("string")
+    rows = rows.withColumns({"orig_checksum_type": none, "orig_checksum": none})
+    whole = fr.reassemble(rows, ["filename", "identifier"], max_cell=5000)
+    # A file above the cell has no content; its bytes are those of its ordered pieces.
+    pieces = fr.ordered_pieces(rows.withColumn("orig_checksum_type", F.lit("SHA256")), ["filename", "identifier"])
+    digests = pieces.filter("idx IS NULL").select("filename", F.col("digest").alias("sha256"))
+    return whole.select("filename", "cnt", "size", "state", F.col("content").isNull().alias("large")).join(digests, "filename")
+
+
+@query
+def store_fragments(spark, sf_dir):
+    """Fragments to files of any size on disk, and what stands there afterwards."""
+    folder = shared_folder(spark, "received")
+    sent = _fragments(spark, sf_dir).filter("NOT lost").withColumn("path", F.concat(F.lit("in/"), "path"))
+    # Every 13th file was sent with a wrong checksum.
+    wrong = F.when(F.expr("seq % 13 = 0"), F.sha2("orig_checksum", 256)).otherwise(F.col("orig_checksum"))
+    told = settle(so.store_fragments(sent.withColumn("orig_checksum", wrong), folder), "told")
+    there = rg.scan_fragments(spark, [folder], 1 << 20).select("filename", _sha("part").alias("sha256"))
+    name = F.regexp_extract("filepath", r"([^/]*)$", 1)
+    return told.select(name.alias("filename"), "state", "size").join(there, "filename", "left")
 
 
 @query
@@ -358,6 +396,11 @@ def parse_frames(spark, sf_dir):
     )
 
 
+@query
+def frame_faults(spark, sf_dir):
+    return fm.frame_faults(v.feed_datagrams(_frames(spark, sf_dir)))
+
+
 @query
 def canonical_attrs(spark, sf_dir):
     files = _files(spark, sf_dir)

@@ -36,10 +36,11 @@ def literal_attrs(pairs: Mapping[str, str | Column]) -> Column:
 
 
 def set_attrs(attrs: Column, new: Column) -> Column:
-    """Set every pair of `new` on `attrs`, replacing values that exist."""
+    """Set every pair of `new` on `attrs`, replacing values that exist; no map counts as an empty one."""
+    own = F.coalesce(attrs, literal_attrs({}))
 
     def merged(added: Column) -> Column:
-        kept = F.map_filter(attrs, lambda k, v: ~F.map_contains_key(added, k))
+        kept = F.map_filter(own, lambda k, v: ~F.map_contains_key(added, k))
         return F.map_concat(kept, added)
 
     return let(new, merged)

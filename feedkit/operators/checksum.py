@@ -52,10 +52,11 @@ def add_checksum(
     return files.withColumns({"checksum": value, "checksum_type": kind})
 
 
-def checksum_state(content: Column, checksum_type: Column, checksum: Column) -> Column:
-    """`pass`, `fail`, `missing` or `unsupported`."""
+def checksum_state(content: Column, checksum_type: Column, checksum: Column, actual: Column | None = None) -> Column:
+    """`pass`, `fail`, `missing` or `unsupported`; a digest that is known already stands for the payload's."""
     absent = (F.coalesce(checksum, F.lit("")) == "") | (F.coalesce(checksum_type, F.lit("")) == "")
-    actual = digest_by(content, checksum_type)
+    hashed = digest_by(content, checksum_type)
+    actual = hashed if actual is None else F.coalesce(actual, hashed)
     return (
         F.when(absent, "missing")
         .when(actual.isNull(), "unsupported")
@@ -65,10 +66,16 @@ def checksum_state(content: Column, checksum_type: Column, checksum: Column) ->
 
 
 def verify_checksum(
-    files: DataFrame, policy: Policy = RECEIVE, skip: bool = False, content: str = "content"
+    files: DataFrame,
+    policy: Policy = RECEIVE,
+    skip: bool = False,
+    content: str = "content",
+    actual: Column | None = None,
 ) -> DataFrame:
     """Add `state` and, by the policy, `accepted`.
 
+    `actual` may bring digests of payloads that are not in a cell; where it is null, the payload is hashed.
+
     A link has no payload of its own: its checksum describes the file that it stands for, so it is
     `unchecked` here and `resolve_links` brings the two together.
     """
@@ -76,7 +83,7 @@ def verify_checksum(
         return files.withColumns({"state": F.lit("skipped"), "accepted": F.lit(True)})
     empty = F.col("size") == 0
     payload = F.coalesce(F.col(content), F.lit(b""))
-    state = checksum_state(payload, F.col("checksum_type"), F.col("checksum"))
+    state = checksum_state(payload, F.col("checksum_type"), F.col("checksum"), actual)
     unseen = F.lit(False) if policy.empty != "unchecked" else empty
     if "kind" in files.columns:
         unseen = unseen | (F.coalesce("kind", F.lit("")) == "link")

@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from feedkit.functions.attributes import literal_attrs, set_attrs
 from feedkit.functions.hashing import digest, digest_by
+from feedkit.plans.folding import arrived_first, file_digests, file_key, fold_files
 from feedkit.plans.ordered import SPAN, number_gaps, runs
+from feedkit.plans.settle import settle
 from feedkit.plans.skew import attach_group_facts, join_null_safe
 
-# A cell must stay well under 2 GiB; larger files remain fragments.
+# A cell must stay well under 2 GiB; larger files keep their payload in ordered pieces.
 MAX_CELL = 1 << 30
+# Bytes of a piece, where a file is cut without a limit of the receiver.
+RANGE_BYTES = 64 << 20
 # Ranges of missing numbers are spelled out level by level, so that no array gets long.
 RANGE_STEPS = (10**12, 10**8, 10**4, 1)
 
@@ -69,7 +73,8 @@ def segment(
     )
     rows = rows.withColumns(
         {
-            "size": on_parts(F.octet_length("content").cast("bigint"), size),
+            # Of a row without content the lengths that its parts would have.
+            "size": on_parts(F.least(step, F.col("orig_size") - F.col("fragment_offset")), size),
             "checksum_type": on_parts(F.lit(algo), F.col("checksum_type")),
             "checksum": on_parts(digest(F.col("content"), algo), F.col("checksum")),
         }
@@ -103,26 +108,58 @@ def _usable(idx: str = "idx", cnt: str = "cnt") -> Column:
     return (F.col(cnt) > 1) & F.col(idx).between(F.lit(1), F.col(cnt))
 
 
+#: What a file's first row announces about it.
+ANNOUNCED = ("cnt", "orig_size", "orig_checksum_type", "orig_checksum")
+
+
+def first_row(order: str, announced: Sequence[str] = ANNOUNCED) -> Column:
+    """Struct whose minimum over a file's rows is its first row, with what that one announces."""
+    return F.struct(arrived_first(order).alias("first"), F.col("idx").alias("at"), *announced)
+
+
+def _without_strays(slots: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Slots (by, idx, `_f`: the first row's struct) up to the count of each file's first row.
+
+    Files whose rows name different counts are few; they are told in a narrow table of their own.
+    """
+    sums = slots.groupBy(*by).agg(F.min("_f").alias("_f"), F.min("_f.cnt").alias("_low"), F.max("_f.cnt").alias("_high"))
+    unclear = settle(sums.filter("_low <> _high").select(*by, F.col("_f.cnt").alias("_cnt")), "counts")
+    marked = join_null_safe(slots, unclear, by, "left")
+    return marked.filter(F.col("_cnt").isNull() | (F.col("idx") <= F.col("_cnt"))).drop("_cnt")
+
+
 def fragment_status(
-    fragments: DataFrame, by: Sequence[str] = ("identifier",)
+    fragments: DataFrame, by: Sequence[str] = ("identifier",), order: str = "arrival"
 ) -> DataFrame:
-    """Distinct pieces seen per file; complete when every index 1..cnt was seen."""
+    """Distinct pieces seen per file; complete when every index 1..cnt was seen.
+
+    The first row to arrive says how many pieces the file has (without an `order` column: the smallest
+    count); rows beyond that do not count.
+    """
+    valid = fragments.filter(_usable())
+    if order in fragments.columns:
+        slots = valid.groupBy(*by, "idx").agg(F.min(first_row(order, ["cnt"])).alias("_f"))
+    else:
+        slots = valid.groupBy(*by, "idx").agg(F.min(F.struct("cnt")).alias("_f"))
     return (
-        fragments.filter(_usable())
+        _without_strays(slots, by)
         .groupBy(*by)
-        .agg(F.count_distinct("idx").alias("seen"), F.max("cnt").alias("cnt"))
+        .agg(F.count(F.lit(1)).alias("seen"), F.min("_f").alias("_f"))
+        .select(*by, "seen", F.col("_f.cnt").alias("cnt"))
         .withColumn("state", F.when(F.col("seen") == F.col("cnt"), "complete").otherwise("incomplete"))
     )
 
 
 def missing_ranges(
-    fragments: DataFrame, by: Sequence[str] = ("identifier",), span: int = SPAN
+    fragments: DataFrame, by: Sequence[str] = ("identifier",), span: int = SPAN, order: str = "arrival"
 ) -> DataFrame:
-    """Ranges from_n..to_n of indices in 1..cnt that no fragment has."""
+    """Ranges from_n..to_n of indices in 1..cnt that no fragment has; cnt as in `fragment_status`."""
     valid = fragments.filter(_usable())
+    first = first_row(order, ["cnt"]) if order in fragments.columns else F.struct("cnt")
+    slots = _without_strays(valid.groupBy(*by, "idx").agg(F.min(first).alias("_f")), by)
     # The index after the last one closes the range at the end of each file.
-    ends = valid.groupBy(*by).agg(F.try_add(F.max("cnt"), F.lit(1)).alias("idx")).dropna(subset="idx")
-    return number_gaps(valid.select(*by, "idx").unionByName(ends), by, "idx", span)
+    ends = slots.groupBy(*by).agg(F.try_add(F.min("_f")["cnt"], F.lit(1)).alias("idx")).dropna(subset="idx")
+    return number_gaps(slots.select(*by, "idx").unionByName(ends), by, "idx", span)
 
 
 def missing_fragments(
@@ -162,20 +199,6 @@ def latest_attempt(
     return marked.filter(F.col(order) >= F.col("_start")).drop("_start")
 
 
-def without_oversized(
-    pieces: DataFrame, copies: DataFrame, by: Sequence[str], position: str, payload: str, order: str, max_cell: int
-) -> DataFrame:
-    """Mark files whose pieces hold more than `max_cell` bytes with `_large` and drop their payload.
-
-    What counts is what the pieces really hold: the first copies' lengths, summed without the payload.
-    """
-    lengths = copies.groupBy(*by, position).agg(F.min_by(F.octet_length(payload), order).alias("_bytes"))
-    large = lengths.groupBy(*by).agg(F.sum("_bytes").alias("_bytes")).filter(F.col("_bytes") > max_cell)
-    marked = join_null_safe(pieces, large.select(*by, F.lit(True).alias("_large")), by, "left")
-    marked = marked.withColumn("_large", F.coalesce("_large", F.lit(False)))
-    return marked.withColumn(payload, F.when(~F.col("_large"), F.col(payload)))
-
-
 def join_pieces(
     pieces: DataFrame, by: Sequence[str], position: str, payload: str, carried: Sequence[Column]
 ) -> DataFrame:
@@ -188,15 +211,21 @@ def join_pieces(
 
 
 def verified(files: DataFrame) -> DataFrame:
-    """Set `state` of assembled rows and keep the payload of sound ones only."""
+    """Set `state` of assembled rows and keep the payload of sound ones only.
+
+    With a parent checksum, it decides, by `_digest` where payload did not fit a cell. Without one, the
+    bytes must add up to the announced size, and the pieces to each other (`_sound`). A type that is not
+    supported never passes.
+    """
     whole = F.col("seen") == F.col("cnt")
-    right = digest_by(F.col("content"), F.col("orig_checksum_type")) == F.lower("orig_checksum")
-    # A parent with no checksum is only counted, and a type that is not supported never passes.
+    actual = F.coalesce(F.col("_digest"), digest_by(F.col("content"), F.col("orig_checksum_type")))
+    right = actual == F.lower("orig_checksum")
     no_parent = F.coalesce(F.col("orig_checksum"), F.lit("")) == ""
+    adds_up = F.col("_sound") & (F.col("orig_size").isNull() | (F.col("size") == F.col("orig_size")))
     state = (
-        F.when(F.col("too_large"), "too_large")
-        .when(~whole, "incomplete")
-        .when(no_parent, "unverified")
+        F.when(~whole, "incomplete")
+        .when(no_parent & adds_up, "unverified")
+        .when(no_parent, "corrupt")
         .when(F.coalesce(right, F.lit(False)), "complete")
         .otherwise("corrupt")
     )
@@ -205,6 +234,41 @@ def verified(files: DataFrame) -> DataFrame:
     )
 
 
+def _fits(columns: Sequence[str]) -> Column:
+    """Whether a file's pieces (`_length`, `offset`) lie where they say: all of one length but the last."""
+    if "offset" not in columns:
+        return F.lit(True)
+    length = F.coalesce("_length", F.lit(0)).cast("bigint")
+    inner = F.col("idx") < F.col("_f.cnt")
+    here = F.when(inner, F.col("offset") == (F.col("idx") - 1) * length)
+    last = F.when(~inner, F.col("offset") + length == F.col("_f.orig_size"))
+    placed = F.coalesce(F.bool_and(F.coalesce(here, last, F.lit(True))), F.lit(True))
+    alike = F.min(F.when(inner, length)) == F.max(F.when(inner, length))
+    return placed & F.coalesce(alike, F.lit(True))
+
+
+def told_apart(valid: DataFrame, by: Sequence[str], order: str, max_cell: int | None) -> DataFrame:
+    """by..., ANNOUNCED, `_unclear` and `_large`: the files that need more than one look at their rows.
+
+    `_unclear` ones have rows that name different counts, `_large` ones hold more than `max_cell` bytes. What
+    counts is what the pieces really hold: lengths are summed, payload does not move. Both kinds are few.
+    """
+    rows = valid.select(*by, "idx", *ANNOUNCED, order, F.octet_length("part").alias("_length"))
+    slots = rows.groupBy(*by, "idx").agg(
+        F.min_by("_length", arrived_first(order)).alias("_length"),
+        F.min(first_row(order)).alias("_f"),
+        F.min("cnt").alias("_low"),
+        F.max("cnt").alias("_high"),
+    )
+    sums = slots.groupBy(*by).agg(
+        F.min("_f").alias("_f"),
+        (F.min("_low") < F.max("_high")).alias("_unclear"),
+        (F.coalesce(F.sum("_length"), F.lit(0)) > max_cell).alias("_large"),
+    )
+    chosen = sums.filter("_unclear OR _large")
+    return settle(chosen.select(*by, *(F.col(f"_f.{c}").alias(c) for c in ANNOUNCED), "_unclear", "_large"), "told")
+
+
 def reassemble(
     fragments: DataFrame,
     by: Sequence[str] = ("identifier",),
@@ -214,34 +278,71 @@ def reassemble(
     """Complete files from their fragments, verified against the parent checksum.
 
     The first copy of each index counts; copies are dropped inside the map tasks, before anything
-    moves. Rows come out as `complete`, `unverified` (the parent names no checksum), `corrupt` or
-    `too_large` (refused: the file stays as fragments); incomplete files are left out.
+    moves. The first row to arrive says what the file is: its number of pieces, size and checksum. Rows
+    come out as `complete`, `unverified` (the parent names no checksum) or `corrupt`; incomplete files are
+    left out. A file of more than `max_cell` bytes gets the same verdict from a running digest over its
+    ordered pieces; its `content` is null, and `ordered_pieces` hands out the payload.
     """
     valid = fragments.filter(_usable())
-    pieces = (
-        valid.groupBy(*by, "idx")
-        .agg(
-            F.min_by("part", order).alias("part"),
-            F.max("cnt").alias("cnt"),
-            F.max("orig_size").alias("orig_size"),
-            F.min("orig_size").alias("_least"),
-            F.max("orig_checksum_type").alias("orig_checksum_type"),
-            F.max("orig_checksum").alias("orig_checksum"),
-        )
+    told = told_apart(valid, by, order, max_cell)
+    own = ["part", *(["offset"] if "offset" in fragments.columns else [])]
+    pieces = valid.groupBy(*by, "idx").agg(
+        F.min_by(F.struct(*own), arrived_first(order)).alias("_own"), F.min(first_row(order)).alias("_f")
+    )
+    pieces = join_null_safe(pieces, told.select(*by, F.col("cnt").alias("_cnt"), "_large"), by, "left")
+    pieces = pieces.filter(F.col("_cnt").isNull() | (F.col("idx") <= F.col("_cnt")))
+    pieces = pieces.select(*by, "idx", "_f", "_own.*", F.coalesce("_large", F.lit(False)).alias("_large"))
+    pieces = pieces.withColumns(
+        {"_length": F.octet_length("part").cast("bigint"), "part": F.when(~F.col("_large"), F.col("part"))}
     )
-    pieces = without_oversized(pieces, valid, by, "idx", "part", order, max_cell)
     carried = [
-        F.max("cnt").alias("cnt"),
-        # One stray row's announcement does not count against the others.
-        (F.max("_large") | (F.min(F.coalesce("_least", F.lit(0))) > max_cell)).alias("too_large"),
-        F.max("orig_checksum_type").alias("orig_checksum_type"),
-        F.max("orig_checksum").alias("orig_checksum"),
-        F.max("orig_size").alias("orig_size"),
+        F.min("_f").alias("_f"), F.coalesce(F.sum("_length"), F.lit(0)).alias("size"), _fits(own).alias("_sound")
     ]
     whole = join_pieces(pieces, by, "idx", "part", carried)
-    return (
-        verified(whole)
-        .filter(F.col("state") != "incomplete")
-        .withColumn("size", F.octet_length("content").cast("bigint"))
-        .drop("too_large", "seen")
+    whole = whole.select(*by, "content", "seen", "size", "_sound", *(F.col(f"_f.{c}").alias(c) for c in ANNOUNCED))
+    large = told.filter("_large")
+    if large.isEmpty():
+        judged = whole.withColumn("_digest", F.lit(None).cast("string"))
+    else:
+        parts = valid.select(*by, "idx", "part", arrived_first(order).alias("_first"))
+        large = large.select(*by, F.col("cnt").alias("_cnt"), F.col("orig_checksum_type").alias("_type"))
+        parts = join_null_safe(parts, large, by).filter("idx <= _cnt")
+        digests = settle(file_digests(parts, by, "idx", "part", "_type", F.col("_first")), "digests")
+        digests = digests.select(*by, F.col("digest").alias("_digest"), F.lit(True).alias("_by_pieces"))
+        judged = join_null_safe(whole, digests, by, "left")
+        judged = judged.withColumn("content", F.when(F.col("_by_pieces").isNull(), F.col("content"))).drop("_by_pieces")
+    return verified(judged).filter(F.col("state") != "incomplete").drop("seen", "_sound", "_digest")
+
+
+def ordered_pieces(
+    fragments: DataFrame, by: Sequence[str] = ("identifier",), order: str = "arrival"
+) -> DataFrame:
+    """Files of any size as a run of rows: by..., idx, part, then one row with state, size and digest.
+
+    A file's rows lie in one partition, in order, its pieces first (their `state` is null); the last row
+    has a null idx and says `complete`, `unverified`, `corrupt` or `incomplete`. A reader that writes pieces
+    as they come holds one of them at a time and learns at the end whether the file may stay.
+    """
+    valid = fragments.filter(_usable())
+    own = ["idx", *(["offset"] if "offset" in fragments.columns else [])]
+    rows = valid.select(*by, *own, F.octet_length("part").alias("_length"), *ANNOUNCED, order)
+    slots = rows.groupBy(*by, "idx").agg(
+        F.min_by(F.struct("_length", *own[1:]), arrived_first(order)).alias("_own"), F.min(first_row(order)).alias("_f")
+    )
+    slots = _without_strays(slots, by).select(*by, "idx", "_f", "_own.*")
+    facts = settle(slots.groupBy(*by).agg(F.min("_f").alias("_f"), _fits(own).alias("_sound")), "announced")
+    facts = facts.select(file_key(by).alias("_name"), "_sound", *(F.col(f"_f.{c}").alias(c) for c in ANNOUNCED))
+    told = valid.select(*by, "idx", "part", file_key(by).alias("_name"), arrived_first(order).alias("_first"))
+    told = told.join(facts, "_name").filter(F.col("idx") <= F.col("cnt")).drop("_name")
+    folded = fold_files(told, [*by, *ANNOUNCED, "_sound"], "idx", "part", "orig_checksum_type", F.col("_first"))
+    no_parent = F.coalesce("orig_checksum", F.lit("")) == ""
+    adds_up = F.col("_sound") & (F.col("orig_size").isNull() | (F.col("n_bytes") == F.col("orig_size")))
+    state = (
+        F.when(F.col("n_pieces") != F.col("cnt"), "incomplete")
+        .when(no_parent, F.when(adds_up, "unverified").otherwise("corrupt"))
+        .when(F.coalesce(F.col("digest") == F.lower("orig_checksum"), F.lit(False)), "complete")
+        .otherwise("corrupt")
+    )
+    return folded.select(
+        *by, "idx", "part", F.when(F.col("idx").isNull(), state).alias("state"), F.col("n_bytes").alias("size"), "digest"
     )

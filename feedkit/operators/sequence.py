@@ -55,7 +55,8 @@ def release_plan(
         return prefix.withColumnRenamed("running_max", "released_at").drop("_first")
 
     copies = attach_group_facts(
-        packets.select(*key, "op", order).dropna(subset=key),
+        # A packet without an arrival has not arrived: those behind it wait.
+        packets.select(*key, "op", order).dropna(subset=[*key, order]),
         key,
         [F.min(order).alias("_first")],
         spread_on=[*key, order],
@@ -76,6 +77,7 @@ def release_plan(
     )
 
 
-def sequence_gaps(packets: DataFrame, span: int = SPAN) -> DataFrame:
+def sequence_gaps(packets: DataFrame, span: int = SPAN, order: str = "arrival") -> DataFrame:
     """Ranges of packet numbers that each session still waits for: socket_id, from_n, to_n."""
-    return number_gaps(packets.filter(F.col("n") >= 1), [SESSION], "n", span)
+    arrived = packets.filter(F.col(order).isNotNull()) if order in packets.columns else packets
+    return number_gaps(arrived.filter(F.col("n") >= 1), [SESSION], "n", span)

@@ -8,11 +8,15 @@ from pyspark.sql import SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+BATCH_BYTES = 64 << 20
+
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings: UTC clock and a state store that supports timers."""
+    """Apply the runtime settings: UTC clock, a state store that supports timers, Arrow batches bounded by bytes."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    # Pieces of files may be large: a batch for Python ends by bytes as well as by rows.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     on_one_machine = re.match(r"local(\[|$)", spark.sparkContext.master) is not None
     if on_one_machine and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
