@@ -226,9 +226,12 @@ ORACLES: dict[str, str] = {
     "committed_batches": _with(FILES)
     + "select seq, batch_id, size from files where batch_id % 3 <> 0",
     "replay_feed": _with(FILES)
-    + f"""select seq, batch_id, size, 'FROM-DISK' as action, 'TO-DISK' as earlier_action, 'h2' as host,
-      sha as sha256
-    from (select *, {_gate(True)} as ok from files) where ok""",
+    + f"""select seq, case when batch_id % 50 <> 0 then batch_id end as batch_id, size, 'FROM-DISK' as action,
+      'TO-DISK' as earlier_action, 'h2' as host, sha as sha256
+    from (select *, case when batch_id % 50 = 0 then state = 'pass' else {_gate(True)} end as ok from files) where ok""",
+    "stage_stream": _with(FILES)
+    + f"""select batch_id, 'TO-DISK' as action, count(*) as files, sum(size)::bigint as bytes
+    from (select *, {_gate(True)} as ok from files) where ok group by batch_id""",
     "audit_feed": _with(FILES)
     + "select state, count(*) as files, sum(size)::bigint as bytes from files group by state",
     "forward_feed": _with(FILES)
@@ -417,5 +420,6 @@ ORACLES: dict[str, str] = {
     + """select period_start, host, action, files, bytes from report
     where period_start + 300 <= (select floor(epoch_ms(max(ts)) / 1000.0) - 60 from hops)""",
 }
+ORACLES["relay_stream"] = ORACLES["forward_feed"]
 ORACLES["custody_paths_from_attrs"] = ORACLES["custody_paths"]
 ORACLES["hop_latency_from_attrs"] = ORACLES["hop_latency"]

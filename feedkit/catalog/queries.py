@@ -24,6 +24,7 @@ from feedkit.plans.settle import settle, shared_folder
 from feedkit.session import prepare
 from feedkit.sources import files as src
 from feedkit.sources import ranges as rg
+from feedkit.sources import relay as rl
 from feedkit.sources import staging as st
 from feedkit.sources import store as so
 from feedkit.sources import synth as sy
@@ -179,12 +180,27 @@ def committed_batches(spark, sf_dir):
     return st.committed_batches(files, markers).select("seq", "batch_id", "size")
 
 
+def _marked_feed(spark, sf_dir):
+    """A staged feed with what a replay must not see or see twice, files without a batch among it."""
+    folder = shared_folder(spark, "stage")
+    files = _files(spark, sf_dir).withColumn("attrs", literal_attrs({"path": F.col("path")}))
+    # Every 50th batch is none: its files stand for themselves.
+    files = files.withColumn("batch_id", F.when(F.expr("batch_id % 50 <> 0"), F.col("batch_id")))
+    halves = [files.filter(f"coalesce(batch_id, 0) % 2 = {i}") for i in (0, 1)]
+    for i, half in enumerate([*halves, halves[0]]):  # the first call is repeated
+        st.stage_feed(half, folder, host="h1", at=F.lit(STAMP), batch_parts=8, call_id=f"half{i % 2}")
+    orphan = settle(spark.read.parquet(f"{folder}/payload").withColumn("stage_id", F.lit("s-broken-off")), "orphan")
+    orphan.write.mode("append").partitionBy("stage_id", "batch_part").parquet(f"{folder}/payload")
+    return folder
+
+
 @query
 def replay_feed(spark, sf_dir):
-    folder = _staged(spark, sf_dir)
-    sf.run_available(st.replay_feed(spark, folder, host="h2", at=F.lit(STAMP)), f"{folder}/replay")
+    folder = _marked_feed(spark, sf_dir)
+    writer = st.replay_into(spark, folder, f"{folder}/out", f"{folder}/replay", host="h2", at=F.lit(STAMP), max_files_per_trigger=1)
+    writer.trigger(availableNow=True).start().awaitTermination()
     a = F.col("attrs")
-    return spark.read.parquet(f"{folder}/replay/out").select(
+    return spark.read.parquet(f"{folder}/out").select(
         "seq",
         "batch_id",
         "size",
@@ -195,22 +211,54 @@ def replay_feed(spark, sf_dir):
     )
 
 
+def _arriving(spark, files, name):
+    """The files as a stream of four micro-batches, batches whole."""
+    folder = shared_folder(spark, name)
+    files.repartition(4, "batch_id").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(files.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    return folder, stream
+
+
+@query
+def stage_stream(spark, sf_dir):
+    """Staged as it arrives, and once more from the start: the same calls change nothing."""
+    files = _files(spark, sf_dir).withColumn("attrs", literal_attrs({"path": F.col("path")}))
+    folder, stream = _arriving(spark, files, "stage")
+    for attempt in ("first", "again"):
+        writer = st.stage_stream(stream, f"{folder}/staged", f"{folder}/{attempt}", host="h1", at=F.lit(STAMP), batch_parts=8)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    rows = st.read_staged(spark, f"{folder}/staged")
+    return rows.groupBy("batch_id", get_attr(F.col("attrs"), "custodyChain.0.action").alias("action")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes")
+    )
+
+
+@query
+def relay_stream(spark, sf_dir):
+    """Relayed as it arrives: each micro-batch is one marked write, split by outcome when it is read."""
+    folder, stream = _arriving(spark, _relayed_files(spark, sf_dir), "relay")
+    for attempt in ("first", "again"):
+        writer = rl.relay_stream(
+            stream, f"{folder}/relayed", f"{folder}/{attempt}", label="RELAY", remote="192.0.2.1:7", host="h1", pass_metrics=False, at=F.lit(STAMP)
+        )
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return _outcomes(*rl.read_relayed(spark, f"{folder}/relayed"))
+
+
 @query
 def audit_feed(spark, sf_dir):
     return ck.audit_feed(_files(spark, sf_dir))
 
 
-@query
-def forward_feed(spark, sf_dir):
+def _relayed_files(spark, sf_dir):
     kind = F.when(F.expr("seq % 41 = 0"), "metrics").otherwise("file")
     came = F.when(F.expr("seq % 2 = 0"), F.concat(F.lit("10.0.0."), F.col("seq").cast("string"))).otherwise("")
-    files = _files(spark, sf_dir).withColumns(
+    return _files(spark, sf_dir).withColumns(
         {"kind": kind, "forwarded_for": came, "attrs": literal_attrs({"path": F.col("path")})}
     )
-    out, rejects, metered = flows.forward_feed(
-        files, "RELAY", remote="192.0.2.1:7", host="h1", pass_metrics=False, at=F.lit(STAMP)
-    )
 
+
+def _outcomes(out, rejects, metered):
     def told(rows, name):
         action = get_attr(F.col("attrs"), "custodyChain.0.action")
         return rows.select("seq", "forwarded_for", action.alias("action"), F.lit(name).alias("result"))
@@ -218,6 +266,13 @@ def forward_feed(spark, sf_dir):
     return told(out, "out").unionByName(told(rejects, "reject")).unionByName(told(metered, "metrics"))
 
 
+@query
+def forward_feed(spark, sf_dir):
+    files = _relayed_files(spark, sf_dir)
+    return _outcomes(
+        *flows.forward_feed(files, "RELAY", remote="192.0.2.1:7", host="h1", pass_metrics=False, at=F.lit(STAMP))
+    )
+
 
 @query
 def outgoing_feed(spark, sf_dir):

@@ -258,7 +258,8 @@ def test_staging_round_trip(spark, tmp_path):
     assert {r["seq"] for r in back.collect()} == {1, 2, 3, 7, 8, 9, 101, 102, 103, 107, 108, 109}
     assert {r["s"] for r in back.select(get_attr(F.col("attrs"), "size").alias("s")).collect()} == {"4"}
     replayed = str(tmp_path / "replay")
-    run_available(stg.replay_feed(spark, folder, host="h2", at=F.lit("t2"), max_files_per_trigger=1), replayed)
+    writer = stg.replay_into(spark, folder, f"{replayed}/out", replayed, host="h2", at=F.lit("t2"), max_files_per_trigger=1)
+    writer.trigger(availableNow=True).start().awaitTermination()
     rows = spark.read.parquet(f"{replayed}/out").collect()
     assert len(rows) == 12
     assert {(r["attrs"]["custodyChain.0.action"], r["attrs"]["custodyChain.1.action"]) for r in rows} == {("FROM-DISK", "TO-DISK")}
@@ -269,7 +270,7 @@ def test_payload_without_marker_is_not_read(spark, tmp_path):
     stg.stage_feed(feed(spark), folder, verify=False)
     orphan = spark.read.parquet(f"{folder}/payload").withColumn("stage_id", F.lit("broken off"))
     settled = settle(orphan, "orphan")
-    settled.write.mode("append").partitionBy("batch_part").parquet(f"{folder}/payload")
+    settled.write.mode("append").partitionBy("stage_id", "batch_part").parquet(f"{folder}/payload")
     assert spark.read.parquet(f"{folder}/payload").count() == 24
     assert stg.read_staged(spark, folder).count() == 12
 
@@ -284,7 +285,8 @@ def test_partial_batches_can_be_kept(spark, tmp_path):
 def test_hook_runs_after_commit(spark, tmp_path):
     folder, seen = str(tmp_path / "stage"), []
     stg.stage_feed(feed(spark), folder)
-    stream = stg.replay_feed(spark, folder)
+    schema = spark.read.parquet(f"{folder}/payload").schema
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/payload")
     query = stg.on_complete(stream, lambda df, n: seen.append((n, df.count())), str(tmp_path / "cp"), True).start()
     query.awaitTermination()
     assert sum(c for _, c in seen) == 6
