@@ -5,7 +5,8 @@ overlaps for each kind. The field reads windows around numbers, `@` and `dot` th
 covers, and around `at` before labels with a dot; they grow over all that may belong to an address. It
 scores segments (any of `MAX_TOKENS` tokens; numbers and addresses to their full length) by features of the whole span (shape, digits,
 groups, separators, check digit, ends, neighbours), knows what follows what, and a dynamic program
-over segment ends chooses boundaries and kinds together. It adds spans outside those of the rules, and
+over segment ends chooses boundaries and kinds together. Segments are made and scored for a block of
+starts at a time, from running sums, so time and memory grow in proportion to the text. It adds spans outside those of the rules, and
 takes none away.
 
 The field is trained on windows of all documents, a bounded number of each kind by hash: the rules' spans as they stand,
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedkit.llm.hashing import mixed
 from feedkit.plans.settle import settle
 
 KINDS = ("email", "ip", "card", "phone")
@@ -41,6 +43,10 @@ MOST_WINDOWS, ROUNDS, FEATURES = 700, 6, 1 << 12
 MAX_TOKENS, MOST_TOKENS = 20, 3 * 254
 #: Most tokens `at` or `@` in such a long address; labels may be named so.
 MOST_ATS = 4
+#: Characters of an address as it is written out, and of the part before its at: no mail server takes more.
+ADDRESS, LOCAL = 254, 64
+#: Characters of a window that is learned from as holding no entity.
+LESSON = 400
 #: Characters that a window shows at least on each side of what it is about.
 MARGIN = 30
 
@@ -166,107 +172,207 @@ def windows_of(text: str, spans: list[Span]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+#: Codes of tokens: digits, blanks, letters, letters with digits; a sign's is its code point and SIGN.
+DIGITS, BLANK, LETTERS, MIXED, BAR, SIGN = 1, 2, 3, 4, 5, 16
+#: Starts of segments that are worked on at once.
+BLOCK = 4096
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def _kind_of(token: str) -> int:
+    if token.isascii() and token.isdigit():
+        return DIGITS
+    if token[0].isspace():
+        return BLANK
+    if token[0].isalnum():
+        return LETTERS if token.isalpha() else MIXED
+    return SIGN + ord(token)
+
+
+def _sums(values) -> np.ndarray:
+    """Sums of what stands before each place."""
+    return np.concatenate([[0], np.cumsum(np.asarray(values, np.int64))])
+
+
+class Tokens:
+    """The tokens of some windows, a bar behind each, with sums over what a span may hold."""
+
+    def __init__(self, windows: list[tuple[str, int, int]]) -> None:
+        self.bounds: list[tuple[int, int]] = []
+        self.window: list[int] = []
+        words, kinds, addressed = [], [], []
+        for w, (text, begin, end) in enumerate(windows):
+            # Tokens that the range cuts are left out.
+            while begin > 0 and begin < end and text[begin - 1].isalnum() and text[begin].isalnum():
+                begin += 1
+            while end < len(text) and end > begin and text[end - 1].isalnum() and text[end].isalnum():
+                end -= 1
+            for m in _TOKEN.finditer(text, begin, end):
+                word = m[0]
+                kind = _kind_of(word)
+                words.append(word)
+                kinds.append(kind)
+                if kind == BLANK:
+                    addressed.append(_joined(text, m.start(), m.end(), begin, end))
+                else:
+                    addressed.append(kind < SIGN or word in _ADDRESS_SIGNS)
+                self.bounds.append(m.span())
+                self.window.append(w)
+            words.append("")
+            kinds.append(BAR)
+            addressed.append(False)
+            self.bounds.append((end, end))
+            self.window.append(w)
+        lower = [w.lower() for w in words]
+        self.kinds = kind = np.array(kinds, np.int64)
+        self.label = (kind == DIGITS) | (kind == LETTERS) | (kind == MIXED)
+        digit = kind == DIGITS
+        sizes = np.array([len(w) for w in words], np.int64)
+        dots = np.array([w in (".", "dot") for w in lower], bool)
+        ats = np.array([w in ("@", "at") for w in lower], bool)
+        number = digit | (kind == BLANK) | np.isin(kind, [SIGN + ord(c) for c in _NUMBER_SIGNS])
+        small = np.array([k == DIGITS and len(w) <= 3 and int(w) <= 255 for k, w in zip(kinds, words, strict=True)], bool)
+        # What an address is written out to be: labels as they are, a character for at and dot.
+        plain = np.where(ats | dots, 1, np.where(self.label | np.isin(kind, [SIGN + ord(c) for c in "._%+-"]), sizes, 0))
+        self.n_digits, self.n_groups = _sums(np.where(digit, sizes, 0)), _sums(digit)
+        self.n_letters, self.n_labels = _sums(self.label & ~digit), _sums(self.label)
+        self.n_dots, self.n_ats, self.n_small, self.n_plain = map(_sums, (dots, ats, small, plain))
+        self.not_address, self.not_number, self.bars = map(_sums, (~np.array(addressed, bool), ~number, kind == BAR))
+        n = len(kinds)
+        at_places = np.append(np.flatnonzero(ats), n)
+        self.next_at = at_places[np.searchsorted(at_places, np.arange(n))]
+        marks = kind.astype(np.uint64)
+        self.powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, _STEP, np.uint64)]))
+        self.back = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, _BACK, np.uint64)]))
+        shape = np.where(digit, sizes.astype(np.uint64) + np.uint64(1 << 40), marks)
+        self.shapes = np.concatenate([[np.uint64(0)], np.cumsum(shape * self.powers[:-1], dtype=np.uint64)])
+        self.plains = np.concatenate([[np.uint64(0)], np.cumsum(marks * self.powers[:-1], dtype=np.uint64)])
+        figures = np.array([int(c) for k, w in zip(kinds, words, strict=True) if k == DIGITS for c in w], np.int64)
+        twice = 2 * figures - 9 * (figures > 4)
+        even = np.arange(len(figures)) % 2 == 0
+        self.even, self.odd = _sums(np.where(even, figures, twice)), _sums(np.where(even, twice, figures))
+        self.signs = {int(k): _sums(kind == k) for k in np.unique(kind[(kind == BLANK) | (kind >= SIGN)])}
+
+        def hashes(texts) -> np.ndarray:
+            return np.array([zlib.crc32(x.encode()) for x in texts], np.uint64)
+
+        self.first = np.where(digit | (kind == MIXED), marks, hashes(lower) + np.uint64(1 << 33))
+        self.ending = hashes(x[-6:] for x in lower)
+        self.opening = hashes(x[:6] for x in lower)
+
+    def __len__(self) -> int:
+        return len(self.kinds)
+
+    def segments(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, end) of the segments that may be an entity and begin from `first` to before `last`.
+
+        Of up to MAX_TOKENS tokens, what has 7 to 24 digits or four groups of them, or an at and a dot.
+        Beyond that, numbers of up to 24 digits, and what may be an address of up to ADDRESS characters
+        with up to LOCAL before the at.
+        """
+        n = len(self)
+        start = np.arange(first, last)
+        start = start[self.label[start] | np.isin(self.kinds[start], [SIGN + ord("+"), SIGN + ord("(")])]
+        near = self.next_at[start]
+        local = self.n_plain[near] - self.n_plain[start] <= LOCAL
+        begins, ends = [], []
+        for d in range(MOST_TOKENS):
+            stop = start + d + 1
+            inside = stop <= n
+            inside[inside] &= self.bars[stop[inside]] == self.bars[start[inside]]
+            start, stop, local = start[inside], stop[inside], local[inside]
+            digits = self.n_digits[stop] - self.n_digits[start]
+            ats, dots = self.n_ats[stop] - self.n_ats[start], self.n_dots[stop] - self.n_dots[start]
+            numbers = ((digits >= 7) & (digits <= 24)) | (self.n_groups[stop] - self.n_groups[start] == 4)
+            names = (ats > 0) & (dots > 0)
+            if d >= MAX_TOKENS:
+                number = (self.not_number[stop] == self.not_number[start]) & (digits <= 24)
+                plain = self.n_plain[stop] - self.n_plain[start]
+                address = (self.not_address[stop] == self.not_address[start]) & (ats <= MOST_ATS) & (plain <= ADDRESS) & local
+                going = (number | address) & (self.n_labels[stop] > self.n_labels[start])
+                numbers, names = numbers & number & going, names & address & going
+            found = self.label[stop - 1] & (numbers | names)
+            begins.append(start[found])
+            ends.append(stop[found])
+            if d >= MAX_TOKENS:
+                start, local = start[going], local[going]
+            if not len(start):
+                break
+        begin, end = np.concatenate([np.zeros(0, np.int64), *begins]), np.concatenate([np.zeros(0, np.int64), *ends])
+        order = np.lexsort((begin, end))
+        return begin[order], end[order]
+
+    def features(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers of the features of each segment: what is in the whole span, and what is around it."""
+
+        def inside(sums: np.ndarray) -> np.ndarray:
+            return sums[end] - sums[begin]
+
+        def rolled(sums: np.ndarray, most: int) -> np.ndarray:
+            near = np.minimum(end, begin + most)
+            return (sums[near] - sums[begin]) * self.back[begin] + (near - begin).astype(np.uint64)
+
+        n = len(self)
+        digits, groups, ats = inside(self.n_digits), inside(self.n_groups), inside(self.n_ats)
+        letters = (inside(self.n_letters) > 0).astype(np.uint64)
+        signs = np.zeros(len(begin), np.uint64)
+        for kind, sums in self.signs.items():
+            mark = np.uint64((int(_STEP) * (2 * kind + 1)) % (1 << 64))
+            signs ^= np.where(inside(sums) > 0, mark, np.uint64(0))
+        low, high = self.n_digits[begin], self.n_digits[end]
+        total = np.where(high % 2 == 1, self.even[high] - self.even[low], self.odd[high] - self.odd[low])
+        check = ((digits >= 12) & (total % 10 == 0)).astype(np.uint64)
+        octets = ((groups == 4) & (inside(self.n_small) == 4)).astype(np.uint64)
+
+        def kind_at(place: np.ndarray) -> np.ndarray:
+            """The kind of the token there; a window ends at its bars."""
+            return np.where((place >= 0) & (place < n), self.kinds[np.clip(place, 0, n - 1)], BAR).astype(np.uint64)
+
+        before, after = kind_at(begin - 1), kind_at(end)
+        two_before = np.where(before == BAR, np.uint64(BAR), kind_at(begin - 2) * np.uint64(1 << 24) + before)
+        two_after = np.where(after == BAR, np.uint64(BAR), kind_at(end + 1) * np.uint64(1 << 24) + after)
+        named = ats > 0
+        opening = np.where((after != BAR) & named, self.opening[np.minimum(end + 1, n - 1)], np.uint64(0))
+        values = (
+            np.zeros(len(begin), np.uint64),
+            rolled(self.shapes, 24),
+            rolled(self.plains, 24),
+            signs * np.uint64(2) + letters,
+            np.minimum(digits, 20).astype(np.uint64) * np.uint64(2) + letters,
+            np.minimum(groups, 6).astype(np.uint64) * np.uint64(2) + letters,
+            check * np.uint64(2) + letters,
+            octets * np.uint64(2) + letters,
+            (np.minimum(ats, 2) * 8 + np.minimum(inside(self.n_dots), 4)).astype(np.uint64),
+            (kind_at(begin) * np.uint64(1 << 24) + kind_at(end - 1)) * np.uint64(2) + named.astype(np.uint64),
+            self.first[begin],
+            before * np.uint64(2) + letters,
+            after * np.uint64(2) + letters,
+            two_before * np.uint64(2) + letters,
+            two_after * np.uint64(2) + letters,
+            np.where(named, self.ending[end - 1], np.uint64(0)),
+            opening,
+        )
+        out = np.empty((len(begin), len(values)), np.int32)
+        for i, value in enumerate(values):
+            out[:, i] = mixed(value * np.uint64(64) + np.uint64(i + 1)) % np.uint64(FEATURES)
+        return out
+
+
 @dataclass
 class Window:
     """Tokens of a window and its candidate segments with their features."""
 
     bounds: list[tuple[int, int]]
     segments: list[tuple[int, int]]
-    features: list[np.ndarray]
-
-
-def _kind_of(token: str) -> str:
-    if token.isascii() and token.isdigit():
-        return "D"
-    if token[0].isspace():
-        return "_"
-    if token[0].isalnum():
-        return "A" if token.isalpha() else "M"
-    return token
+    features: np.ndarray
 
 
 def read_window(text: str, begin: int, end: int) -> Window:
-    """Split a range into tokens and list the segments that may be an entity."""
-    # Tokens that the range cuts are left out.
-    while begin > 0 and begin < end and text[begin - 1].isalnum() and text[begin].isalnum():
-        begin += 1
-    while end < len(text) and end > begin and text[end - 1].isalnum() and text[end].isalnum():
-        end -= 1
-    bounds = [m.span() for m in _TOKEN.finditer(text, begin, end)]
-    words = [text[a:b] for a, b in bounds]
-    kinds = [_kind_of(w) for w in words]
-    dots = [w == "." or w.lower() == "dot" for w in words]
-    ats = [w == "@" or w.lower() == "at" for w in words]
-    addressed = [
-        _joined(text, a, b, begin, end) if text[a].isspace() else k in "DAM" or k in _ADDRESS_SIGNS
-        for (a, b), k in zip(bounds, kinds, strict=True)
-    ]
-    next_at, later = [], len(words)
-    for t in range(len(words) - 1, -1, -1):
-        later = t if ats[t] else later
-        next_at.append(later)
-    next_at.reverse()
-    segments, features = [], []
-    for i, first in enumerate(kinds):
-        if first not in ("D", "A", "M", "+", "("):
-            continue
-        digits, groups, many_dots, many_ats, seen = "", [], 0, 0, False
-        address = number = True
-        for j in range(i, min(i + MOST_TOKENS, len(words))):
-            kind = kinds[j]
-            address = address and addressed[j]
-            number = number and (kind in "D_" or kind in _NUMBER_SIGNS)
-            if kind == "D":
-                digits += words[j]
-                groups.append(words[j])
-            many_dots += dots[j]
-            many_ats += ats[j]
-            seen = seen or kind in "DAM"
-            if j >= i + MAX_TOKENS:  # what is neither a number nor an address ends here
-                number = number and len(digits) <= 24
-                address = address and many_ats <= MOST_ATS and (many_ats or next_at[j] < i + MOST_TOKENS)
-                if not seen or not (number or address):
-                    break
-            if kind not in ("D", "A", "M"):
-                continue
-            numbers = 7 <= len(digits) <= 24 or len(groups) == 4
-            names = many_ats and many_dots
-            if j >= i + MAX_TOKENS:
-                numbers, names = numbers and number, names and address
-            if not (numbers or names):
-                continue
-            segments.append((i, j + 1))
-            features.append(_span_features(words, kinds, i, j + 1, digits, groups, many_ats, many_dots))
-    return Window(bounds, segments, features)
-
-
-def _span_features(words, kinds, i, j, digits, groups, many_ats, many_dots) -> np.ndarray:
-    near = min(j, i + 48)  # the rest of the shape is not read
-    shape = "".join(f"D{len(w)}" if k == "D" else k for w, k in zip(words[i:near], kinds[i:near], strict=True))
-    plain = re.sub("D[0-9]+", "D", shape)
-    signs = "".join(sorted({k for k in kinds[i:j] if k not in "DAM"}))
-    octets = len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups)
-    letters = sum(k in "AM" for k in kinds[i:j])
-    names = (
-        "all",
-        f"shape {shape[:48]}",
-        f"plain {plain[:32]}",
-        f"signs {signs} {bool(letters)}",
-        f"digits {min(len(digits), 20)} {bool(letters)}",
-        f"groups {min(len(groups), 6)} {bool(letters)}",
-        f"check {len(digits) >= 12 and luhn(digits)} {bool(letters)}",
-        f"octets {octets} {bool(letters)}",
-        f"ats {min(many_ats, 2)} dots {min(many_dots, 4)}",
-        f"ends {kinds[i]} {kinds[j - 1]} {many_ats > 0}",
-        f"first {words[i].lower() if kinds[i] not in 'DM' else kinds[i]}",
-        f"before {kinds[i - 1] if i else '<'} {bool(letters)}",
-        f"after {kinds[j] if j < len(kinds) else '>'} {bool(letters)}",
-        f"two before {''.join(kinds[max(i - 2, 0) : i])} {bool(letters)}",
-        f"two after {''.join(kinds[j : j + 2])} {bool(letters)}",
-        f"last {words[j - 1].lower()[-6:] if many_ats else ''}",
-        f"next word {words[j + 1].lower()[:6] if j + 1 < len(words) and many_ats else ''}",
-    )
-    return np.array([zlib.crc32(n.encode()) % FEATURES for n in names], np.int32)
+    """Split a range into tokens and list the segments that may be an entity: for training and tests."""
+    tokens = Tokens([(text, begin, end)])
+    first, last = tokens.segments(0, len(tokens))
+    return Window(tokens.bounds[:-1], list(zip(first.tolist(), last.tolist(), strict=True)), tokens.features(first, last))
 
 
 def _logsum(x: np.ndarray, axis: int = 0) -> np.ndarray:
@@ -283,40 +389,95 @@ class Field:
     weights: np.ndarray
     follows: np.ndarray
 
+    def weigh(self, features: np.ndarray) -> np.ndarray:
+        """A score by kind for each row of feature numbers."""
+        out = np.zeros((len(features), len(KINDS)))
+        table = np.ascontiguousarray(self.weights.T)
+        for column in features.T:
+            out += table[column]
+        return out
+
     def scores(self, window: Window) -> np.ndarray:
-        if not window.segments:
-            return np.zeros((0, len(KINDS)))
-        return self.weights[:, np.stack(window.features)].sum(axis=2).T
+        return self.weigh(window.features)
 
-    def best(self, window: Window) -> list[tuple[int, int, int]]:
-        """The best segmentation's entities: first token, kind (from 0), end token."""
-        if not window.segments:
-            return []
-        n, labels = len(window.bounds), len(KINDS) + 1
+    def best(self, tokens: Tokens) -> list[tuple[int, int, int]]:
+        """The best segmentation's entities: first token, kind (from 0), end token.
+
+        Segments are made for a block of starts at a time and go into the program at their ends, in order;
+        of a block, those that end behind it are kept. What grows with the text is a few numbers a token.
+        """
+        n, labels = len(tokens), len(KINDS) + 1
         value = np.full((n + 1, labels), -np.inf)
         value[0, 0] = 0.0
-        back: dict[tuple[int, int], tuple[int, int]] = {}
-        ending: dict[int, list[int]] = {}
-        for s, (_, j) in enumerate(window.segments):
-            ending.setdefault(j, []).append(s)
-        scores = self.scores(window)
-        for t in range(1, n + 1):
-            prior = int((value[t - 1] + self.follows[:, 0]).argmax())
-            value[t, 0] = value[t - 1, prior] + self.follows[prior, 0]
-            back[t, 0] = t - 1, prior
-            for s in ending.get(t, ()):
-                i = window.segments[s][0]
-                ways = value[i][:, None] + self.follows[:, 1:]
-                best = ways.max(axis=0) + scores[s]
-                for k in np.flatnonzero(best > value[t, 1:]):
-                    value[t, k + 1] = best[k]
-                    back[t, int(k) + 1] = i, int(ways[:, k].argmax())
-        out, t, label = [], n, int(value[n].argmax())
-        while t:
-            i, prior = back[t, label]
+        # The best way into a segment of each kind from a place, and the label before it.
+        into, prior = np.full((n + 1, labels - 1), -np.inf), np.zeros((n + 1, labels - 1), np.int8)
+        back = np.full((n + 1, labels), -1, np.int64)
+        label_before = np.zeros((n + 1, labels), np.int8)
+        stay, enter = self.follows[:, 0], self.follows[:, 1:]
+        into[0], prior[0] = (value[0][:, None] + enter).max(axis=0), (value[0][:, None] + enter).argmax(axis=0)
+        bar_ends = np.flatnonzero(tokens.kinds == BAR) + 1
+        begin, end = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        scores = np.zeros((0, labels - 1))
+
+        def step(t: int) -> None:
+            """From t - 1 to t without an entity."""
+            ways = value[t - 1] + stay
+            p = int(ways.argmax())
+            value[t, 0], back[t, 0], label_before[t, 0] = ways[p], t - 1, p
+
+        def fill(a: int, b: int) -> None:
+            """Places from a + 1 to b, where nothing ends."""
+            if a >= b:
+                return
+            step(a + 1)
+            if b > a + 1:
+                value[a + 2 : b + 1, 0] = value[a + 1, 0] + stay[0] * np.arange(1, b - a)
+                back[a + 2 : b + 1, 0] = np.arange(a + 1, b)
+            ways = value[a + 1 : b + 1, :1] + enter[0]
+            into[a + 1 : b + 1] = ways  # label 0 is the only one there
+
+        for low in range(0, n, BLOCK):
+            high = min(low + BLOCK, n)
+            b, e = tokens.segments(low, high)
+            if len(b):
+                new = self.weigh(tokens.features(b, e))
+                begin, end, scores = np.concatenate([begin, b]), np.concatenate([end, e]), np.concatenate([scores, new])
+                order = np.lexsort((begin, end))
+                begin, end, scores = begin[order], end[order], scores[order]
+            ready = int(np.searchsorted(end, high, "right"))
+            bars = bar_ends[(bar_ends > low) & (bar_ends <= high)]
+            events = np.union1d(end[:ready], bars)
+            cuts = np.searchsorted(end[:ready], events)
+            cuts = np.append(cuts, ready).tolist()
+            ends_window = np.isin(events, bars).tolist()
+            at = low
+            for k, t in enumerate(events.tolist()):
+                fill(at, t - 1)
+                if ends_window[k]:
+                    p = int(value[t - 1].argmax())
+                    value[t, 0], back[t, 0], label_before[t, 0] = 0.0, t - 1, p
+                    into[t], prior[t] = enter[0], 0
+                    at = t
+                    continue
+                step(t)
+                own = slice(cuts[k], cuts[k + 1])
+                ways = into[begin[own]] + scores[own]
+                which = ways.argmax(axis=0)
+                value[t, 1:] = ways[which, np.arange(labels - 1)]
+                back[t, 1:] = begin[own][which]
+                label_before[t, 1:] = prior[back[t, 1:], np.arange(labels - 1)]
+                ways = value[t][:, None] + enter
+                prior[t] = ways.argmax(axis=0)
+                into[t] = ways[prior[t], np.arange(labels - 1)]
+                at = t
+            fill(at, high)
+            begin, end, scores = begin[ready:], end[ready:], scores[ready:]
+        out, t, label = [], n, 0
+        while t > 0:
+            i, p = int(back[t, label]), int(label_before[t, label])
             if label:
                 out.append((i, label - 1, t))
-            t, label = i, prior
+            t, label = i, p
         return out[::-1]
 
     def gradient(self, window: Window, truth: dict[tuple[int, int], int]) -> tuple[np.ndarray, np.ndarray]:
@@ -395,8 +556,9 @@ def lessons(text: str, choice: random.Random) -> list[tuple[str, list[Span]]]:
             a, b, c = (choice.choice(words) for _ in range(3))
             at, dot = choice.choice(((" at ", " dot "), ("@", "."), (" at ", ". "), (" at ", ".")))
             out.append((f"{left}{a}{at}{b}{dot}{c}{right}" if at != "@" else f"{left}{a} @ {b} {c}{right}", []))
-    for begin, end in windows_of(text, spans)[:4]:
-        out.append((text[begin:end], []))
+    for begin, end in windows_of(text, spans):
+        if end - begin <= LESSON:  # a lesson on what is no entity; longer windows teach nothing else
+            out.append((text[begin:end], []))
     return out
 
 
@@ -424,8 +586,8 @@ def learn(examples: list[tuple[str, list[Span]]]) -> Field:
             window, truth = ready[i]
             by_segment, by_pair = field.gradient(window, truth)
             step = np.zeros_like(field.weights)
-            for own, found in zip(by_segment, window.features, strict=True):
-                np.add.at(step, (slice(None), found), own[:, None])
+            for kind, own in enumerate(by_segment.T):
+                np.add.at(step[kind], window.features, own[:, None])
             seen += step * step
             seen_pairs += by_pair * by_pair
             field.weights += 0.3 * step / np.sqrt(seen)
@@ -485,13 +647,40 @@ def train(docs: DataFrame) -> Field:
     return Field(weights, follows)
 
 
+#: Tokens of windows that go through the program together.
+TOGETHER = 20_000
+
+
+def added_spans_of(texts: list[str], spans: list[list[Span]], field: Field) -> list[list[Span]]:
+    """What the field finds outside the rules' spans of some texts; windows are worked off many at a time."""
+    out: list[list[Span]] = [[] for _ in texts]
+    windows: list[tuple[str, int, int]] = []
+    owner: list[int] = []
+
+    def work() -> None:
+        if windows:
+            tokens = Tokens(windows)
+            for i, kind, j in field.best(tokens):
+                out[owner[tokens.window[i]]].append((tokens.bounds[i][0], kind, tokens.bounds[j - 1][1]))
+        windows.clear()
+        owner.clear()
+
+    size = 0
+    for k, (text, own) in enumerate(zip(texts, spans, strict=True)):
+        for begin, end in windows_of(text, own):
+            windows.append((text, begin, end))
+            owner.append(k)
+            size += end - begin
+            if size > 2 * TOGETHER:
+                work()
+                size = 0
+    work()
+    return out
+
+
 def added_spans(text: str, spans: list[Span], field: Field) -> list[Span]:
     """What the field finds outside the rules' spans."""
-    out = []
-    for begin, end in windows_of(text, spans):
-        window = read_window(text, begin, end)
-        out += [(window.bounds[i][0], kind, window.bounds[j - 1][1]) for i, kind, j in field.best(window)]
-    return out
+    return added_spans_of([text], [spans], field)[0]
 
 
 def written(spans: list[Span]) -> str:
@@ -504,9 +693,9 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, names, alls, added = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                base = base_spans(text)
-                more = added_spans(text, base, field)
+            texts = batch.column(1).to_pylist()
+            bases = [base_spans(text) for text in texts]
+            for base, more in zip(bases, added_spans_of(texts, bases, field), strict=True):
                 counts.append([sum(k == kind for _, k, _ in base) for kind in range(len(KINDS))])
                 names.append(hashlib.sha256(written(base).encode()).hexdigest())
                 alls.append(written(base + more))
@@ -538,12 +727,11 @@ def mask(docs: DataFrame, field: Field) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = batch.schema.get_field_index("text")
-            texts = []
-            for text in batch.column(place).to_pylist():
-                if text:
-                    base = base_spans(text)
-                    text = masked(text, base + added_spans(text, base, field))
-                texts.append(text)
+            given = batch.column(place).to_pylist()
+            own = [text or "" for text in given]
+            bases = [base_spans(text) for text in own]
+            more = added_spans_of(own, bases, field)
+            texts = [text and masked(text, a + b) for text, a, b in zip(given, bases, more, strict=True)]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, pa.string()))
 
     return docs.mapInArrow(run, docs.schema)

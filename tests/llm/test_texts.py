@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -122,6 +125,7 @@ def test_rules_equal_plain_patterns():
         assert pii.base_spans(text) == brute_spans(text), text
 
 
+@functools.cache
 def trained():
     choice, examples = random.Random(2), []
     for i in range(60):
@@ -255,7 +259,8 @@ def test_field_program_equals_enumeration():
                         walk(j, k + 1, total + field.follows[label, k + 1] + scores[s, k], [*made, (i, k, j)])
 
         walk(0, 0, 0.0, [])
-        assert tuple(field.best(window)) == max(ways, key=ways.get)
+        tokens = pii.Tokens([(text, 0, len(text))])
+        assert tuple(field.best(tokens)) == max(ways, key=ways.get)
         by_segment, _ = field.gradient(window, {})
         log_total = np.logaddexp.reduce(list(ways.values()))
         for s, (i, j) in enumerate(window.segments):
@@ -264,6 +269,72 @@ def test_field_program_equals_enumeration():
                 assert abs(-by_segment[s, k] - mass) < 1e-6
 
 
+def plain_program(field, window):
+    """The program over all segments listed at once."""
+    n, labels = len(window.bounds), len(pii.KINDS) + 1
+    value, back, scores = np.full((n + 1, labels), -np.inf), {}, field.scores(window)
+    value[0, 0] = 0.0
+    for t in range(1, n + 1):
+        for s, (i, j) in [(None, (t - 1, t)), *((s, x) for s, x in enumerate(window.segments) if x[1] == t)]:
+            for k in range(labels) if s is not None else [0]:
+                if (k == 0) != (s is None):
+                    continue
+                ways = value[i] + field.follows[:, k] + (scores[s, k - 1] if k else 0)
+                if ways.max() > value[t, k]:
+                    value[t, k], back[t, k] = ways.max(), (i, int(ways.argmax()))
+    out, t, k = [], n, int(value[n].argmax())
+    while t:
+        i, p = back[t, k]
+        out += [(i, k - 1, t)] if k else []
+        t, k = i, p
+    return out[::-1]
+
+
+def test_program_in_blocks_equals_the_plain_one(monkeypatch):
+    """Blocks of starts, many windows at once, and segments that end in a later block change nothing."""
+    choice, rng = np.random.default_rng(8), random.Random(8)
+    field = pii.Field(choice.normal(size=(len(pii.KINDS), pii.FEATURES)), choice.normal(size=(5, 5)))
+    parts = ["1", "22", "4111", " ", " ", ".", "-", "at", "dot", "ab", "@", "(", "]", "x7", "\n", "é", "+", "10.0.0.1"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    want = []
+    for w, text in enumerate(texts):
+        window = pii.read_window(text, 0, len(text))
+        want += [(w, text[window.bounds[i][0] : window.bounds[j - 1][1]], k) for i, k, j in plain_program(field, window)]
+    for block in (7, 4096):
+        monkeypatch.setattr(pii, "BLOCK", block)
+        tokens = pii.Tokens([(t, 0, len(t)) for t in texts])
+        got = [(tokens.window[i], texts[tokens.window[i]][tokens.bounds[i][0] : tokens.bounds[j - 1][1]], k) for i, k, j in field.best(tokens)]
+        assert got == want
+
+
+@pytest.mark.parametrize("make", ["digits", "dots", "both", "ats", "table"])
+def test_personal_data_takes_proportional_time_and_memory(make):
+    unit = {
+        "digits": "7 " * 500,
+        "dots": "ab dot " * 143,
+        "both": "7 dot 8 at ab dot " * 56,
+        "ats": ("ab dot " * 60 + "at ") * 2,
+        "table": "| 12.50 | 2024-01-02 | (3) 55 |\n" * 31,
+    }[make]
+    choice = np.random.default_rng(9)
+    field = pii.Field(choice.normal(size=(len(pii.KINDS), pii.FEATURES)) - 0.5, choice.normal(size=(5, 5)))
+    costs = []
+    for kb in (20, 40, 80):
+        text = (unit * (kb * 1000 // len(unit) + 1))[: kb * 1000]
+        begin = time.process_time()
+        pii.added_spans(text, pii.base_spans(text), field)
+        costs.append(time.process_time() - begin)
+    assert costs[2] < 6 * costs[0] + 1, costs  # in proportion it would be 4
+    peaks = []
+    for kb in (4, 16):
+        text = (unit * (kb * 1000 // len(unit) + 1))[: kb * 1000]
+        tracemalloc.start()
+        pii.added_spans(text, pii.base_spans(text), field)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 6 * peaks[0] + (1 << 20), peaks
+
+
 def test_personal_data_on_odd_rows(spark):
     docs, field = documents(spark), trained()
     got = {(r["doc_id"], r["base_sha256"], r["n_email"]) for r in pii.find(docs, field).collect()}
