@@ -33,7 +33,7 @@ from feedkit.plans.settle import settle
 from feedkit.plans.skew import salted_lookup
 
 #: A task's stripes are spilled beyond so many counts, or bytes of terms.
-MOST_COUNTS, MOST_BYTES = 150_000, 32 << 20
+MOST_COUNTS, MOST_BYTES = 500_000, 32 << 20
 #: Counts of a bucket of merged stripes, and cells of a matrix that are worked on at once.
 BUCKET_COUNTS, CELLS = 200_000, 1 << 20
 SCALE = 1_000_000_000
@@ -51,23 +51,23 @@ def fold(docs: DataFrame) -> DataFrame:
     """Stripes: lang, term, docs (that hold the term), sources and counts (lists of one length)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stripes: dict[str, dict[bytes, tuple[list[int], dict[str, int]]]] = {}
+        # Most terms have one source: a stripe is [documents, source, count] until a second one comes, then
+        # [documents, {source: count}].
+        stripes: dict[str, dict[bytes, list]] = {}
         counts = held = 0
 
         def spill() -> Iterator[pa.RecordBatch]:
             for lang, own in stripes.items():
                 entries = list(own.values())
-                sizes = [0, *(len(by) for _, by in entries)]
-                offsets = pa.array(np.cumsum(sizes), pa.int32())
-                sources = pa.array([s for _, by in entries for s in by], pa.string())
-                numbers = pa.array([n for _, by in entries for n in by.values()], pa.int64())
+                by = [((s[1], s[2]),) if len(s) == 3 else tuple(s[1].items()) for s in entries]
+                offsets = pa.array(np.cumsum([0, *map(len, by)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([lang] * len(own), pa.string()),
                         pa.array(list(own), pa.binary()).cast(pa.string()),
-                        pa.array([df[0] for df, _ in entries], pa.int64()),
-                        pa.ListArray.from_arrays(offsets, sources),
-                        pa.ListArray.from_arrays(offsets, numbers),
+                        pa.array([s[0] for s in entries], pa.int64()),
+                        pa.ListArray.from_arrays(offsets, pa.array([x for pairs in by for x, _ in pairs], pa.string())),
+                        pa.ListArray.from_arrays(offsets, pa.array([n for pairs in by for _, n in pairs], pa.int64())),
                     ],
                     names=["lang", "term", "docs", "sources", "counts"],
                 )
@@ -79,11 +79,16 @@ def fold(docs: DataFrame) -> DataFrame:
                 for term, n in Counter(terms(text)).items():
                     stripe = own.get(term)
                     if stripe is None:
-                        own[term] = ([1], {source: n})
+                        own[term] = [1, source, n]
                         counts, held = counts + 1, held + len(term)
                         continue
-                    df, by = stripe
-                    df[0] += 1
+                    stripe[0] += 1
+                    if len(stripe) == 3:
+                        if stripe[1] == source:
+                            stripe[2] += n
+                            continue
+                        stripe[1:] = [{stripe[1]: stripe[2]}]
+                    by = stripe[1]
                     if source in by:
                         by[source] += n
                     else:
