@@ -12,6 +12,9 @@ from feedkit.llm import mixing, neardup, packing, pii, quality
 from feedkit.llm.queries import small_batches, tokenizer_file
 from feedkit.plans.settle import settle
 
+#: A row's number, in a column that documents do not have.
+ROW = "pipeline_row_number"
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on all rows with labels, does not reject."""
@@ -21,11 +24,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near duplicates."""
+    """One row, the first, of each group of near duplicates.
+
+    Rows are numbered and told apart by their numbers, so rows that share an id, or have none, are judged
+    each by its own text.
+    """
     small_batches(spark)
-    found = neardup.near_duplicates(docs, width=5, percent=80)
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    numbered = settle(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    texts = numbered.select(F.col(ROW).alias("doc_id"), "text")
+    found = neardup.near_duplicates(texts, width=5, percent=80)
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias(ROW))
+    return numbered.join(gone, ROW, "left_anti").select(*docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +64,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Trained models, hashes and tokenizers are not SQL: tests compare each stage with brute force.
+#: Trained models, hashes and tokenizers are not SQL: tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
