@@ -193,3 +193,31 @@ def test_pipeline_runs_its_stages(spark):
     assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     fill = {r["s"]: r["n"] for r in rows.groupBy("sequence_id").sum("length").toDF("s", "n").collect()}
     assert all(n == 2048 or n & (n - 1) == 0 for n in fill.values())
+
+
+def test_pipeline_keeps_one_row_of_each_group_whatever_the_ids(spark):
+    """Rows that share an id or have none are judged by their own texts, against all pairs by brute force."""
+    base = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcd"}
+    near = base["a"].replace("a30", "other")
+    rows = [(7, base["a"]), (8, near), (8, base["b"]), (None, base["a"]), (None, base["a"]), (None, base["c"]), (9, base["d"]), (9, base["d"]), (9, None), (9, ""), (None, "few words"), (10, "few words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    got = corpus_pipeline.without_near_duplicates(spark, docs, SF)
+    assert got.schema == docs.schema
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+
+    sets = [shingles(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                    group[i] = group[j] = min(group[i], group[j])
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert len(kept) == len(set(group))
+    left = [shingles(t) for _, t in kept]
+    assert all(not a or not b or 100 * len(a & b) < 80 * len(a | b) for i, a in enumerate(left) for b in left[:i])
+    assert all(any(s == t or (s and t and 100 * len(s & t) >= 80 * len(s | t)) for t in left) for s in sets)
+    assert {(8, base["b"]), (None, base["c"]), (9, None), (9, "")} <= set(kept)
