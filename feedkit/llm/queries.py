@@ -264,7 +264,60 @@ window w as (partition by lang, source, part order by value desc, encode(item))
 qualify part = 'pair' or row_number() over w <= 200
 """
 
+_OP3 = """
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') as w from documents
+), s as materialized (
+  select distinct doc_id, case when len(w) < 4 then array_to_string(w, ' ') else array_to_string(w[i : i + 3], ' ') end as shingle
+  from w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) u(i) where len(w) > 0
+), n as materialized (select doc_id, count(*) as n from s group by doc_id
+), p as materialized (
+  select x.doc_id as a, y.doc_id as b, count(*) as c from s x join s y using (shingle) where x.doc_id <> y.doc_id group by all
+), l as materialized (
+  select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 80 * (na.n + nb.n - c)
+), r as (select doc_id, doc_id as seen from documents union select r.doc_id, l.b from r join l on l.a = r.seen)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from documents d left join n using (doc_id) join (select doc_id, min(seen) as component_id from r group by doc_id) c using (doc_id)
+"""
+
+_OP6 = """
+with recursive v as materialized (
+  select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), m as materialized (select vec_id, e, sqrt(list_dot_product(e, e)) as size from v where list_dot_product(e, e) > 0
+), l as materialized (
+  select x.vec_id as a, y.vec_id as b from m x join m y on x.vec_id <> y.vec_id and len(x.e) = len(y.e)
+  where list_dot_product(x.e, y.e) / (x.size * y.size) >= 0.9
+), r as (select vec_id, vec_id as seen from embeddings union select r.vec_id, l.b from r join l on l.a = r.seen)
+select d.vec_id, coalesce(k.n, 0)::bigint as n_links, c.component_id, d.vec_id = c.component_id as kept
+from embeddings d left join (select a, count(*) as n from l group by a) k on k.a = d.vec_id
+join (select vec_id, min(seen) as component_id from r group by vec_id) c using (vec_id)
+"""
+
+_OP9 = """
+with d as materialized (select doc_id, encode(coalesce(text, '')) as t, octet_length(encode(coalesce(text, ''))) as n from documents
+), s as materialized (
+  select doc_id, i, md5(t[i + 1 : i + 200]) as h from d, unnest(range(n - 199)) u(i) where n >= 200
+), twice as (select h from s group by h having count(*) > 1
+), hit as (select doc_id, i from s join twice using (h)
+), marked as (
+  select doc_id, i, case when i > lag(i) over (partition by doc_id order by i) + 200 then 1 else 0 end as opens from hit
+), numbered as (select *, sum(opens) over (partition by doc_id order by i) as run from marked
+), runs as (select doc_id, run, min(i) as a, max(i) + 200 as b from numbered group by all
+), kept as (
+  select doc_id, a, t[coalesce(lag(b) over w, 0) + 1 : a] as part from runs join d using (doc_id) window w as (partition by doc_id order by a)
+  union all
+  select d.doc_id, d.n + 1, t[coalesce(m.b, 0) + 1 : d.n] from d left join (select doc_id, max(b) as b from runs group by doc_id) m using (doc_id)
+), joined as (select doc_id, sha256(unhex(string_agg(hex(part), '' order by a))) as kept_sha256 from kept group by doc_id)
+select d.doc_id, d.n::bigint as n_bytes, coalesce(k.n, 0)::bigint as n_removed, coalesce(k.c, 0)::bigint as n_spans, kept_sha256
+from d join joined using (doc_id) left join (select doc_id, sum(b - a) as n, count(*) as c from runs group by doc_id) k using (doc_id)
+"""
+
 ORACLES = {
+    "op3_tensored_minhash": _OP3,
+    "op6_cover_tree": _OP6,
+    "op9_suffix_groups": _OP9,
     "op5_block_top_k": _OP5,
     "op10_url_rules": _OP10,
     "op11_vantage_point": _op11_sql(),
