@@ -384,8 +384,19 @@ ORACLES: dict[str, str] = {
     + """select path, filename, identifier, count(distinct idx) as seen, max(cnt) as cnt,
       case when count(distinct idx) = max(cnt) then 'complete' else 'incomplete' end as state
     from current_run group by 1, 2, 3""",
-    "inflight_runs": _with(FILES, FRAMES, RUNS)
+    "run_status": _with(FILES, FRAMES, RUNS)
     + "select port, uuid, run_start, total, seen, dups, state from run_result",
+    "inflight_runs": _with(FILES, FRAMES, RUNS)
+    + """select port, uuid, run_start, run_start < max(run_start) over (partition by port) as followed,
+      count(*) as frames, sum(octet_length(payload))::bigint as bytes
+    from frame_runs group by port, uuid, run_start""",
+    "bitmap_gaps": _with(FILES, FRAGMENTS)
+    + """select identifier, min(idx) as from_n, max(idx) as to_n from (
+      select seq::varchar as identifier, idx, idx - row_number() over (partition by seq order by idx) as island
+      from fragments where lost and cnt > 1 and seq in (select seq from fragments where not lost))
+    group by identifier, island""",
+    "on_complete": _with(FILES)
+    + "select batch_id, count(*) as files, sum(size)::bigint as bytes from files group by batch_id",
     "sequence_release": _with(PACKETS)
     + "select socket_id, n, op, arrival, released_at, sha256(text) as sha256 from released",
     "sequence_gaps": _with(PACKETS)
@@ -408,18 +419,35 @@ ORACLES: dict[str, str] = {
       case when n > 1 then size end as orig_size, case when n > 1 then sha end as orig_checksum
     from (select *, case when size > 1000 then (size + 999) // 1000 else 1 end as n from files),
       unnest(range(n)) u(i)""",
-    "stream_fragments": _with(FILES, FRAGMENTS, ATTEMPTS)
-    + """select path, filename, identifier, count(distinct idx) as seen, max(cnt) as cnt
-    from numbered group by path, filename, identifier, run having count(distinct idx) = max(cnt)""",
+    "stream_fragments": _with(
+        FILES,
+        FRAGMENTS,
+        ATTEMPTS.replace("attempts as (", "sent as (", 1).replace(
+            "ordered as (",
+            "attempts as (select * from sent where (seq + idx) % 40 <> 0),\nordered as (",
+            1,
+        ),
+        """told as (
+      select path, filename, identifier, run, count(distinct idx) as seen, max(cnt) as cnt from numbered group by all),
+    ends as (select path, filename, max(arrival) as latest from attempts group by all)""",
+    )
+    + """select path, filename, identifier, 'completed' as event, seen, cnt from told where seen = cnt
+    union all
+    select path, filename, identifier, 'expired', seen, cnt
+    from (select *, max(run) over (partition by path, filename) as last_run from told) join ends using (path, filename)
+    where run = last_run and seen < cnt and latest + 5 <= (select max(arrival) from attempts)
+    union all
+    select path, filename, identifier, 'rejected', null, cnt from sent where (seq + idx) % 40 = 0""",
     "stream_frames": _with(FILES, FRAMES, RUNS)
     + """select port, uuid, case when state = 'complete' then 'completed' else state end as event, total, seen
     from run_result where state <> 'incomplete'""",
-    "stream_sequence": _with(PACKETS) + "select socket_id, n, arrival from released",
+    "stream_sequence": _with(PACKETS) + "select socket_id, n, 'released' as event, arrival from released",
     "stream_dedup": _with(FILES, DEDUP) + "select seq, filepath, kind, target from deduped",
     "stream_metrics": _with(HOPS, REPORT)
     + """select period_start, host, action, files, bytes from report
     where period_start + 300 <= (select floor(epoch_ms(max(ts)) / 1000.0) - 60 from hops)""",
 }
+ORACLES["bitmap_status"] = ORACLES["fragment_status"]
 ORACLES["relay_stream"] = ORACLES["forward_feed"]
 ORACLES["custody_paths_from_attrs"] = ORACLES["custody_paths"]
 ORACLES["hop_latency_from_attrs"] = ORACLES["hop_latency"]

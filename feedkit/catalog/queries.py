@@ -11,6 +11,7 @@ from feedkit import model
 from feedkit.catalog import views as v
 from feedkit.functions import attributes as at
 from feedkit.functions.attributes import get_attr, literal_attrs
+from feedkit.operators import bitmaps as bm
 from feedkit.operators import checksum as ck
 from feedkit.operators import custody as cu
 from feedkit.operators import dedup as dd
@@ -245,6 +246,19 @@ def relay_stream(spark, sf_dir):
     return _outcomes(*rl.read_relayed(spark, f"{folder}/relayed"))
 
 
+@query
+def on_complete(spark, sf_dir):
+    """A hook that runs on every finished micro-batch: here it says what it was handed."""
+    folder, stream = _arriving(spark, _files(spark, sf_dir).drop("content"), "hook")
+
+    def note(rows, number):
+        told = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
+        told.write.mode("overwrite").parquet(f"{folder}/noted/number={number}")
+
+    st.on_complete(stream, note, f"{folder}/state", available_now=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/noted").drop("number")
+
+
 @query
 def audit_feed(spark, sf_dir):
     return ck.audit_feed(_files(spark, sf_dir))
@@ -516,6 +530,23 @@ def fragment_status(spark, sf_dir):
     return fr.fragment_status(_fragments(spark, sf_dir).filter("NOT lost"))
 
 
+def _days(spark, sf_dir):
+    """Bitmaps of two days' fragments, each day read and stored by itself, and merged."""
+    sent = _fragments(spark, sf_dir).filter("NOT lost").drop("part")
+    days = [settle(bm.piece_bitmaps(sent.filter(f"(seq + idx) % 3 {test} 0")), "day") for test in ("=", "<>")]
+    return bm.merge_bitmaps(*days)
+
+
+@query
+def bitmap_status(spark, sf_dir):
+    return bm.bitmap_status(_days(spark, sf_dir))
+
+
+@query
+def bitmap_gaps(spark, sf_dir):
+    return bm.bitmap_gaps(_days(spark, sf_dir))
+
+
 @query
 def reassemble(spark, sf_dir):
     whole = fr.reassemble(_fragments(spark, sf_dir).filter("NOT lost"))
@@ -598,6 +629,14 @@ def latest_attempt(spark, sf_dir):
 
 @query
 def inflight_runs(spark, sf_dir):
+    """What each run holds, from the frames that the operator has marked."""
+    told = fm.inflight_runs(_frames(spark, sf_dir))
+    rows = told.groupBy(F.col("port").cast("bigint").alias("port"), "uuid", "run_start", "followed")
+    return rows.agg(F.count(F.lit(1)).alias("frames"), F.sum(F.octet_length("payload")).alias("bytes"))
+
+
+@query
+def run_status(spark, sf_dir):
     rows = fm.run_status(_frames(spark, sf_dir))
     return rows.withColumn("port", F.col("port").cast("bigint"))
 
@@ -670,8 +709,10 @@ def _run(spark, stream, name):
 def stream_fragments(spark, sf_dir):
     files = v.feed_files(v.table_stream(spark, sf_dir, "documents"))
     attempts = v.feed_attempts(v.feed_fragments(files))
-    out = _run(spark, sf.stream_fragments(attempts), "fragments")
-    return out.filter("event = 'completed'").select("path", "filename", "identifier", "seen", "cnt")
+    # Every 40th piece has lost its number; what is unfinished is given up after five seconds.
+    attempts = attempts.withColumn("idx", F.when(F.expr("(seq + idx) % 40 <> 0"), F.col("idx")))
+    out = _run(spark, sf.stream_fragments(attempts, ttl_ms=5000), "fragments")
+    return out.select("path", "filename", "identifier", "event", "seen", "cnt")
 
 
 @query
@@ -688,7 +729,7 @@ def stream_sequence(spark, sf_dir):
     packets = v.feed_packets(talks, last).filter("NOT lost")
     packets = packets.withColumn("arrived_at", v.arrival_time(F.col("n")))
     out = _run(spark, sf.stream_sequence(packets), "packets")
-    return out.filter("event = 'released'").select("socket_id", "n", F.col("used").alias("arrival"))
+    return out.select("socket_id", "n", "event", F.col("used").alias("arrival"))
 
 
 @query
