@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from feedkit.functions.attributes import literal_attrs, set_attrs
 from feedkit.functions.hashing import digest, digest_by
 from feedkit.plans.folding import arrived_first, file_digests, file_key, fold_files
-from feedkit.plans.ordered import SPAN, number_gaps, runs
+from feedkit.plans.ordered import number_gaps, runs
 from feedkit.plans.settle import settle
-from feedkit.plans.skew import attach_group_facts, join_null_safe
+from feedkit.plans.skew import join_null_safe, salted_lookup
 
 # A cell must stay well under 2 GiB; larger files keep their payload in ordered pieces.
 MAX_CELL = 1 << 30
@@ -151,7 +151,7 @@ def fragment_status(
 
 
 def missing_ranges(
-    fragments: DataFrame, by: Sequence[str] = ("identifier",), span: int = SPAN, order: str = "arrival"
+    fragments: DataFrame, by: Sequence[str] = ("identifier",), parts: int | None = None, order: str = "arrival"
 ) -> DataFrame:
     """Ranges from_n..to_n of indices in 1..cnt that no fragment has; cnt as in `fragment_status`."""
     valid = fragments.filter(_usable())
@@ -159,14 +159,14 @@ def missing_ranges(
     slots = _without_strays(valid.groupBy(*by, "idx").agg(F.min(first).alias("_f")), by)
     # The index after the last one closes the range at the end of each file.
     ends = slots.groupBy(*by).agg(F.try_add(F.min("_f")["cnt"], F.lit(1)).alias("idx")).dropna(subset="idx")
-    return number_gaps(slots.select(*by, "idx").unionByName(ends), by, "idx", span)
+    return number_gaps(slots.select(*by, "idx").unionByName(ends), by, "idx", parts)
 
 
 def missing_fragments(
-    fragments: DataFrame, by: Sequence[str] = ("identifier",), span: int = SPAN
+    fragments: DataFrame, by: Sequence[str] = ("identifier",), parts: int | None = None
 ) -> DataFrame:
     """One row per missing index."""
-    pieces = missing_ranges(fragments, by, span)
+    pieces = missing_ranges(fragments, by, parts)
     for step in RANGE_STEPS:
         width = F.lit(step).cast("bigint")
         pieces = pieces.withColumn("from_n", F.explode(F.sequence("from_n", "to_n", width)))
@@ -178,7 +178,7 @@ def latest_attempt(
     fragments: DataFrame,
     path: Sequence[str] = ("path", "filename"),
     order: str = "arrival",
-    span: int = SPAN,
+    parts: int | None = None,
 ) -> DataFrame:
     """Fragments of the current attempt: a new identifier on the same output path starts over.
 
@@ -186,16 +186,10 @@ def latest_attempt(
     current attempt begins.
     """
     valid = fragments.filter(_usable())
-    told = runs(valid.select(*path, "identifier", order), path, order, "identifier", span)
+    told = runs(valid.select(*path, "identifier", order), path, order, "identifier", parts)
     starts = told.groupBy(*path).agg(F.max("last_run_start").alias("_start"))
-    marked = attach_group_facts(
-        valid,
-        path,
-        [],
-        spread_on=[*path, order],
-        refine=lambda facts: join_null_safe(facts, starts, list(path)),
-        how="inner",
-    )
+    # Written, so that the planner broadcasts the starts where they are few, and payload stays in place.
+    marked = salted_lookup(valid, settle(starts, "starts"), path, [*path, order], "inner")
     return marked.filter(F.col(order) >= F.col("_start")).drop("_start")
 
 

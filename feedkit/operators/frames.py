@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedkit.operators.checksum import FROM_FRAMES, Policy, verify_checksum
 from feedkit.operators.fragments import MAX_CELL, join_pieces
 from feedkit.plans.folding import arrived_first, file_digests
-from feedkit.plans.ordered import SPAN, runs
+from feedkit.plans.ordered import runs
 from feedkit.plans.settle import settle
 from feedkit.plans.skew import join_null_safe
 
@@ -104,7 +104,7 @@ def with_slots(frames: DataFrame) -> DataFrame:
 
 
 def inflight_runs(
-    frames: DataFrame, port: str = "port", order: str = "arrival", span: int = SPAN
+    frames: DataFrame, port: str = "port", order: str = "arrival", parts: int | None = None
 ) -> DataFrame:
     """One file is in flight per port: a frame of another file starts a new run.
 
@@ -112,7 +112,7 @@ def inflight_runs(
     another file. The runs are told from the keys and come back by (port, order, uuid); frames that
     share all three are in one run.
     """
-    told = runs(frames.select(port, order, "uuid"), [port], order, "uuid", span)
+    told = runs(frames.select(port, order, "uuid"), [port], order, "uuid", parts)
     told = told.groupBy(port, order, "uuid").agg(
         F.min("run_start").alias("run_start"),
         (F.min("run_start") < F.min("last_run_start")).alias("followed"),
@@ -157,11 +157,11 @@ def frame_status(
 
 
 def run_status(
-    frames: DataFrame, port: str = "port", order: str = "arrival", span: int = SPAN
+    frames: DataFrame, port: str = "port", order: str = "arrival", parts: int | None = None
 ) -> DataFrame:
     """Status of every run: `complete`, `abandoned` (another file took its port) or `incomplete`."""
     narrow = with_slots(frames).select(port, order, "uuid", "total", "slot", "carries").filter("total IS NOT NULL")
-    told = runs(narrow, [port], order, "uuid", span)
+    told = runs(narrow, [port], order, "uuid", parts)
     told = told.withColumn("followed", F.col("run_start") < F.col("last_run_start"))
     status = frame_status(told, [port, "uuid", "run_start", "followed"], order)
     abandoned = (F.col("state") == "incomplete") & F.col("followed")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedkit.plans.ordered import SPAN, number_gaps, unbroken_prefix
+from feedkit.plans.ordered import number_gaps, unbroken_prefix
 from feedkit.plans.settle import settle
 from feedkit.plans.skew import SALTS, attach_group_facts, salted_lookup
 
@@ -24,7 +24,7 @@ def numbered_packets(packets: DataFrame, number: str = "n") -> tuple[DataFrame,
 
 
 def sequence_release(
-    packets: DataFrame, order: str = "arrival", span: int = SPAN, salts: int = SALTS
+    packets: DataFrame, order: str = "arrival", parts: int | None = None, salts: int = SALTS
 ) -> DataFrame:
     """Packets of each session's unbroken prefix, up to its end mark.
 
@@ -32,7 +32,7 @@ def sequence_release(
     copy that counts is the last one that had arrived by then. All other packets wait or are
     repeats, and do not come out.
     """
-    release = release_plan(packets.select(SESSION, "n", "op", order), order, span, salts)
+    release = release_plan(packets.select(SESSION, "n", "op", order), order, parts, salts)
     chosen = packets.join(release.drop("op"), [SESSION, "n", order])
     # Copies that arrived at one time: the packet comes out once, preferably its end mark.
     tie = Window.partitionBy(SESSION, "n", order).orderBy(
@@ -42,7 +42,7 @@ def sequence_release(
 
 
 def release_plan(
-    packets: DataFrame, order: str = "arrival", span: int = SPAN, salts: int = SALTS
+    packets: DataFrame, order: str = "arrival", parts: int | None = None, salts: int = SALTS
 ) -> DataFrame:
     """Which copy of each packet is released, and when: no payload moves here.
 
@@ -51,7 +51,7 @@ def release_plan(
     key = [SESSION, "n"]
 
     def released(firsts: DataFrame) -> DataFrame:
-        prefix = unbroken_prefix(firsts, [SESSION], "n", F.col("_first"), span)
+        prefix = unbroken_prefix(firsts, [SESSION], "n", F.col("_first"), parts)
         return prefix.withColumnRenamed("running_max", "released_at").drop("_first")
 
     copies = attach_group_facts(
@@ -77,7 +77,7 @@ def release_plan(
     )
 
 
-def sequence_gaps(packets: DataFrame, span: int = SPAN, order: str = "arrival") -> DataFrame:
+def sequence_gaps(packets: DataFrame, parts: int | None = None, order: str = "arrival") -> DataFrame:
     """Ranges of packet numbers that each session still waits for: socket_id, from_n, to_n."""
     arrived = packets.filter(F.col(order).isNotNull()) if order in packets.columns else packets
-    return number_gaps(arrived.filter(F.col("n") >= 1), [SESSION], "n", span)
+    return number_gaps(arrived.filter(F.col("n") >= 1), [SESSION], "n", parts)
