@@ -27,12 +27,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n, _STEP, np.uint64)
+def _powers(n: int, step: np.uint64 = _STEP) -> np.ndarray:
+    out = np.full(n, step, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
+#: Powers that are kept; words may be longer.
+FAR = 1 << 20
 _POWERS = [_powers(4096)]
 
 
@@ -52,10 +54,11 @@ def word_hashes(texts: Sequence[bytes], case: bool = False) -> tuple[np.ndarray,
     # White space adds 0, but may stand far from its word's start.
     longest = int(spans.max())
     if longest > len(_POWERS[0]):
-        np.minimum(at, 1 << 20, out=at)
-        if len(_POWERS[0]) < min(longest, (1 << 20) + 1):
-            _POWERS[0] = _powers(min(longest, (1 << 20) + 1))
-    parts = (_CASED if case else _FOLDED)[data[starts[0] :]] * _POWERS[0][at]
+        _POWERS[0] = _powers(min(longest, FAR))
+    parts = (_CASED if case else _FOLDED)[data[starts[0] :]] * _POWERS[0][at % FAR if longest > FAR else at]
+    if longest > FAR:  # a power of a far place is that of its mebibyte times that within it
+        stride = np.uint64(pow(int(_STEP), FAR, 1 << 64))
+        parts *= _powers(longest // FAR + 1, stride)[at // FAR]
     return mixed(np.add.reduceat(parts, starts - starts[0])), counts
 
 

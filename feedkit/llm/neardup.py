@@ -170,18 +170,19 @@ def similar_pairs(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Places of pairs whose sets reach the similarity; without `two`, pairs inside `one`."""
     every = one + (two or [])
-    sizes = np.array([len(x) for x in every], np.float32)
-    row = np.repeat(np.arange(len(every)), sizes.astype(np.int64))
+    sizes = np.array([len(x) for x in every], np.int64)
+    row = np.repeat(np.arange(len(every)), sizes)
     _, place, times = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
     some = times[place] > 1  # what one set alone holds is in no intersection
     _, place = np.unique(place[some], return_inverse=True)
     row, wide = row[some], int(place.max(initial=-1)) + 1
-    shared = np.zeros((len(one), len(two) if two else len(one)), np.float32)
+    shared = np.zeros((len(one), len(two) if two else len(one)), np.int64)
     for begin in range(0, wide, COLUMNS):
         own = (place >= begin) & (place < begin + COLUMNS)
         cells = np.zeros((len(every), min(wide - begin, COLUMNS)), np.float32)
         cells[row[own], place[own] - begin] = 1
-        shared += cells[: len(one)] @ cells[len(one) if two else 0 :].T
+        # A product of so few columns is exact in single precision; the sum and the threshold are whole numbers.
+        shared += (cells[: len(one)] @ cells[len(one) if two else 0 :].T).astype(np.int64)
     total = sizes[: len(one), None] + sizes[None, len(one) if two else 0 :]
     hit = (100 * shared >= percent * (total - shared)) & (shared > 0)
     return np.nonzero(hit if two else np.triu(hit, 1))

@@ -91,6 +91,19 @@ def test_quality_held_out_accuracy(spark):
     assert (got.predicted[got.quality == 1] == 1).mean() > 0.97
 
 
+def test_words_of_any_length_are_hashed_whole(monkeypatch):
+    from feedkit.llm import hashing
+
+    far = b"x" * (2 << 20)
+    found, counts = hashing.word_hashes([far + b"bc" * 50, far + b"cb" * 50, b"abc " + far, far])
+    assert counts.tolist() == [1, 1, 2, 1] and len(set(found.tolist())) == 4 and found[3] == found[4]
+    words = [b"abcdefghijklmnopqrstuvwxyz" * 300, b"z" * 40, b"y"]
+    whole, _ = hashing.word_hashes(words)
+    monkeypatch.setattr(hashing, "FAR", 16)
+    monkeypatch.setattr(hashing, "_POWERS", [hashing._powers(8)])
+    assert hashing.word_hashes(words)[0].tolist() == whole.tolist()
+
+
 # --- 2, personal data
 
 RULES = (
