@@ -124,7 +124,8 @@ def scan_files(spark, sf_dir):
 @query
 def scan_fragments(spark, sf_dir):
     """The same files as fragments, put together again: whole ones, and large ones by their pieces."""
-    rows = rg.scan_fragments(spark, [_stored(spark, sf_dir)], 1000)
+    # Read once: several passes follow, and files are dearer to open than a table.
+    rows = settle(rg.scan_fragments(spark, [_stored(spark, sf_dir)], 1000), "scanned")
     none = F.lit(None).cast("string")
     rows = rows.withColumns({"orig_checksum_type": none, "orig_checksum": none})
     whole = fr.reassemble(rows, ["filename", "identifier"], max_cell=5000)

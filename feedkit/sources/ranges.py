@@ -30,7 +30,7 @@ from feedkit.operators.fragments import RANGE_BYTES, stable_uuid
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: What one task reads, in bytes and in ranges.
-TASK_BYTES, TASK_RANGES = 128 << 20, 10_000
+TASK_BYTES, TASK_RANGES = 128 << 20, 1000
 RANGES = (
     "arg_pos int, filepath string, kind string, modified_at timestamp, size bigint, "
     "idx bigint, cnt bigint, offset bigint, part binary"
