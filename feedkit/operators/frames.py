@@ -95,7 +95,7 @@ def with_slots(frames: DataFrame) -> DataFrame:
     usable = f"mtu >= {MIN_MTU} AND size >= 0 AND offset >= 0"
     placed = frames.withColumns(
         {
-            "total": F.expr(f"CASE WHEN NOT ({usable}) THEN NULL WHEN size > 0 THEN (size - 1) div mtu + 1 WHEN {usable} THEN 1 END"),
+            "total": F.expr(f"CASE WHEN {usable} THEN CASE WHEN size > 0 THEN (size - 1) div mtu + 1 ELSE 1 END END"),
             # (offset + 1) div mtu, also for the largest offset.
             "slot": F.expr(f"CASE WHEN {usable} THEN offset div mtu + (offset % mtu + 1) div mtu END"),
         }

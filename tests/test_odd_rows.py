@@ -130,3 +130,50 @@ def test_staging_again_changes_nothing_and_keeps_files_without_a_batch(spark, tm
         staging.stage_feed(files, str(tmp_path / "s"), verify=False, batch_parts=2, call_id=call)
     got = tuples(staging.read_staged(spark, str(tmp_path / "s")), "seq", "batch_id")
     assert got == sorted([(0, "x"), (1, "x"), (2, None)] * 2, key=repr)
+
+
+def test_frames_without_a_usable_mtu_carry_nothing(spark):
+    rows = [(1, "a", 150, 0, 100, b"x" * 100, 1), (1, "a", 150, 100, 100, b"y" * 50, 2)]
+    odd = [(1, "z", 150, 0, 0, b"x", 3), (1, "z", 150, 0, 99, b"x", 4), (1, "z", None, 0, 100, b"x", 5), (1, "z", 150, None, 100, b"x", 6), (1, "z", 150, 0, None, b"x", 7), (1, "z", -1, 0, 100, b"x", 8)]
+    df = spark.createDataFrame([*rows, *odd], FRAMES)
+    assert tuples(frames.frame_status(df), "uuid", "total", "seen", "state") == [("a", 2, 2, "complete")]
+    assert tuples(frames.run_status(df), "uuid", "state") == [("a", "complete")]
+    assert tuples(frames.reassemble_frames(df), "uuid", "content") == [("a", b"x" * 100 + b"y" * 50)]
+
+
+def test_a_hop_is_stamped_where_there_are_no_attributes(spark):
+    df = spark.createDataFrame([("u", None)], "uuid string, attrs map<string,string>")
+    row = custody.stamp_hop(df, "RELAY", host="h", static={"team": "a"}, at=F.lit("t")).first()["attrs"]
+    assert row == {"team": "a", "custodyChain.0.time": "t", "custodyChain.0.action": "RELAY", "custodyChain.0.local.hostname": "h"}
+    assert custody.shift_chain(df, at=F.lit("t")).first()["attrs"] == {"custodyChain.0.time": "t"}
+    assert custody.attach_static_attrs(df, {"k": "v"}).first()["attrs"] == {"k": "v"}
+
+
+def test_a_packet_without_an_arrival_holds_back_those_behind_it(spark):
+    rows = [("s", 1, "", 1), ("s", 2, "", None), ("s", 3, "", 3), ("t", 1, "", 5), ("t", 2, "", None), ("t", 2, "EOF", 6)]
+    df = spark.createDataFrame(rows, "socket_id string, n bigint, op string, arrival bigint")
+    assert tuples(sequence.sequence_release(df), "socket_id", "n", "op") == [("s", 1, ""), ("t", 1, ""), ("t", 2, "EOF")]
+    assert tuples(sequence.sequence_gaps(df), "socket_id", "from_n", "to_n") == [("s", 2, 2)]
+
+
+def test_rows_that_a_stream_cannot_place_are_rejected_not_fatal(spark, tmp_path):
+    at = dt.datetime(2024, 1, 1, 12)
+
+    def run(rows, schema, operator, name):
+        folder = str(tmp_path / name)
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/in")
+        feeds.run_available(operator(spark.readStream.schema(schema).parquet(f"{folder}/in")), folder)
+        return spark.read.parquet(f"{folder}/out")
+
+    schema = "path string, filename string, identifier string, idx bigint, cnt bigint, arrival bigint, arrived_at timestamp"
+    rows = [("p", "f", "i", 1, 2, 1, at), ("p", "f", "i", 2, 2, 2, at), ("p", "g", "i", None, 2, 3, at), ("p", "g", "i", 1, None, 4, at), ("p", "g", "i", 1, 2, None, at), ("p", "g", "i", 2, 2, 5, None)]
+    got = run(rows, schema, feeds.stream_fragments, "fragments")
+    assert tuples(got, "filename", "event") == [("f", "completed"), *[("g", "rejected")] * 4]
+    schema = "port int, uuid string, size bigint, offset bigint, mtu int, payload binary, arrival bigint, arrived_at timestamp"
+    rows = [(1, "a", 10, 0, 100, b"x" * 10, 1, at), (1, "b", 10, 0, 0, b"x", 2, at), (1, "c", None, 0, 100, b"x", 3, at), (1, "d", 10, 0, 100, b"x", None, at), (1, "e", 10, 0, 100, b"x", 4, None)]
+    got = run(rows, schema, feeds.stream_frames, "frames")
+    assert tuples(got, "uuid", "event") == [("a", "completed"), *[(u, "rejected") for u in "bcde"]]
+    schema = "socket_id string, n bigint, op string, arrival bigint, arrived_at timestamp"
+    rows = [("s", 1, "", 1, at), ("s", 2, "EOF", 2, at), ("", 1, "", 3, at), (None, 1, "", 3, at), ("t", None, "", 4, at), ("t", 0, "", 4, at), ("t", 1, "", None, at), ("t", 1, "", 5, None)]
+    got = run(rows, schema, feeds.stream_sequence, "packets")
+    assert sorted(r["event"] for r in got.collect()) == ["rejected"] * 6 + ["released"] * 2
