@@ -116,7 +116,7 @@ def _stored(spark, sf_dir):
 def scan_files(spark, sf_dir):
     """Files of known contents, read back in byte ranges of a thousand bytes."""
     folder = _stored(spark, sf_dir)
-    found = rg.scan_ranges(spark, [folder], 1000)
+    found = src.scan_files(spark, [folder], range_bytes=1000)
     below = F.substr("filepath", F.lit(len(folder.removeprefix("file:").rstrip("/")) + 2))
     return found.select(below.alias("filepath"), "kind", "size", "idx", "cnt", "offset", _sha("part").alias("sha256"))
 

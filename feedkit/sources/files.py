@@ -12,10 +12,11 @@ from feedkit.functions.attributes import attr_lines
 from feedkit.functions.paths import dirname
 from feedkit.operators.guards import walk_order
 from feedkit.plans.settle import settle
+from feedkit.sources.ranges import scan_ranges
 
 
 def scan_files(
-    spark: SparkSession, paths: Sequence[str], manifest: DataFrame | None = None
+    spark: SparkSession, paths: Sequence[str], manifest: DataFrame | None = None, range_bytes: int | None = None
 ) -> DataFrame:
     """One row per file below the given paths: arg_pos, filepath, path, filename, kind,
     modified_at, size, content.
@@ -23,7 +24,14 @@ def scan_files(
     Columns that are not used, `content` above all, are not read. Spark's file source lists neither
     empty files nor directories; pass them as `manifest` (arg_pos, filepath, kind, modified_at) to
     have them in the feed. Use `number_in_walk_order` for the order of a walk.
+
+    With `range_bytes`, files of any size come out in ranges of so many bytes, empty files and directories
+    among them: the rows of `scan_ranges`.
     """
+    if range_bytes is not None:
+        if manifest is not None:
+            raise ValueError("ranges list empty files and directories by themselves")
+        return scan_ranges(spark, paths, range_bytes)
 
     def one(pos: int, path: str) -> DataFrame:
         listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
