@@ -1,14 +1,16 @@
 """Token ids in Parquet files, in document order, readable by column and by page.
 
-One row per document: `doc_id`, `file_start` (ids before it in its file), `n_tokens` and the list
-`ids`. Numbers that only rise or stay small are delta-encoded, ids are dictionary-encoded (a
+One row per document: `doc_id`, `file_start` (ids before it in its task's files), `n_tokens` and the
+list `ids`. Numbers that only rise or stay small are delta-encoded, ids are dictionary-encoded (a
 vocabulary fits the dictionary page). Row groups and pages have set sizes and column indexes are
 written, so readers of the metadata never touch ids, and readers of a range of documents fetch its
 pages alone.
 
-Documents are dealt by ranges of doc_id, so the files, by name, are in ascending order; a range is
-sorted inside its task. Null texts count as empty and still get the end id; repeated rows each get a
-row; rows of equal doc_id follow by text. A null doc_id comes first. An empty table gives no rows.
+Documents are dealt by ranges of doc_id, then of their texts' first bytes and hashes, so the tasks, by the number in
+their files' names, are in ascending order; a range is sorted inside its task, and rows that share an id,
+or have none, spread over as many tasks as they fill. Null texts count as empty and still get the end
+id; repeated rows each get a row; rows of equal doc_id follow by the first bytes of their texts, then by
+hash. A null doc_id comes first. Texts of any length are encoded whole. An empty table gives no rows.
 Extra columns are not read.
 """
 
@@ -26,6 +28,8 @@ from feedkit.llm.wordids import encoder, slices
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
+#: Bytes of a text that tell ranges of one doc_id apart.
+HEAD_BYTES = 32
 SCHEMA = "doc_id bigint, file_start bigint, n_tokens bigint, ids array<int>"
 #: The writer's settings: delta encoding for numbers, dictionaries for ids.
 WRITER = {
@@ -67,8 +71,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
     dealt = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole)
-    dealt = dealt.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return dealt.mapInArrow(encode, SCHEMA)
+    # Equal rows may follow each other in any order, so a number of their own may part them.
+    order = ["doc_id", F.substring("text", 1, HEAD_BYTES), F.xxhash64("text")]
+    dealt = dealt.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*order, "_row")
+    return dealt.sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(encode, SCHEMA)
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> None:
@@ -77,19 +83,21 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> N
 
 
 def _rows(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(SCHEMA).parquet(folder).withColumn("_file", F.col("_metadata.file_name"))
+    # A task's number stands in the names of its files, however many they are.
+    task = F.regexp_extract(F.col("_metadata.file_name"), "^part-([0-9]+)", 1).cast("bigint")
+    return spark.read.schema(SCHEMA).parquet(folder).withColumn("_task", task)
 
 
 def _with_start(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     """Replace `file_start` by `start`, the ids of all documents before; reads metadata alone."""
-    # Files are dealt by range, so their names are in document order; a row for each file.
-    files = _rows(spark, folder).groupBy("_file")
-    files = files.agg(F.max(F.col("file_start") + F.col("n_tokens")).alias("_ids"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select("_file", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_before"))
-    rest = [c for c in rows.columns if c not in ("doc_id", "file_start", "_file")]
+    # Tasks are dealt by range, so their numbers are in document order; a row for each task.
+    tasks = _rows(spark, folder).groupBy("_task")
+    tasks = tasks.agg(F.max(F.col("file_start") + F.col("n_tokens")).alias("_ids"))
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = tasks.select("_task", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_before"))
+    rest = [c for c in rows.columns if c not in ("doc_id", "file_start", "_task")]
     start = (F.col("_before") + F.col("file_start")).alias("start")
-    return rows.join(files, "_file").select("doc_id", start, *rest)
+    return rows.join(tasks, "_task").select("doc_id", start, *rest)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,11 +115,11 @@ def read_checksums(spark: SparkSession, folder: str) -> DataFrame:
             crcs = [zlib.crc32(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(crcs, pa.int64()), batch.column(4)],
-                names=["doc_id", "file_start", "n_tokens", "ids_crc32", "_file"],
+                names=["doc_id", "file_start", "n_tokens", "ids_crc32", "_task"],
             )
 
     # Ids turn into checksums before anything moves.
     rows = _rows(spark, folder).mapInArrow(
-        sums, "doc_id bigint, file_start bigint, n_tokens bigint, ids_crc32 bigint, _file string"
+        sums, "doc_id bigint, file_start bigint, n_tokens bigint, ids_crc32 bigint, _task bigint"
     )
     return _with_start(rows, spark, folder)
