@@ -14,7 +14,9 @@ are shuffled, joins carry ids, and sets travel for candidate pairs alone.
 
 Null and empty texts and texts without words have no shingles and link with nothing; a text of fewer
 words than a shingle is one shingle; an empty table gives no rows; columns other than doc_id and
-text are not read. Repeated rows of one doc_id each get a row.
+text are not read. Texts of any length are read whole. Repeated rows of one doc_id each get a row. Rows
+without a doc_id are compared like all others, and name no component: theirs is null where no member has an
+id, and they are kept.
 """
 
 from __future__ import annotations
@@ -50,6 +52,11 @@ def _sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     return distinct_sets(*shingle_hashes(words, counts, width))
 
 
+def _names(sets: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """A number for each set that begins there and is not empty."""
+    return mixed(np.add.reduceat(mixed(sets + np.uint64(1)), begins))
+
+
 def _whole(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text)
@@ -71,7 +78,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                     for i, factor in enumerate(_FACTORS):
                         least = np.minimum.reduceat((sets * factor) >> np.uint64(20), begins)
                         bands[i // ROWS, full] = mixed(bands[i // ROWS, full] * np.uint64(31) + least)
-                    names[full] = mixed(np.add.reduceat(mixed(sets + np.uint64(1)), begins))
+                    names[full] = _names(sets, begins)
                 flat = bands.T.reshape(len(sizes), 2, BANDS).astype(np.int64, copy=False).view(np.int64)
                 lists = [
                     pa.ListArray.from_arrays(
@@ -94,22 +101,26 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id and its full set of shingle hashes."""
+    """n_shingles, set_id and the full set of shingle hashes, of documents that have shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(0).to_pylist()
             for own in slices(texts):
                 sets, sizes = _sets(texts[own], width)
+                sizes = sizes[sizes > 0]
                 at = np.concatenate([[0], np.cumsum(sizes)])
+                names = _names(sets, at[:-1]) if len(sizes) else np.zeros(0, np.uint64)
                 lists = pa.ListArray.from_arrays(
                     pa.array(at, pa.int32()), pa.array(sets.view(np.int64), pa.int64())
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [keys.slice(own.start, own.stop - own.start), lists], names=["doc_id", "shingles"]
+                    [pa.array(sizes, pa.int64()), pa.array(names.view(np.int64), pa.int64()), lists],
+                    names=["n_shingles", "set_id", "shingles"],
                 )
 
-    return _whole(docs).mapInArrow(run, "doc_id bigint, shingles array<bigint>")
+    sets = "n_shingles bigint, set_id bigint, shingles array<bigint>"
+    return _whole(docs).select("text").mapInArrow(run, sets)
 
 
 def _tables(classes: DataFrame) -> DataFrame:
@@ -141,26 +152,25 @@ def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(F.size(F.array_intersect("_a", "_b")) >= SHARED).select("a", "b")
 
 
-BLOCKS = "main bigint, ids binary, stray binary, sizes binary, shingles binary"
+BLOCKS = "main bigint, stray bigint, ids binary, sizes binary, shingles binary"
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (main, part, id, stray, shingles), sorted by main and part, to BLOCKS rows."""
+    """Rows (main, stray, part, id, shingles), sorted by main, stray and part, to BLOCKS rows."""
 
     def most(table: pa.Table) -> int:
         sizes = np.cumsum(pc.list_value_length(table.column(4)).to_numpy())
         return max(1, min(BLOCK_ROWS, int(np.searchsorted(sizes, BLOCK_SHINGLES, "right"))))
 
-    for table in regrouped(batches, 2, most):
+    for table in regrouped(batches, 3, most):
         sets = table.column(4).combine_chunks()
         columns = (
-            table.column(2).to_numpy().astype("<i8"),
             table.column(3).to_numpy().astype("<i8"),
             pc.list_value_length(sets).to_numpy(zero_copy_only=False).astype("<i8"),
             sets.flatten().to_numpy().astype("<i8"),
         )
         yield pa.RecordBatch.from_arrays(
-            [table.column(0).slice(0, 1).combine_chunks(), *[pa.array([c.tobytes()], pa.binary()) for c in columns]],
+            [*[table.column(k).slice(0, 1).combine_chunks() for k in (0, 1)], *[pa.array([c.tobytes()], pa.binary()) for c in columns]],
             names=[c.split()[0] for c in BLOCKS.split(", ")],
         )
 
@@ -189,46 +199,54 @@ def similar_pairs(
 
 
 def _compare(percent: int):
-    def sets_of(block: dict) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        ids, stray, sizes, flat = (np.frombuffer(block[c], "<i8") for c in ("ids", "stray", "sizes", "shingles"))
-        return ids, stray.astype(bool), np.split(flat, np.cumsum(sizes)[:-1])
+    def sets_of(block: dict) -> tuple[np.ndarray, list[np.ndarray]]:
+        ids, sizes, flat = (np.frombuffer(block[c], "<i8") for c in ("ids", "sizes", "shingles"))
+        return ids, np.split(flat, np.cumsum(sizes)[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 same = batch.column(0)[k].as_py() == batch.column(1)[k].as_py()
-                ids, stray, sets = sets_of(batch.column(2)[k].as_py())
-                ids2, stray2, sets2 = (ids, stray, None) if same else sets_of(batch.column(3)[k].as_py())
+                ids, sets = sets_of(batch.column(2)[k].as_py())
+                ids2, sets2 = (ids, None) if same else sets_of(batch.column(3)[k].as_py())
                 a, b = similar_pairs(sets, sets2, percent)
-                new = stray[a] | stray2[b]  # members of the component are linked already
                 names, shift = (ids, 0) if same else (np.concatenate([ids, ids2]), len(ids))
-                point, root = forest(a[new], b[new] + shift, len(names))
+                point, root = forest(a, b + shift, len(names))
                 yield pa.RecordBatch.from_arrays([pa.array(names[root]), pa.array(names[point])], names=["a", "b"])
 
     return run
 
 
+def block_pairs(blocks: DataFrame) -> DataFrame:
+    """Pairs (a, b) of blocks (main, stray, block) of one component of which one at least holds strays."""
+    one = blocks.filter("stray = 1").select("main", F.col("block").alias("a"))
+    two = blocks.select("main", F.col("block").alias("b"), "stray")
+    return one.join(two, "main").filter("stray = 0 or a <= b").select("a", "b")
+
+
 def _stray_links(strays: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) of strays (main, id) with their component and with each other.
 
-    A component and its strays are cut into blocks; two blocks are compared by products of their
-    indicator matrices, and only a forest of what is found becomes rows.
+    A component and its strays are cut into blocks, the strays into blocks of their own; a block of strays
+    is compared with every other one by products of their indicator matrices, and only a forest of what is
+    found becomes rows. Members of the component are linked already, so its own blocks never meet.
     """
     mains = strays.select("main").distinct()
     own = labels.select(F.col("component").alias("main"), F.col("node").alias("id")).join(mains, "main")
     own = own.union(mains.select("main", F.col("main").alias("id"))).distinct()
-    group = strays.withColumn("stray", F.lit(1)).unionByName(own.withColumn("stray", F.lit(0)))
+    group = strays.withColumn("stray", F.lit(1).cast("bigint"))
+    group = group.unionByName(own.withColumn("stray", F.lit(0).cast("bigint")))
     sizes = sets.select("id", F.size("shingles").alias("n"))
-    parts = group.join(sizes, "id").groupBy("main").agg(F.sum("n").alias("n"))
-    parts = parts.select("main", F.ceil(F.col("n") / BLOCK_SHINGLES).cast("bigint").alias("_parts"))
-    group = group.join(sets, "id").join(parts, "main")
+    parts = group.join(sizes, "id").groupBy("main", "stray").agg(F.sum("n").alias("n"))
+    parts = parts.select("main", "stray", F.ceil(F.col("n") / BLOCK_SHINGLES).cast("bigint").alias("_parts"))
+    group = group.join(sets, "id").join(parts, ["main", "stray"])
     group = group.withColumn("part", F.pmod(F.xxhash64("id"), F.col("_parts")))
-    group = group.repartition("main", "part").sortWithinPartitions("main", "part", "id")
-    blocks = group.select("main", "part", "id", "stray", "shingles").mapInArrow(_pack, BLOCKS)
+    key = ["main", "stray", "part"]
+    group = group.repartition(*key).sortWithinPartitions(*key, "id")
+    blocks = group.select(*key, "id", "shingles").mapInArrow(_pack, BLOCKS)
     blocks = settle(blocks.withColumn("block", F.xxhash64("main", "ids")), "blocks")
-    names = blocks.select("main", "block")
-    todo = names.toDF("main", "a").join(names.toDF("main", "b"), "main").filter("a <= b").select("a", "b")
-    held = blocks.select("block", "ids", "stray", "sizes", "shingles")
+    todo = block_pairs(blocks.select("main", "stray", "block"))
+    held = blocks.select("block", "ids", "sizes", "shingles")
     return paired(todo, held, held).mapInArrow(_compare(percent), "a bigint, b bigint")
 
 
@@ -237,9 +255,11 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     signed = settle(signatures(docs, width), "signatures")
     classes = signed.filter("n_shingles > 0").groupBy("n_shingles", "set_id")
     classes = classes.agg(
-        F.min("doc_id").alias("id"), F.first("left").alias("left"), F.first("right").alias("right")
+        F.min("doc_id").alias("doc_id"), F.first("left").alias("left"), F.first("right").alias("right")
     )
-    classes = settle(classes, "classes")
+    # Named by their sets, for rows may share an id or have none.
+    name = F.xxhash64("n_shingles", "set_id").alias("id")
+    classes = settle(classes.select(name, "*"), "classes")
     members = settle(_tables(classes), "members")
 
     # Stars: a bucket's centre is its smallest id, and a class is compared with the smallest and the
@@ -249,11 +269,13 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     near = settle(near.agg(F.min("centre").alias("first"), F.max("centre").alias("last")), "near")
     stars = near.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("a"), F.col("id").alias("b"))
     stars = stars.filter("a <> b")
-    sets = shingle_sets(docs.join(near.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), width)
-    # Rows of one doc_id may differ; a class is named by the set that its row has.
-    sets = sets.withColumn("n_shingles", F.size("shingles").cast("bigint"))
-    sets = sets.join(classes.select(F.col("id").alias("doc_id"), "n_shingles"), ["doc_id", "n_shingles"])
-    sets = settle(sets.select(F.col("doc_id").alias("id"), "shingles").dropDuplicates(["id"]), "sets")
+    near_ids = near.select("id")
+    wanted = classes.join(near_ids, "id", "left_semi").select(F.col("doc_id").alias("_wanted")).distinct()
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    found = own.join(wanted, F.col("doc_id").eqNullSafe(F.col("_wanted")), "left_semi")
+    # Rows of one doc_id may differ, and their classes do not all need their sets.
+    sets = shingle_sets(found, width).select(name, "shingles").join(near_ids, "id", "left_semi")
+    sets = settle(sets.dropDuplicates(["id"]), "sets")
     tried = settle(_alike(stars, classes, percent), "tried")
     links = settle(_confirm(tried, sets, percent), "links")
     labels = settle(components(links), "labels")
@@ -268,8 +290,12 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     if not more.isEmpty():
         labels = settle(components(links.union(more)), "labels")
 
-    ids = classes.select("n_shingles", "set_id", "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
-    ids = ids.select("n_shingles", "set_id", F.coalesce("component", "id").alias("component_id"))
+    # The smallest doc_id of each component; rows without an id have no say.
+    linked = classes.select(F.col("id").alias("node"), "doc_id").join(labels, "node")
+    least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    linked = labels.join(settle(least, "least"), "component").select(F.col("node").alias("id"), "component_id")
+    ids = classes.join(linked, "id", "left")
+    ids = ids.select("n_shingles", "set_id", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "set_id").join(ids, ["n_shingles", "set_id"], "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select(

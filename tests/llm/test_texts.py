@@ -402,12 +402,53 @@ def test_near_duplicates_equal_brute_force(spark, width, percent):
         for _ in range(choice.randint(0, 6)):
             words[choice.randrange(len(words))] = f"z{choice.randrange(40)}"
         rows.append((i, " ".join(words), "n"))
+    # Rows without an id link others, and each other; rows of one id with texts of their own.
+    lone = [f"lone{k}" for k in range(80)]
+    rows += [(None, " ".join(base), "n"), (None, " ".join(lone), "n"), (None, " ".join([*lone, "more"]), "n")]
+    rows += [(300, " ".join(lone[::-1]), "n"), (300, " ".join([*lone[::-1], "end"]), "n"), (300, " ".join(lone[::3] * 2), "n")]
     sets, want = brute_components(rows, width, percent)
     got = rows_of(neardup.near_duplicates(documents(spark, rows), width, percent))
     expected = sorted(
         ((i, len(s), c, i is None or i == c) for (i, _, _), s, c in zip(rows, sets, want)), key=repr
     )
-    assert [g for g in got if g[0] is not None] == [e for e in expected if e[0] is not None]
+    assert got == expected
+
+
+def test_only_blocks_of_strays_are_paired(spark):
+    """Blocks of a component do not meet each other, and every block of strays meets all others once."""
+    blocks = [(1, 0, i) for i in range(40)] + [(1, 1, 100), (1, 1, 101)] + [(2, 0, 200), (3, 1, 300)]
+    table = spark.createDataFrame(blocks, "main bigint, stray bigint, block bigint")
+    got = sorted(map(tuple, neardup.block_pairs(table).collect()))
+    want = [(a, b) for m, s, a in blocks for n, t, b in blocks if m == n and s and (not t or a <= b)]
+    assert got == sorted(want)
+    assert len(got) == 2 * 40 + 3 + 1
+
+
+def test_strays_are_found_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 200)
+    choice = random.Random(3)
+    sets = {i: sorted(choice.sample(range(60), 40)) for i in range(60)}
+    table = spark.createDataFrame(list(sets.items()), "id bigint, shingles array<bigint>")
+    labels = spark.createDataFrame([(i, 0) for i in range(40)], "node bigint, component bigint")
+    strays = spark.createDataFrame([(0, i) for i in range(40, 60)], "main bigint, id bigint")
+    found = neardup._stray_links(strays, labels, table, 60)
+    root = {i: 0 if i < 40 else i for i in sets}
+
+    def joined(root, edges):
+        root = dict(root)
+        for a, b in edges:
+            a, b = sorted((root[a], root[b]))
+            root = {k: a if v == b else v for k, v in root.items()}
+        return root
+
+    def similar(a, b):
+        both = len(set(sets[a]) & set(sets[b]))
+        return 100 * both >= 60 * (80 - both)
+
+    links = [(a, b) for a in sets for b in range(40, 60) if a != b and similar(a, b)]
+    got = [tuple(r) for r in found.collect()]
+    assert joined(root, got) == joined(root, links)
 
 
 def test_near_duplicates_of_nothing(spark):
@@ -486,6 +527,38 @@ def test_token_files_round_trip(spark, tmp_path):
     assert tokenfiles.read_checksums(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_token_files_split_a_hot_id(spark, tmp_path):
+    """Rows of one id, or none, spread over files, and stay in order."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = [(5, f"a common beginning of all these texts {i % 7}", "s") for i in range(400)] + [(None, "same", "s")] * 400
+        tokenfiles.write_tokens(documents(spark, rows), str(tmp_path / "t"), tokenizer_file(), 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    files = spark.read.parquet(str(tmp_path / "t")).groupBy(tokenfiles.F.col("_metadata.file_name")).count()
+    assert files.agg({"count": "max"}).first()[0] < 400
+    got = [tuple(r) for r in tokenfiles.read_checksums(spark, str(tmp_path / "t")).orderBy("start").collect()]
+    assert [g[0] for g in got] == [None] * 400 + [5] * 400
+    ends = [g[1] + g[2] for g in got]
+    assert [g[1] for g in got] == [0, *ends[:-1]]
+    want = [crc([*ids, 2]) for ids in plain_ids([t for _, t, _ in rows])]
+    assert sorted(g[3] for g in got) == sorted(want)
+
+
+def test_token_files_of_several_files_a_task(spark, tmp_path):
+    rows = [(i, "one two three " * (i % 5), "s") for i in range(200)]
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
+    try:
+        tokenfiles.write_tokens(documents(spark, rows), str(tmp_path / "t"), tokenizer_file(), 2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    got = [tuple(r) for r in tokenfiles.read_checksums(spark, str(tmp_path / "t")).orderBy("doc_id").collect()]
+    at = 0
+    for _, start, n, _ in got:
+        assert start == at
+        at += n
+
+
 def test_token_files_are_encoded_as_said(spark, tmp_path):
     import pyarrow.parquet as pq
 
