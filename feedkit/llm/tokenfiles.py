@@ -6,12 +6,12 @@ vocabulary fits the dictionary page). Row groups and pages have set sizes and co
 written, so readers of the metadata never touch ids, and readers of a range of documents fetch its
 pages alone.
 
-Documents are dealt by ranges of doc_id, then of their texts' first bytes and hashes, so the tasks, by the number in
-their files' names, are in ascending order; a range is sorted inside its task, and rows that share an id,
-or have none, spread over as many tasks as they fill. Null texts count as empty and still get the end
-id; repeated rows each get a row; rows of equal doc_id follow by the first bytes of their texts, then by
-hash. A null doc_id comes first. Texts of any length are encoded whole. An empty table gives no rows.
-Extra columns are not read.
+Documents are dealt by ranges of doc_id, then of the rows' numbers as they are read, so the tasks, by the
+number in their files' names, are in ascending order; a range is sorted inside its task, and rows that
+share an id, or have none, spread over as many tasks as they fill. Null texts count as empty and still
+get the end id; repeated rows each get a row; rows of equal doc_id follow as they are read. A null doc_id
+comes first. Texts of any length are encoded whole. An empty table gives no rows. Extra columns are not
+read.
 """
 
 from __future__ import annotations
@@ -28,8 +28,6 @@ from feedkit.llm.wordids import encoder, slices
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-#: Bytes of a text that tell ranges of one doc_id apart.
-HEAD_BYTES = 32
 SCHEMA = "doc_id bigint, file_start bigint, n_tokens bigint, ids array<int>"
 #: The writer's settings: delta encoding for numbers, dictionaries for ids.
 WRITER = {
@@ -71,9 +69,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
     dealt = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole)
-    # Equal rows may follow each other in any order, so a number of their own may part them.
-    order = ["doc_id", F.substring("text", 1, HEAD_BYTES), F.xxhash64("text")]
-    dealt = dealt.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*order, "_row")
+    # The ranges are sampled from two numbers, so texts are read once.
+    order = ["doc_id", "_row"]
+    dealt = dealt.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*order)
     return dealt.sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(encode, SCHEMA)
 
 
