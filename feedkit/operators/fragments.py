@@ -12,7 +12,7 @@ from feedkit.functions.hashing import digest, digest_by
 from feedkit.plans.folding import arrived_first, file_digests, file_key, fold_files
 from feedkit.plans.ordered import number_gaps, runs
 from feedkit.plans.settle import settle
-from feedkit.plans.skew import join_null_safe, salted_lookup
+from feedkit.plans.skew import LOOKUP_SALTS, join_null_safe, salted, salted_lookup
 
 # A cell must stay well under 2 GiB; larger files keep their payload in ordered pieces.
 MAX_CELL = 1 << 30
@@ -187,9 +187,11 @@ def latest_attempt(
     """
     valid = fragments.filter(_usable())
     told = runs(valid.select(*path, "identifier", order), path, order, "identifier", parts)
-    starts = told.groupBy(*path).agg(F.max("last_run_start").alias("_start"))
-    # Written, so that the planner broadcasts the starts where they are few, and payload stays in place.
-    marked = salted_lookup(valid, settle(starts, "starts"), path, [*path, order], "inner")
+    spread = [*path, order]
+    # Written, as they are read twice. Where they are few they are broadcast, and payload stays in place.
+    starts = salted(told, spread, LOOKUP_SALTS).groupBy(*path)
+    starts = starts.agg(F.max("last_run_start").alias("_start"), F.collect_set("_salt").alias("_salts"))
+    marked = salted_lookup(valid, settle(starts, "starts"), path, spread, "inner")
     return marked.filter(F.col(order) >= F.col("_start")).drop("_start")
 
 

@@ -70,6 +70,7 @@ def release_plan(
     )
     chosen = settle(chosen, "released")
     ends = chosen.filter(F.col("op") == "EOF").groupBy(SESSION).agg(F.min("n").alias("_end"))
+    ends = settle(ends, "ends")
     return (
         salted_lookup(chosen, ends, [SESSION], ["n"], "left")
         .filter(F.col("_end").isNull() | (F.col("n") <= F.col("_end")))

@@ -21,11 +21,12 @@ def in_pieces(rows: DataFrame, group: Sequence[str], order: Sequence[str], parts
     """Add `_piece`, the number of the range that a row lies in; it rises along a group's order.
 
     The rows are written once, so that all who read them see the same ranges. `parts` is the number of
-    ranges, by default that of shuffle partitions.
+    ranges, by default that of shuffle partitions. Joins with the rows are sorted ones: sorted keys make a
+    small file of many rows, which the planner would take for few and broadcast.
     """
     keys = [F.col(c) for c in (*group, *order)]
     dealt = rows.repartitionByRange(parts, *keys) if parts else rows.repartitionByRange(*keys)
-    return settle(dealt.withColumn("_piece", F.spark_partition_id()), "pieces")
+    return settle(dealt.withColumn("_piece", F.spark_partition_id()), "pieces").hint("merge")
 
 
 def runs(

@@ -8,12 +8,17 @@ repeated only for the salts that its rows really have.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SALTS = 256
+#: Of lookups, which are repeated for each.
+LOOKUP_SALTS = 32
+#: What a row of a broadcast takes besides its texts.
+ROW_BYTES = 64
 
 
 def salted(rows: DataFrame, spread_on: Sequence[str], salts: int = SALTS) -> DataFrame:
@@ -60,18 +65,38 @@ def attach_group_facts(
     return join_null_safe(spread, facts, [*keys, "_salt"], how).drop("_salt")
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's limit for broadcasts, in bytes."""
+    told = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?[0-9]+)([kmgtp]?)i?b?", told).groups()
+    return int(number) << (10 * "kmgtp".index(unit) + 10 if unit else 0)
+
+
+def held_bytes(rows: DataFrame) -> int:
+    """About the bytes that rows of plain columns take in memory, whatever a file packs them into."""
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in rows.columns]
+    one = sum(texts, F.lit(ROW_BYTES)).cast("bigint")
+    return rows.agg(F.coalesce(F.sum(one), F.lit(0))).first()[0]
+
+
 def salted_lookup(
     rows: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
     spread_on: Sequence[str],
     how: str,
-    salts: int = 32,
+    salts: int = LOOKUP_SALTS,
 ) -> DataFrame:
-    """Join rows to a lookup with one row per key, the lookup repeated once per salt.
+    """Join rows to a lookup with one row per key, read twice, so better a written one.
 
-    For lookups that are much smaller than the rows (one row per batch, say). A hot key's rows
-    spread over `salts` tasks.
+    A lookup that is within the broadcast limit when it is held in memory goes to all tasks, once. A larger
+    one is repeated for each salt, or for those in its column `_salts`, which a key's rows really have, and is
+    never broadcast: its file and the planner's estimate may be a small part of what it takes. A hot key's
+    rows spread over `salts` tasks.
     """
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    named = lookup.drop("_salts")
+    if held_bytes(named) <= broadcast_limit(rows.sparkSession):
+        return join_null_safe(rows, F.broadcast(named), keys, how)
+    own = F.col("_salts") if "_salts" in lookup.columns else F.sequence(F.lit(0), F.lit(salts - 1))
+    repeated = lookup.withColumn("_salt", F.explode(own)).drop("_salts").hint("merge")
     return join_null_safe(salted(rows, spread_on, salts), repeated, [*keys, "_salt"], how).drop("_salt")

@@ -157,7 +157,7 @@ def committed_batches(
     keys: Sequence[str] = ("batch_id",),
 ) -> DataFrame:
     """Payload rows whose batch has a commit marker; one batch may hold most of the rows."""
-    named = markers.select(*keys).distinct()  # files without a batch form one, named null
+    named = settle(markers.select(*keys).distinct(), "named")  # files without a batch form one, named null
     return salted_lookup(payloads, named, keys, spread_on, "left_semi")
 
 
