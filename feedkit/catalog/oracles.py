@@ -388,8 +388,10 @@ ORACLES: dict[str, str] = {
     + "select port, uuid, run_start, total, seen, dups, state from run_result",
     "inflight_runs": _with(FILES, FRAMES, RUNS)
     + """select port, uuid, run_start, run_start < max(run_start) over (partition by port) as followed,
-      count(*) as frames, sum(octet_length(payload))::bigint as bytes
-    from frame_runs group by port, uuid, run_start""",
+      total, seen, dups, state, frames, bytes
+    from run_result join (
+      select port, uuid, run_start, count(*) as frames, sum(octet_length(payload))::bigint as bytes
+      from frame_runs group by port, uuid, run_start) using (port, uuid, run_start)""",
     "bitmap_gaps": _with(FILES, FRAGMENTS)
     + """select identifier, min(idx) as from_n, max(idx) as to_n from (
       select seq::varchar as identifier, idx, idx - row_number() over (partition by seq order by idx) as island
