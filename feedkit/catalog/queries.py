@@ -35,6 +35,8 @@ from feedkit.streaming import feeds as sf
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 STAMP = "2024-01-01T00:00:00.000000001Z"
+#: Payload in a file of a feed that arrives.
+ARRIVING_BYTES = 128 << 20
 
 
 def query(fn: Query) -> Query:
@@ -217,8 +219,11 @@ def replay_feed(spark, sf_dir):
 def _arriving(spark, files, name):
     """The files as a stream of four micro-batches, batches whole."""
     folder = shared_folder(spark, name)
-    files.repartition(4, "batch_id").write.parquet(f"{folder}/in")
-    stream = spark.readStream.schema(files.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    # A feed of any size comes in files of a bounded one, a quarter of them in each micro-batch.
+    held = files.agg(F.sum("size")).first()[0] or 0
+    files.repartition(4 * (held // (4 * ARRIVING_BYTES) + 1), "batch_id").write.parquet(f"{folder}/in")
+    count = len(spark.read.schema(files.schema).parquet(f"{folder}/in").inputFiles())
+    stream = spark.readStream.schema(files.schema).option("maxFilesPerTrigger", max(-(-count // 4), 1)).parquet(f"{folder}/in")
     return folder, stream
 
 
