@@ -5,7 +5,8 @@ Every stage works on all that the one before kept, and is written as Parquet and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedkit.llm import mixing, neardup, packing, pii, quality
@@ -14,6 +15,8 @@ from feedkit.plans.settle import settle
 
 #: A row's number, in a column that documents do not have.
 ROW = "pipeline_row_number"
+#: Bits of a row's number that tell its place in a file.
+FILE_BITS = 40
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,6 +26,25 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, quality.train(docs, labels, F.lit(True)))
 
 
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """`docs` with ROW, a number that is the same whenever the rows are read.
+
+    Rows that are read from files are named by their place there, in the order of the paths. Others have no
+    place, or share one, and are written with their numbers.
+    """
+    try:
+        place = docs.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_at"))
+    except AnalysisException:
+        return settle(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    paths = place.select("_path").distinct()  # a row for each file
+    paths = paths.select("_path", (F.row_number().over(Window.orderBy("_path")) - 1).cast("bigint").alias("_file"))
+    number = F.shiftleft("_file", FILE_BITS) + F.col("_at")
+    placed = place.join(settle(paths, "paths"), "_path").select(*docs.columns, number.alias(ROW))
+    if placed.groupBy(ROW).count().filter("count > 1").isEmpty():
+        return placed
+    return settle(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, the first, of each group of near duplicates.
 
@@ -30,7 +52,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     each by its own text.
     """
     small_batches(spark)
-    numbered = settle(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    numbered = numbered_rows(docs)
     texts = numbered.select(F.col(ROW).alias("doc_id"), "text")
     found = neardup.near_duplicates(texts, width=5, percent=80)
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias(ROW))
