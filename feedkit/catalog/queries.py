@@ -221,7 +221,9 @@ def _arriving(spark, files, name):
     folder = shared_folder(spark, name)
     # A feed of any size comes in files of a bounded one, a quarter of them in each micro-batch.
     held = files.agg(F.sum("size")).first()[0] or 0
-    files.repartition(4 * (held // (4 * ARRIVING_BYTES) + 1), "batch_id").write.parquet(f"{folder}/in")
+    # Files without a batch stand for themselves, so however many they are, they need not lie together.
+    together = F.coalesce(F.col("batch_id"), F.monotonically_increasing_id())
+    files.repartition(4 * (held // (4 * ARRIVING_BYTES) + 1), together).write.parquet(f"{folder}/in")
     count = len(spark.read.schema(files.schema).parquet(f"{folder}/in").inputFiles())
     stream = spark.readStream.schema(files.schema).option("maxFilesPerTrigger", max(-(-count // 4), 1)).parquet(f"{folder}/in")
     return folder, stream
