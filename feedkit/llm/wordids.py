@@ -9,7 +9,7 @@ the opening of a special token are encoded as they are.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 
@@ -19,6 +19,8 @@ from feedkit.llm.wordmemory import WORD_LIMIT, WordMemory
 SLICE_BYTES = 1 << 20
 #: Words that are encoded as one text.
 JOINED = 64
+#: What may end a word as a piece of its own; an apostrophe can begin a contraction.
+TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordEncoder:
@@ -26,24 +28,30 @@ class WordEncoder:
 
     def __init__(self, path: str, end_id: int, limit: int = WORD_LIMIT) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Words of a to z need no normaliser, and white space alone parts them.
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.closes = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.closes[i] = token.endswith("</w>")
-        self.tails = {ord(c): self._plain([c])[0][0] for c in ".,"}
         self.memory = WordMemory([b""], [[end_id]], limit)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _bare(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.bare.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str], encode: Callable[[list[str]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and sizes of words of letters alone: each is one piece, and ends with a closing token."""
         groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
         ids, sizes = [], []
-        for own, found in zip(groups, self._plain([" ".join(g) for g in groups]), strict=True):
+        for own, found in zip(groups, encode([" ".join(g) for g in groups]), strict=True):
             found = np.array(found, np.uint32)
             ends = np.flatnonzero(self.closes[found]) + 1
             if len(ends) == len(own):
@@ -61,29 +69,36 @@ class WordEncoder:
         """Give ids to the words that were new."""
         memory = self.memory
         numbers = memory.numbers
-        words = numbers.new  # grows: a word with a full stop or comma needs its core as well
-        letters, others, composed = [], [], []
-        k, first = 0, numbers.count - len(words)
-        while k < len(words):
-            word = words[k]
-            text = word.decode()
-            if text.isalpha() and text.lower().isalpha():
-                letters.append((first + k, text))
-            elif word[-1] in self.tails and (core := text[:-1]).isalpha() and core.lower().isalpha():
-                composed.append((first + k, numbers[word[:-1]], self.tails[word[-1]]))
+        words = numbers.new  # grows: a word with a tail needs its core and the tail as well
+        ascii_at, ascii_words, letters, others, composed = [], [], [], [], []
+        first = numbers.count - len(words)
+        for number, word in enumerate(words, first):
+            if word.isalpha():
+                # Only a to z: the texts are in lower case.
+                ascii_at.append(number)
+                ascii_words.append(word)
+                continue
+            core = word.rstrip(TAIL)
+            text = core.decode()
+            if not (text.isalpha() and text.lower().isalpha()):
+                others.append((number, word.decode()))
+            elif len(core) < len(word):
+                composed.append((number, numbers[core], numbers[word[len(core) :]]))
             else:
-                others.append((first + k, text))
-            k += 1
+                letters.append((number, text))
+        if ascii_words:
+            bare = b" ".join(ascii_words).decode().split(" ")
+            memory.learn_at(np.array(ascii_at), *self._letters(bare, self._bare))
         if letters:
-            memory.learn_at(np.array([n for n, _ in letters]), *self._letters([t for _, t in letters]))
+            memory.learn_at(np.array([n for n, _ in letters]), *self._letters([t for _, t in letters], self._plain))
         if others:
             found = self._plain([t for _, t in others])
             sizes = np.array([len(x) for x in found])
             memory.learn_at(np.array([n for n, _ in others]), np.array([x for own in found for x in own], np.uint32), sizes)
         if composed:
-            own, core, tail = np.array(composed, np.int64).T
-            ids, sizes = memory.gather(core)
-            memory.learn_at(own, np.insert(ids, np.cumsum(sizes), tail.astype(np.uint32)), sizes + 1)
+            own = np.array(composed, np.int64)
+            ids, sizes = memory.gather(own[:, 1:].ravel())
+            memory.learn_at(own[:, 0], ids, sizes.reshape(-1, 2).sum(axis=1))
         numbers.new = []
 
     def encode(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:

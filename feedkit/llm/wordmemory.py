@@ -81,15 +81,15 @@ class WordMemory:
         kept = self.numbers
         for word in self.first:
             kept[word]
-        # The first words keep the first numbers.
-        words = [*self.first, *(kept.keys() - set(self.first))]
+        # The first words came first, and keep the first numbers.
+        words = kept
         if len(kept) <= len(self.first) + 1 or self.used > 2 * IDS_A_WORD * self.limit:
-            words = list(self.first)  # a few words with endless ids
-        ids, sizes = self.gather(np.fromiter((kept[w] for w in words), np.int64, len(words)))
+            words = {w: kept[w] for w in self.first}  # a few words with endless ids
+        ids, sizes = self.gather(np.fromiter(words.values(), np.int64, len(words)))
         self.numbers = _Young({}, 0)
         for word in self.first:
             self.numbers[word]
-        self.numbers.old = {w: i for i, w in enumerate(words)}
+        self.numbers.old = dict(zip(words, range(len(words)), strict=True))
         self.numbers.count, self.numbers.new = len(words), []
         self.ids, self.used = np.array(ids, np.uint32), len(ids)
         self.size, self.start = sizes, np.cumsum(sizes) - sizes

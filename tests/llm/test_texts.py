@@ -488,6 +488,20 @@ def test_word_encoder_equals_tokenizer():
         assert got == [x + [2] for x in plain_ids(some)]
 
 
+def test_new_words_seldom_pass_the_whole_tokenizer(monkeypatch):
+    """Words of a to z need no normaliser, and what ends a word is a word that is known already."""
+    choice = random.Random(7)
+    words = ["".join(choice.choice("abcdefghij") for _ in range(choice.randint(3, 9))) for _ in range(600)]
+    ends = ["", ".", ".***", ",%%%", "!!", "\"]&~"]
+    some = [w + choice.choice(ends) for w in words] + ["we're", "'s.", "x'll!!", "o'clock,", "été.###", "1.&&&", "[a]"]
+    encoder, passed = WordEncoder(tokenizer_file(), 2), []
+    whole = encoder._plain
+    monkeypatch.setattr(encoder, "_plain", lambda texts: passed.extend(texts) or whole(texts))
+    ids, sizes = encoder.encode([x.encode() for x in some])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [x + [2] for x in plain_ids(some)]
+    assert len(passed) < 20
+
+
 def test_word_memory_keeps_what_is_in_use():
     """Words seen in every generation are learned once; memory stays bounded; ids stay right."""
     memory, learned = WordMemory([""], [[9]], limit=50), Counter()
