@@ -28,12 +28,11 @@ class WordEncoder:
 
     def __init__(self, path: str, end_id: int, limit: int = WORD_LIMIT) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         # Words of a to z need no normaliser, and white space alone parts them.
-        self.bare = Tokenizer.from_file(path)
-        self.bare.normalizer = normalizers.Sequence([])
+        self.bare = Tokenizer(self.tokenizer.model)
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.closes = np.zeros(size, bool)
