@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 #: Labelled rows that the model is fitted to, and rounds of descent over them.
 SAMPLE_ROWS, ROUNDS = 12_000, 15
+#: Rows whose features are counted at a time.
+COUNTED = 256
 PAIRS, QUADS = 1 << 16, 1 << 18
 PATTERNS = PAIRS + QUADS
 SIZE = PATTERNS + 64
@@ -99,7 +101,9 @@ def log_count_ratios(rows: Sequence[np.ndarray], good: np.ndarray) -> np.ndarray
     logs = []
     for side in (True, False):
         own = [x for x, g in zip(rows, good, strict=True) if g == side]
-        counts = 1.0 + np.bincount(np.concatenate([*own, np.zeros(0, np.int32)]), minlength=SIZE)
+        counts = np.ones(SIZE)
+        for i in range(0, len(own), COUNTED):
+            counts += np.bincount(np.concatenate(own[i : i + COUNTED]), minlength=SIZE)
         logs.append(np.log(counts / (len(own) + 2.0)))
     return (logs[0] - logs[1]).astype(np.float32)
 
@@ -107,18 +111,23 @@ def log_count_ratios(rows: Sequence[np.ndarray], good: np.ndarray) -> np.ndarray
 def descend(rows: Sequence[np.ndarray], signs: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
     """Hinge loss with L2 regularisation by dual coordinate descent; the bias is one more feature."""
     weights, bias = np.zeros(SIZE), 0.0
-    values = []
-    for found in rows:
-        own = ratios[found].astype(np.float64)
-        length = np.sqrt(own @ own)
-        values.append(own / length if length else own)
-    norms = np.array([1 + v @ v for v in values])
+    wide = ratios.astype(np.float64)
+    lengths = np.array([np.sqrt(own @ own) or 1.0 for own in (wide[found] for found in rows)])
+
+    def values(i: int) -> tuple[np.ndarray, np.ndarray]:
+        # Made again in each round: kept, they would take four times what the rows do.
+        found = rows[i].astype(np.intp)
+        own = wide[found]
+        own /= lengths[i]
+        return found, own
+
+    norms = np.array([1 + v @ v for _, v in map(values, range(len(rows)))])
     dual = np.zeros(len(rows))
     order = np.random.default_rng(1)
     for _ in range(ROUNDS):
         moved = 0.0
         for i in order.permutation(len(rows)):
-            found, own, sign = rows[i], values[i], signs[i]
+            (found, own), sign = values(i), signs[i]
             slope = sign * (weights[found] @ own + bias) - 1
             now = min(max(dual[i] - slope / norms[i], 0.0), COST)
             step = (now - dual[i]) * sign

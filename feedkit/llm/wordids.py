@@ -17,8 +17,8 @@ from feedkit.llm.wordmemory import WORD_LIMIT, WordMemory
 
 #: Bytes of text that are split into words at a time.
 SLICE_BYTES = 1 << 20
-#: Words that are encoded as one text.
-JOINED = 64
+#: Words that are encoded as one text, and such texts at a time: what the library returns is large.
+JOINED, AT_ONCE = 64, 64
 #: What may end a word as a piece of its own; an apostrophe can begin a contraction.
 TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -38,7 +38,7 @@ class WordEncoder:
         self.closes = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.closes[i] = token.endswith("</w>")
-        self.memory = WordMemory([b""], [[end_id]], limit)
+        self.memory = WordMemory([b""], [[end_id]], limit, max(size - 1, end_id))
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -50,7 +50,9 @@ class WordEncoder:
         """Ids and sizes of words of letters alone: each is one piece, and ends with a closing token."""
         groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
         ids, sizes = [], []
-        for own, found in zip(groups, encode([" ".join(g) for g in groups]), strict=True):
+        some = [groups[i : i + AT_ONCE] for i in range(0, len(groups), AT_ONCE)]
+        encoded = (x for own in some for x in encode([" ".join(g) for g in own]))
+        for own, found in zip(groups, encoded, strict=True):
             found = np.array(found, np.uint32)
             ends = np.flatnonzero(self.closes[found]) + 1
             if len(ends) == len(own):

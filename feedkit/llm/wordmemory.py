@@ -17,14 +17,14 @@ IDS_A_WORD = 16
 
 
 class _Young(dict):
-    """Word to number. A word of the old generation keeps its number, a new one waits in `new`."""
+    """Word to number. A word of the old generation moves here with its number, a new one waits in `new`."""
 
     def __init__(self, old: dict, count: int) -> None:
         super().__init__()
         self.old, self.count, self.new = old, count, []
 
     def __missing__(self, word):
-        number = self.old.get(word)
+        number = self.old.pop(word, None)
         if number is None:
             self.new.append(word)
             number, self.count = self.count, self.count + 1
@@ -36,13 +36,13 @@ class WordMemory:
     """Numbers for words (`numbers[word]`), and their ids by number.
 
     After looking words up, give the ids of those in `numbers.new` with `learn` or `learn_at`.
-    `first` words get the numbers from 0 on, for good.
+    `first` words get the numbers from 0 on, for good. No id is above `top`.
     """
 
-    def __init__(self, first: list, first_ids: list[list[int]], limit: int = WORD_LIMIT) -> None:
+    def __init__(self, first: list, first_ids: list[list[int]], limit: int = WORD_LIMIT, top: int = (1 << 32) - 1) -> None:
         self.limit, self.first = limit, first
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.min_scalar_type(top)), 0
+        self.start, self.size = np.zeros(1 << 14, np.uint32), np.zeros(1 << 14, np.uint32)
         self.numbers = _Young({}, 0)
         for word in first:
             self.numbers[word]
@@ -57,11 +57,11 @@ class WordMemory:
     def learn_at(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         """The ids of some words by number; empty `numbers.new` when all are learned."""
         if self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.uint32)])
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), self.ids.dtype)])
         if self.numbers.count > len(self.start):
             more = max(len(self.start), self.numbers.count - len(self.start))
-            self.start = np.concatenate([self.start, np.zeros(more, np.int64)])
-            self.size = np.concatenate([self.size, np.zeros(more, np.int64)])
+            self.start = np.concatenate([self.start, np.zeros(more, np.uint32)])
+            self.size = np.concatenate([self.size, np.zeros(more, np.uint32)])
         self.ids[self.used : self.used + len(ids)] = ids
         self.size[numbers] = sizes
         self.start[numbers] = self.used + np.cumsum(sizes) - sizes
@@ -69,10 +69,10 @@ class WordMemory:
 
     def gather(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of numbered words, one after the other, and how many each has."""
-        sizes = self.size[pick]
+        sizes = self.size[pick].astype(np.int64)
         at = np.repeat(self.start[pick] - (np.cumsum(sizes) - sizes), sizes)
         at += np.arange(len(at))
-        return self.ids[at], sizes
+        return self.ids[at].astype(np.uint32, copy=False), sizes
 
     def make_room(self) -> None:
         """End the generation if it is full. Numbers given before are void then."""
@@ -82,14 +82,16 @@ class WordMemory:
         for word in self.first:
             kept[word]
         # The first words came first, and keep the first numbers.
-        words = kept
+        words, kept.old = kept, {}
         if len(kept) <= len(self.first) + 1 or self.used > 2 * IDS_A_WORD * self.limit:
             words = {w: kept[w] for w in self.first}  # a few words with endless ids
         ids, sizes = self.gather(np.fromiter(words.values(), np.int64, len(words)))
+        for number, word in enumerate(words):
+            words[word] = number  # in place: a second table would double the memory
         self.numbers = _Young({}, 0)
         for word in self.first:
             self.numbers[word]
-        self.numbers.old = dict(zip(words, range(len(words)), strict=True))
+        self.numbers.old = words
         self.numbers.count, self.numbers.new = len(words), []
-        self.ids, self.used = np.array(ids, np.uint32), len(ids)
-        self.size, self.start = sizes, np.cumsum(sizes) - sizes
+        self.ids, self.used = ids.astype(self.ids.dtype), len(ids)
+        self.size, self.start = sizes.astype(np.uint32), (np.cumsum(sizes) - sizes).astype(np.uint32)

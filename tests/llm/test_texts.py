@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import random
 import re
 import time
@@ -521,6 +522,40 @@ def test_word_memory_keeps_what_is_in_use():
     assert learned["often"] == learned["common"] == 1
 
 
+def test_word_memory_holds_a_word_once():
+    """A word that comes again moves to the young generation, and ids take no more bytes than they need."""
+    memory, words = WordMemory([b""], [[9]], limit=1000, top=49_151), [b"w%d" % i for i in range(1200)]
+    for _ in range(3):
+        memory.make_room()
+        pick = np.array([memory.numbers[w] for w in words])
+        new = memory.numbers.new
+        memory.learn(np.array([int(w[1:]) for w in new], np.uint32), np.ones(len(new), np.int64))
+        assert memory.gather(pick)[0].tolist() == list(range(1200))
+        assert not memory.numbers.keys() & memory.numbers.old.keys() - {b""}
+    assert memory.ids.dtype == np.uint16 and memory.gather(pick)[0].dtype == np.uint32
+
+
+def test_new_words_are_encoded_some_at_a_time(monkeypatch):
+    encoder, most = WordEncoder(tokenizer_file(), 2), []
+    bare = encoder._bare
+    monkeypatch.setattr(encoder, "_bare", lambda texts: most.append(len(texts)) or bare(texts))
+    words = ["".join(x) for x in itertools.product("abcdefghijklmnop", repeat=4)][:20_000]
+    ids, _ = encoder.encode([" ".join(words).encode()])
+    assert ids.tolist() == plain_ids([" ".join(words)])[0] + [2]
+    assert max(most) <= 64 and sum(most) == -(-len(words) // 64)
+
+
+def test_classifier_is_fitted_in_little_more_than_its_rows():
+    choice = np.random.default_rng(3)
+    rows = [np.sort(choice.choice(quality.SIZE, 2000, replace=False)).astype(np.int32) for _ in range(2000)]
+    good = np.arange(2000) % 2 == 0
+    tracemalloc.start()
+    quality.descend(rows, np.where(good, 1.0, -1.0), quality.log_count_ratios(rows, good))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 20 << 20 < sum(8 * len(r) for r in rows)
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
