@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedkit.llm.wordids import encoder, slices
+from feedkit.llm.wordids import WORDS_BYTES, encoder, slices
 from feedkit.plans.settle import settle
 
 PIECES = (
@@ -56,7 +56,7 @@ def cut(
         part, pos, seen = TaskContext.get().partitionId(), 0, [0] * (capacity + 1)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for own in slices(texts):
+            for own in slices(texts, WORDS_BYTES):
                 ids, sizes = words.encode(texts[own])
                 ids = ids.astype("<u4", copy=False)
                 pieces = -(-sizes // capacity)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedkit.llm.wordids import encoder, slices
+from feedkit.llm.wordids import WORDS_BYTES, encoder, slices
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -50,7 +50,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         words, before = encoder(tokenizer, end_id), 0
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for part in slices(texts):
+            for part in slices(texts, WORDS_BYTES):
                 ids, sizes = words.encode(texts[part])
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(

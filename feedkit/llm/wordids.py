@@ -1,9 +1,10 @@
 """Whole texts to token ids, each distinct word encoded once per worker.
 
 A text's ids are those of its words one after the other: the tokenizer drops white space, and neither
-its normaliser nor its pieces reach across it. So texts are split at ASCII white space, and a
-`WordMemory` gives the ids of words seen before; new ones are encoded many at a time. Texts that hold
-the opening of a special token are encoded as they are.
+its normaliser nor its pieces reach across it, nor from a letter a to z to a sign other than an apostrophe
+or back. So many texts at a time are cut there, their words are numbered by Arrow, and a `WordMemory` gives
+the ids of the distinct ones that were seen before; new ones are encoded together. Texts that hold the
+opening of a special token are encoded as they are.
 """
 
 from __future__ import annotations
@@ -12,15 +13,38 @@ import os
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 from feedkit.llm.wordmemory import WORD_LIMIT, WordMemory
 
-#: Bytes of text that are split into words at a time.
-SLICE_BYTES = 1 << 20
+#: Bytes of text that are worked on at a time, and of texts that are cut into words: more repeat more words.
+SLICE_BYTES, WORDS_BYTES = 1 << 20, 4 << 20
 #: Words that are encoded as one text, and such texts at a time: what the library returns is large.
 JOINED, AT_ONCE = 64, 64
 #: What may end a word as a piece of its own; an apostrophe can begin a contraction.
 TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+WHITE, LETTERS = b" \t\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz"
+LOWER = bytes(range(256)).translate(bytes.maketrans(LETTERS.upper(), LETTERS))
+#: Kinds of bytes. Words are cut between two whose kinds differ by `APART` or more in their bits.
+SPACE, LETTER, SIGN, OTHER, APART = 4, 1, 2, 0, 3
+KINDS = bytes(SPACE if c in WHITE else LETTER if c in LETTERS else SIGN if c in TAIL else OTHER for c in LOWER)
+#: Letters below this one have been the same in all versions of Unicode, and do not compose.
+SETTLED = "\u0250"
+
+
+def split_words(texts: Sequence[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of some texts in lower case, the place among them of each word, and how many each text has."""
+    joined = b" ".join([b"", *texts, b""])
+    kinds = np.frombuffer(joined.translate(KINDS), np.uint8)
+    cut = (kinds[1:] ^ kinds[:-1]) >= APART
+    starts, stops = np.flatnonzero(cut & (kinds[1:] != SPACE)), np.flatnonzero(cut & (kinds[:-1] != SPACE))
+    ends = np.cumsum(stops - starts)
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(joined.translate(LOWER, WHITE))]
+    words = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    counts = np.diff(np.searchsorted(starts, begins))
+    return words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy(), counts
 
 
 class WordEncoder:
@@ -31,9 +55,10 @@ class WordEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Words of a to z need no normaliser, and white space alone parts them.
+        # Words of settled letters in lower case need no normaliser, and white space alone parts them.
         self.bare = Tokenizer(self.tokenizer.model)
-        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        in_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), in_bytes])
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.closes = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
@@ -46,24 +71,22 @@ class WordEncoder:
     def _bare(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.bare.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letters(self, words: list[str], encode: Callable[[list[str]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
+    def _letters(self, words: list[bytes], encode: Callable[[list[str]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and sizes of words of letters alone: each is one piece, and ends with a closing token."""
-        groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
         ids, sizes = [], []
-        some = [groups[i : i + AT_ONCE] for i in range(0, len(groups), AT_ONCE)]
-        encoded = (x for own in some for x in encode([" ".join(g) for g in own]))
-        for own, found in zip(groups, encoded, strict=True):
-            found = np.array(found, np.uint32)
-            ends = np.flatnonzero(self.closes[found]) + 1
-            if len(ends) == len(own):
-                sizes.append(np.diff(ends, prepend=0))
-                ids.append(found)
-            else:
-                apart = self._plain(own)
-                sizes.append(np.array([len(x) for x in apart]))
-                ids += [np.array(x, np.uint32) for x in apart]
-        if not ids:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        for i in range(0, len(words), JOINED * AT_ONCE):
+            groups = [words[j : j + JOINED] for j in range(i, min(i + JOINED * AT_ONCE, len(words)), JOINED)]
+            encoded = encode([b" ".join(g).decode() for g in groups])
+            for own, found in zip(groups, encoded, strict=True):
+                found = np.array(found, np.uint32)
+                ends = np.flatnonzero(self.closes[found]) + 1
+                if len(ends) == len(own):
+                    sizes.append(np.diff(ends, prepend=0))
+                    ids.append(found)
+                else:
+                    apart = self._plain([w.decode() for w in own])
+                    sizes.append(np.array([len(x) for x in apart]))
+                    ids += [np.array(x, np.uint32) for x in apart]
         return np.concatenate(ids), np.concatenate(sizes)
 
     def _learn(self) -> None:
@@ -71,31 +94,36 @@ class WordEncoder:
         memory = self.memory
         numbers = memory.numbers
         words = numbers.new  # grows: a word with a tail needs its core and the tail as well
-        ascii_at, ascii_words, letters, others, composed = [], [], [], [], []
+        bare, bare_at, letters, letters_at, others, composed = [], [], [], [], [], []
         first = numbers.count - len(words)
         for number, word in enumerate(words, first):
             if word.isalpha():
                 # Only a to z: the texts are in lower case.
-                ascii_at.append(number)
-                ascii_words.append(word)
+                bare_at.append(number)
+                bare.append(word)
                 continue
             core = word.rstrip(TAIL)
             text = core.decode()
-            if not (text.isalpha() and text.lower().isalpha()):
+            low = text.lower()
+            if not (text.isalpha() and low.isalpha()):
                 others.append((number, word.decode()))
             elif len(core) < len(word):
                 composed.append((number, numbers[core], numbers[word[len(core) :]]))
+            elif text == low and max(text) < SETTLED:
+                bare_at.append(number)
+                bare.append(word)
             else:
-                letters.append((number, text))
-        if ascii_words:
-            bare = b" ".join(ascii_words).decode().split(" ")
-            memory.learn_at(np.array(ascii_at), *self._letters(bare, self._bare))
+                letters_at.append(number)
+                letters.append(word)
+        if bare:
+            memory.learn_at(np.array(bare_at), *self._letters(bare, self._bare))
         if letters:
-            memory.learn_at(np.array([n for n, _ in letters]), *self._letters([t for _, t in letters], self._plain))
-        if others:
-            found = self._plain([t for _, t in others])
+            memory.learn_at(np.array(letters_at), *self._letters(letters, self._plain))
+        for i in range(0, len(others), JOINED * AT_ONCE):
+            some = others[i : i + JOINED * AT_ONCE]
+            found = self._plain([t for _, t in some])
             sizes = np.array([len(x) for x in found])
-            memory.learn_at(np.array([n for n, _ in others]), np.array([x for own in found for x in own], np.uint32), sizes)
+            memory.learn_at(np.array([n for n, _ in some]), np.array([x for own in found for x in own], np.uint32), sizes)
         if composed:
             own = np.array(composed, np.int64)
             ids, sizes = memory.gather(own[:, 1:].ravel())
@@ -105,30 +133,22 @@ class WordEncoder:
     def encode(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has (its end id included)."""
         self.memory.make_room()
-        found: list[int] = []
-        counts = np.zeros(len(texts), np.int64)
-        look = self.memory.numbers.__getitem__
-        whole: list[tuple[int, int]] = []
-        for i, text in enumerate(texts):
-            if b"<|" in text:
-                whole.append((len(found), i))
-                words = []
-            else:
-                words = text.lower().split()
-            found.extend(map(look, words))
-            found.append(0)
-            counts[i] = len(words) + 1
+        whole = [i for i, text in enumerate(texts) if b"<|" in text]
+        apart = set(whole)
+        words, pick, counts = split_words([b"" if i in apart else t for i, t in enumerate(texts)] if whole else texts)
+        numbers = np.fromiter(map(self.memory.numbers.__getitem__, words), np.int64, len(words))
         if self.memory.numbers.new:
             self._learn()
-        ids, sizes = self.memory.gather(np.array(found, np.int64))
-        lengths = np.add.reduceat(sizes, np.cumsum(counts) - counts) if len(counts) else counts
+        ends = np.cumsum(counts)
+        ids, sizes = self.memory.gather(np.insert(numbers[pick], ends, 0))
+        at = ends + np.arange(len(counts))  # of the end ids
+        lengths = np.add.reduceat(sizes, at - counts) if len(counts) else counts
         if whole:
-            places, rows = [p for p, _ in whole], [r for _, r in whole]
-            before = (np.cumsum(sizes) - sizes)[places]
-            own = [np.array(x, np.uint32) for x in self._plain([texts[r].decode() for r in rows])]
+            before = (np.cumsum(sizes) - sizes)[at[whole]]
+            own = [np.array(x, np.uint32) for x in self._plain([texts[i].decode() for i in whole])]
             cuts = np.split(ids, before)
             ids = np.concatenate([cuts[0], *[y for x in zip(own, cuts[1:], strict=True) for y in x]])
-            lengths[rows] += [len(x) for x in own]
+            lengths[whole] += [len(x) for x in own]
         return ids, lengths
 
 

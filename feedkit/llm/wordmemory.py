@@ -14,6 +14,8 @@ import numpy as np
 WORD_LIMIT = 450_000
 #: A generation also ends when it holds so many ids for each word of the limit.
 IDS_A_WORD = 16
+#: Words whose ids are looked up at a time, in little memory.
+PICKED = 1 << 16
 
 
 class _Young(dict):
@@ -70,9 +72,14 @@ class WordMemory:
     def gather(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of numbered words, one after the other, and how many each has."""
         sizes = self.size[pick].astype(np.int64)
-        at = np.repeat(self.start[pick] - (np.cumsum(sizes) - sizes), sizes)
-        at += np.arange(len(at))
-        return self.ids[at].astype(np.uint32, copy=False), sizes
+        ids, done = np.empty(sizes.sum(), np.uint32), 0
+        for i in range(0, len(pick), PICKED):
+            own = sizes[i : i + PICKED]
+            at = np.repeat(self.start[pick[i : i + PICKED]] - (np.cumsum(own) - own), own)
+            at += np.arange(len(at))
+            ids[done : done + len(at)] = self.ids[at]
+            done += len(at)
+        return ids, sizes
 
     def make_room(self) -> None:
         """End the generation if it is full. Numbers given before are void then."""

@@ -503,6 +503,51 @@ def test_new_words_seldom_pass_the_whole_tokenizer(monkeypatch):
     assert len(passed) < 20
 
 
+def test_words_are_cut_where_pieces_end():
+    """Signs, apostrophes, marks and letters of all kinds beside each other, in small and large slices."""
+    choice = random.Random(8)
+    signs = [*"ab.-<=>_[&#'0", "'s", "'ll", "A", "É", "é", "ñ", "ß", "ſ", "ɐ", "ш", "\u0338", "\u0301", "\u00a0", "\x1f", "…", "|", " ", "\t"]
+    encoder = WordEncoder(tokenizer_file(), 2)
+    some = ["".join(choice.choice(signs) for _ in range(choice.randint(0, 25))) for _ in range(3000)] + ["", " "]
+    want = [x + [2] for x in plain_ids(some)]
+    for size in (1, 7, len(some)):
+        got = []
+        for i in range(0, len(some), size):
+            ids, sizes = encoder.encode([x.encode() for x in some[i : i + size]])
+            got += [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert got == want
+    assert [len(x) for x in encoder.encode([])] == [0, 0]
+
+
+def test_words_are_looked_up_once_for_many_texts():
+    """What repeats costs no lookup, and what is made of words and signs that are known is not encoded."""
+    encoder, looked = WordEncoder(tokenizer_file(), 2), []
+
+    class Counted(type(encoder.memory.numbers)):
+        def __getitem__(self, word):
+            looked.append(word)
+            return super().__getitem__(word)
+
+    numbers = Counted({}, encoder.memory.numbers.count)
+    numbers.update(encoder.memory.numbers)
+    encoder.memory.numbers = numbers
+    some = ["One two, three-one. (two) " * 500, "three two "] * 20
+    ids, sizes = encoder.encode([x.encode() for x in some])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [x + [2] for x in plain_ids(some)]
+    assert len(looked) < 20
+
+
+def test_new_words_with_accents_seldom_pass_the_whole_tokenizer(monkeypatch):
+    choice = random.Random(9)
+    some = ["".join(choice.choice("abéèçñöß") for _ in range(choice.randint(3, 9))) for _ in range(600)] + ["É", "шш"]
+    encoder, passed = WordEncoder(tokenizer_file(), 2), []
+    whole = encoder._plain
+    monkeypatch.setattr(encoder, "_plain", lambda texts: passed.extend(" ".join(texts).split()) or whole(texts))
+    ids, sizes = encoder.encode([x.encode() for x in some])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [x + [2] for x in plain_ids(some)]
+    assert len(passed) < 20
+
+
 def test_word_memory_keeps_what_is_in_use():
     """Words seen in every generation are learned once; memory stays bounded; ids stay right."""
     memory, learned = WordMemory([""], [[9]], limit=50), Counter()
@@ -545,6 +590,16 @@ def test_new_words_are_encoded_some_at_a_time(monkeypatch):
     assert max(most) <= 64 and sum(most) == -(-len(words) // 64)
 
 
+def test_words_of_digits_are_encoded_some_at_a_time(monkeypatch):
+    encoder, most = WordEncoder(tokenizer_file(), 2), []
+    whole = encoder._plain
+    monkeypatch.setattr(encoder, "_plain", lambda texts: most.append(len(texts)) or whole(texts))
+    text = " ".join(map(str, range(20_000)))
+    ids, _ = encoder.encode([text.encode()])
+    assert ids.tolist() == plain_ids([text])[0] + [2]
+    assert max(most) <= 4096 and sum(most) == 20_000
+
+
 def test_classifier_is_fitted_in_little_more_than_its_rows():
     choice = np.random.default_rng(3)
     rows = [np.sort(choice.choice(quality.SIZE, 2000, replace=False)).astype(np.int32) for _ in range(2000)]
