@@ -24,11 +24,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedkit.llm.wordids import WORDS_BYTES, encoder, slices
+from feedkit.llm.wordids import encoder, spans
 from feedkit.plans.settle import settle
 
 PIECES = (
@@ -55,9 +56,9 @@ def cut(
         words = encoder(tokenizer, end_id)
         part, pos, seen = TaskContext.get().partitionId(), 0, [0] * (capacity + 1)
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for own in slices(texts, WORDS_BYTES):
-                ids, sizes = words.encode(texts[own])
+            keys, texts = batch.column(0), batch.column(1)
+            for own in spans(pc.binary_length(texts).to_pylist()):
+                ids, sizes = words.encode(texts[own].to_pylist())
                 ids = ids.astype("<u4", copy=False)
                 pieces = -(-sizes // capacity)
                 row = np.repeat(np.arange(len(sizes)), pieces)

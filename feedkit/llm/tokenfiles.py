@@ -21,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedkit.llm.wordids import WORDS_BYTES, encoder, slices
+from feedkit.llm.wordids import encoder, spans
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -49,9 +50,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, before = encoder(tokenizer, end_id), 0
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for part in slices(texts, WORDS_BYTES):
-                ids, sizes = words.encode(texts[part])
+            keys, texts = batch.column(0), batch.column(1)
+            for part in spans(pc.binary_length(texts).to_pylist()):
+                ids, sizes = words.encode(texts[part].to_pylist())
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -17,8 +17,8 @@ import pyarrow as pa
 
 from feedkit.llm.wordmemory import WORD_LIMIT, WordMemory
 
-#: Bytes of text that are worked on at a time, and of texts that are cut into words: more repeat more words.
-SLICE_BYTES, WORDS_BYTES = 1 << 20, 4 << 20
+#: Bytes of text that are split into words at a time.
+SLICE_BYTES = 1 << 20
 #: Words that are encoded as one text, and such texts at a time: what the library returns is large.
 JOINED, AT_ONCE = 64, 64
 #: What may end a word as a piece of its own; an apostrophe can begin a contraction.
@@ -162,13 +162,18 @@ def encoder(path: str, end_id: int) -> WordEncoder:
     return _encoders[path, end_id]
 
 
-def slices(texts: Sequence[bytes], most: int = SLICE_BYTES) -> Iterator[slice]:
-    """Ranges of texts of about `most` bytes; a longer text is a range of its own."""
+def spans(lengths: Sequence[int], most: int = SLICE_BYTES) -> Iterator[slice]:
+    """Ranges of texts of about `most` bytes, by their lengths; a longer text is a range of its own."""
     begin, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > most:
+    for i, length in enumerate(lengths):
+        if size and size + length > most:
             yield slice(begin, i)
             begin, size = i, 0
-        size += len(text)
-    if begin < len(texts):
-        yield slice(begin, len(texts))
+        size += length
+    if begin < len(lengths):
+        yield slice(begin, len(lengths))
+
+
+def slices(texts: Sequence[bytes], most: int = SLICE_BYTES) -> Iterator[slice]:
+    """Such ranges of the texts themselves."""
+    return spans([len(text) for text in texts], most)
